@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pledgeflow.functions.numbers import bind
+
 
 def explode_scalars(df: DataFrame, keep: dict[str, str], array: str, name: str) -> DataFrame:
     """One row per element; a NULL array gives none. ``keep`` maps column -> new name."""
@@ -39,7 +41,7 @@ def explode_listed(df: DataFrame, keep: dict[str, str], keys: str, values: str,
 
 def split_zip(df: DataFrame, index: Sequence[str], split: Sequence[str]) -> DataFrame:
     """Comma lists of several columns zipped to rows, trimmed, cut to the shortest."""
-    parts = {c: F.transform(F.split(F.col(c), ","), F.trim) for c in split}
+    parts = {c: F.transform(F.split(F.col(c), ","), lambda p: F.trim(p)) for c in split}
     shortest = F.size(parts[split[0]]) if len(split) == 1 else F.least(*[F.size(p) for p in parts.values()])
     zipped = F.arrays_zip(*[F.slice(p, 1, shortest).alias(c) for c, p in parts.items()])
     return df.select(*index, F.inline(zipped).alias(*split))
@@ -80,18 +82,24 @@ def script_fields(script: Column) -> Column:
 
     N/Y read as false/true, ``none`` and empty values as NULL.
     """
-    entries = _script_entries(script)
-    keys = F.reverse(F.transform(entries, lambda e: e["key"]))
-    size = F.size(entries)
-    last = F.filter(entries, lambda e, i: F.array_position(keys, e["key"]) == size - i)
-    return F.map_from_entries(last)
+
+    def last_of_each(entries: Column) -> Column:
+        def pick(keys: Column) -> Column:
+            return F.filter(entries, lambda e, i: F.array_position(keys, e["key"]) == F.size(entries) - i)
+
+        return bind(F.reverse(F.transform(entries, lambda e: e["key"])), pick)
+
+    return F.map_from_entries(bind(_script_entries(script), last_of_each))
 
 
 def script_fields_conflict(script: Column) -> Column:
     """Whether some key appears with two different values."""
-    entries = _script_entries(script)
-    distinct_keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    return F.size(F.array_distinct(entries)) > F.size(distinct_keys)
+
+    def differs(entries: Column) -> Column:
+        keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+        return F.size(F.array_distinct(entries)) > F.size(keys)
+
+    return bind(_script_entries(script), differs)
 
 
 def _script_entries(script: Column) -> Column:

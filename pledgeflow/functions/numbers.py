@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Compute ``value`` once and use it several times in one expression."""
+    return F.transform(F.array(value), lambda v: use(v))[0]
+
+
 # --- parsing -----------------------------------------------------------------
 
 
@@ -50,28 +56,30 @@ def _exponent(magnitude: Column) -> Column:
     return F.floor(F.log10(magnitude)).cast("int")
 
 
+def _ten(exponent: Column) -> Column:
+    return F.pow(F.lit(10.0), exponent.cast("double"))
+
+
 def sig_figs(x: Column, figures: int = 1) -> Column:
     """Round half-even to significant figures; zero stays zero."""
-    shift = F.lit(figures - 1) - _exponent(F.abs(x))
-    scaled = F.when(shift >= 0, F.bround(x * F.pow(F.lit(10.0), shift)) / F.pow(F.lit(10.0), shift)).otherwise(
-        F.bround(x / F.pow(F.lit(10.0), -shift)) * F.pow(F.lit(10.0), -shift)
-    )
-    return F.when(x == 0, F.lit(0.0)).otherwise(scaled)
+
+    def rounded(shift: Column) -> Column:
+        return F.when(shift >= 0, F.bround(x * _ten(shift)) / _ten(shift)).otherwise(
+            F.bround(x / _ten(-shift)) * _ten(-shift)
+        )
+
+    return F.when(x == 0, F.lit(0.0)).otherwise(bind(F.lit(figures - 1) - _exponent(F.abs(x)), rounded))
 
 
 def ceil_first_figure(x: Column) -> Column:
     """Next multiple of the leading power of ten: 4321 -> 5000."""
     first = F.substring(x.cast("string"), 1, 1).try_cast("int")
-    return (first + 1) * F.pow(F.lit(10.0), _exponent(F.abs(x)))
+    return (first + 1) * _ten(_exponent(F.abs(x)))
 
 
 # --- printing ----------------------------------------------------------------
 
 
-def _digits(n: Column) -> Column:
-    return n.cast("long").cast("string")
-
-
 def to_precision(x: Column, p: int) -> Column:
     """Text with p significant digits; exponent form below 0.01 and from 10**p on."""
     if p < 2:
@@ -79,62 +87,80 @@ def to_precision(x: Column, p: int) -> Column:
     x = x.cast("double")
     size = F.abs(x)
 
-    def ten(exponent: Column) -> Column:
-        return F.pow(F.lit(10.0), exponent.cast("double"))
-
-    # exponent by truncation, one lower when that leaves too few digits
-    guess = F.log10(size).cast("int")
-    short = F.floor(size / ten(guess - p + 1)) < 10 ** (p - 1)
-    low = F.when(short, guess - 1).otherwise(guess)
-    unit = ten(low - p + 1)
-    below = F.floor(size / unit)
-    nearest = F.when(F.abs((below + 1) * unit - size) <= F.abs(below * unit - size), below + 1).otherwise(below)
-    carried = nearest >= 10**p
-    digits = _digits(F.when(carried, nearest / 10).otherwise(nearest))
-    e = F.when(carried, low + 1).otherwise(low)
-
-    head, tail = F.substring(digits, 1, 1), F.substring(digits, 2, p - 1)
-    signed = F.concat(F.when(e > 0, "+").otherwise(""), e.cast("string"))
-    scientific = F.concat(head, F.lit("."), tail, F.lit("e"), signed)
-    split = F.concat(F.substr(digits, F.lit(1), e + 1), F.lit("."), F.substr(digits, e + 2))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -(e + 1)), digits)
-    text = (
-        F.when((e < -2) | (e >= p), scientific)
-        .when(e == p - 1, digits)
-        .when(e >= 0, split)
-        .otherwise(small)
+    def lowered(guess: Column) -> Column:
+        # the exponent was truncated; one less when that leaves too few digits
+        few = F.floor(size / _ten(guess - p + 1)) < 10 ** (p - 1)
+        return F.when(few, guess - 1).otherwise(guess)
+
+    def nearest(exponent: Column) -> Column:
+        unit = _ten(exponent - p + 1)
+        below = F.floor(size / unit)
+        return F.when(F.abs((below + 1) * unit - size) <= F.abs(below * unit - size), below + 1).otherwise(below)
+
+    def carried(exponent: Column) -> Column:
+        def settle(n: Column) -> Column:
+            over = n >= 10**p
+            digits = F.when(over, n / 10).otherwise(n).cast("long").cast("string")
+            return F.struct(F.when(over, exponent + 1).otherwise(exponent).alias("e"), digits.alias("digits"))
+
+        return bind(nearest(exponent), settle)
+
+    def layout(number: Column) -> Column:
+        e, digits = number["e"], number["digits"]
+        power = F.concat(F.when(e > 0, "+").otherwise(""), e.cast("string"))
+        scientific = F.concat(
+            F.substring(digits, 1, 1), F.lit("."), F.substring(digits, 2, p - 1), F.lit("e"), power
+        )
+        split = F.concat(F.substr(digits, F.lit(1), e + 1), F.lit("."), F.substr(digits, e + 2))
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -(e + 1)), digits)
+        return (
+            F.when((e < -2) | (e >= p), scientific)
+            .when(e == p - 1, digits)
+            .when(e >= 0, split)
+            .otherwise(small)
+        )
+
+    text = bind(bind(bind(F.log10(size).cast("int"), lowered), carried), layout)
+    return F.when(x == 0, F.lit("0." + "0" * (p - 1))).otherwise(
+        F.concat(F.when(x < 0, "-").otherwise(""), text)
     )
-    signed_text = F.concat(F.when(x < 0, "-").otherwise(""), text)
-    return F.when(x == 0, F.lit("0." + "0" * (p - 1))).otherwise(signed_text)
 
 
-class FourDigits(NamedTuple):
-    """A number kept to four significant digits without trailing zeros."""
+def four_digits(x: Column) -> Column:
+    """A number kept to four significant digits, without trailing zeros.
 
-    sign: Column
-    digits: Column
-    left: Column  # digits left of the decimal point, may be negative
-    value: Column
+    Struct of ``sign``, ``digits``, ``left`` (how many digits stand left of the point,
+    possibly negative) and the rounded ``value``.
+    """
 
+    def rounded(e: Column) -> Column:
+        size = F.abs(x)
+        n = F.bround(F.when(e >= 3, size / _ten(e - 3)).otherwise(size * _ten(F.lit(3) - e))).cast("long")
+
+        def settle(n: Column) -> Column:
+            over = n == 10_000
+            return F.struct(
+                F.when(over, F.lit(1_000).cast("long")).otherwise(n).alias("n"),
+                F.when(over, e + 1).otherwise(e).alias("e"),
+            )
+
+        return bind(n, settle)
+
+    def parts(number: Column) -> Column:
+        n, e = number["n"], number["e"]
+        value = F.when(e >= 3, n * _ten(e - 3)).otherwise(n / _ten(F.lit(3) - e))
+        return F.struct(
+            F.when(x < 0, "-").otherwise("").alias("sign"),
+            F.rtrim(n.cast("string"), F.lit("0")).alias("digits"),
+            (e + 1).alias("left"),
+            F.when(x < 0, -value).otherwise(value).alias("value"),
+        )
 
-def four_digits(x: Column) -> FourDigits:
     x = x.cast("double")
-    size = F.abs(x)
-    e = _exponent(size)
-    ten = F.pow(F.lit(10.0), F.abs(e - 3).cast("double"))
-    n = F.bround(F.when(e >= 3, size / ten).otherwise(size * ten)).cast("long")
-    over = n == 10_000
-    n, e = F.when(over, F.lit(1_000).cast("long")).otherwise(n), F.when(over, e + 1).otherwise(e)
-    value = F.when(e >= 3, n * F.pow(F.lit(10.0), (e - 3).cast("double"))).otherwise(
-        n / F.pow(F.lit(10.0), (F.lit(3) - e).cast("double"))
-    )
-    sign = F.when(x < 0, "-").otherwise("")
-    return FourDigits(
-        sign,
-        F.when(x == 0, "0").otherwise(F.rtrim(n.cast("string"), F.lit("0"))),
-        F.when(x == 0, 1).otherwise(e + 1),
-        F.when(x == 0, 0.0).otherwise(F.when(x < 0, -value).otherwise(value)),
+    zero = F.struct(
+        F.lit("").alias("sign"), F.lit("0").alias("digits"), F.lit(1).alias("left"), F.lit(0.0).alias("value")
     )
+    return F.when(x == 0, zero).otherwise(bind(bind(_exponent(F.abs(x)), rounded), parts))
 
 
 def _placed(digits: Column, point: Column) -> Column:
@@ -147,22 +173,21 @@ def _placed(digits: Column, point: Column) -> Column:
     )
 
 
-class Engineering(NamedTuple):
-    mantissa: Column
-    exponent: Column  # multiple of three, 0 when printed plainly
+def engineering(four: Column) -> Column:
+    """Engineering notation of :func:`four_digits`: struct of ``mantissa`` and ``exponent``.
 
+    Plain notation (exponent 0) applies while no padding zeros are needed on the right and
+    at most five leading zeros on the left; a whole number that ends in zeros counts as padded.
+    """
 
-def engineering(x: Column) -> Engineering:
-    """Four significant digits in engineering notation.
+    def at(point: Column) -> Column:
+        return F.struct(
+            F.concat(four["sign"], _placed(four["digits"], point)).alias("mantissa"),
+            (four["left"] - point).alias("exponent"),
+        )
 
-    Plain notation applies while no padding zeros are needed on the right and at most
-    five leading zeros on the left; a whole number that ends in zeros counts as padded.
-    """
-    d = four_digits(x)
-    padded = d.left - F.length(d.digits) > 0
-    plain = ~padded & (d.left > -6)
-    point = F.when(plain, d.left).otherwise(F.pmod(d.left - 1, F.lit(3)) + 1)
-    return Engineering(F.concat(d.sign, _placed(d.digits, point)), d.left - point)
+    plain = (four["left"] <= F.length(four["digits"])) & (four["left"] > -6)
+    return bind(F.when(plain, four["left"]).otherwise(F.pmod(four["left"] - 1, F.lit(3)) + 1), at)
 
 
 # fixed values: names of the powers of a thousand, long and short
@@ -180,26 +205,40 @@ PREFIXES = {
 
 def pretty_number(x: Column, short: bool = False) -> Column:
     """``12.35 Million``; powers without a name are NULL."""
-    eng = engineering(x)
-    word = F.lit(None).cast("string")
-    for power, names in PREFIXES.items():
-        word = F.when(eng.exponent == power, names[1 if short else 0]).otherwise(word)
-    text = F.when(eng.exponent == 0, eng.mantissa).otherwise(F.concat(eng.mantissa, F.lit(" "), word))
-    return F.when(x == 0, F.lit("0.0")).otherwise(text)
+
+    def worded(eng: Column) -> Column:
+        word = F.lit(None).cast("string")
+        for power, names in PREFIXES.items():
+            word = F.when(eng["exponent"] == power, names[1 if short else 0]).otherwise(word)
+        return F.when(eng["exponent"] == 0, eng["mantissa"]).otherwise(
+            F.concat(eng["mantissa"], F.lit(" "), word)
+        )
+
+    return F.when(x == 0, F.lit("0.0")).otherwise(bind(bind(four_digits(x), engineering), worded))
 
 
 def grouped_text(x: Column) -> Column:
     """Four significant digits: thousands commas from 1 to a million, else engineering form."""
-    d = four_digits(x)
-    fixed = _placed(d.digits, d.left)
-    whole, fraction = F.split_part(fixed, F.lit("."), F.lit(1)), F.split_part(fixed, F.lit("."), F.lit(2))
-    grouped = F.concat(
-        F.format_number(whole.try_cast("long"), 0), F.when(fraction != "", F.concat(F.lit("."), fraction)).otherwise("")
-    )
-    eng = engineering(x)
-    power = F.concat(F.lit("E"), F.when(eng.exponent > 0, "+").otherwise(""), eng.exponent.cast("string"))
-    other = F.when(eng.exponent == 0, eng.mantissa).otherwise(F.concat(eng.mantissa, power))
-    return F.when((d.value >= 1) & (d.value < 1_000_000), grouped).otherwise(other)
+
+    def grouped(fixed: Column) -> Column:
+        whole = F.split_part(fixed, F.lit("."), F.lit(1))
+        fraction = F.split_part(fixed, F.lit("."), F.lit(2))
+        tail = F.when(fraction != "", F.concat(F.lit("."), fraction)).otherwise("")
+        return F.concat(F.format_number(whole.try_cast("long"), 0), tail)
+
+    def powered(eng: Column) -> Column:
+        power = F.concat(
+            F.lit("E"), F.when(eng["exponent"] > 0, "+").otherwise(""), eng["exponent"].cast("string")
+        )
+        return F.when(eng["exponent"] == 0, eng["mantissa"]).otherwise(F.concat(eng["mantissa"], power))
+
+    def printed(four: Column) -> Column:
+        between = (four["value"] >= 1) & (four["value"] < 1_000_000)
+        return F.when(between, bind(_placed(four["digits"], four["left"]), grouped)).otherwise(
+            bind(engineering(four), powered)
+        )
+
+    return bind(four_digits(x), printed)
 
 
 def axis_ticks(low: float, high: float, count: int) -> Column:

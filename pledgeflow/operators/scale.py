@@ -24,7 +24,7 @@ def choose_scale(stats: DataFrame, keys: list[str], value: str = "value") -> Dat
         .select("*", F.inline(options).alias("exp", "unit"))
         .withColumn("__scaled", F.col(value) / F.pow(F.lit(10.0), F.col("exp").cast("double")))
     )
-    shown = four_digits(F.col("__scaled")).value
+    shown = four_digits(F.col("__scaled"))["value"]
     awkward = ((shown < 0.1) | (shown >= 1000)).cast("int")
     best = (
         scaled.groupBy(*keys, "exp")

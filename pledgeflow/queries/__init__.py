@@ -7,8 +7,10 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from pledgeflow.queries import (  # noqa: F401
         aggregates,
+        curves,
         joins,
         merges,
+        scalars,
     )
 
 
