@@ -145,26 +145,35 @@ def skip_first(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def fold_runs(
-    df: DataFrame, by: str, order: Sequence[str], starts: Column, piece: Column, separator: str = " > "
+    df: DataFrame,
+    by: str,
+    order: Sequence[str],
+    starts: Column,
+    piece: Column,
+    keep: Sequence[str] = (),
+    separator: str = " > ",
+    levels: Sequence[Column] | None = None,
 ) -> DataFrame:
     """Start a new run at each ``starts`` row and join the pieces of a run into a chain.
 
-    Rows before the first start are not part of any run. A run is the chain of one
+    ``keep`` columns come from a run's first row. Rows before the first start are not part of any run. A run is the chain of one
     fetch (its redirects), so it is the run, not the log, that ends up in one cell.
     """
     marked = df.withColumns({"__start": starts.cast("int"), "__piece": piece})
-    runs = running_total(marked, order, [by], F.col("__start"), "run").filter("run > 0")
+    runs = running_total(marked, order, [by], F.col("__start"), "run", levels).filter("run > 0")
     item = F.struct(*order, F.col("__piece").alias("piece"))
     return (
         runs.groupBy(by, "run")
         .agg(
             F.min(order[0]).alias("started"),
+            *[F.min_by(c, F.struct(*order)).alias(c) for c in keep],
             F.sort_array(F.collect_list(F.when(F.col("__piece").isNotNull(), item))).alias("__items"),
         )
         .select(
             by,
             "run",
             "started",
+            *keep,
             F.array_join(F.transform("__items", lambda x: x["piece"]), separator).alias("chain"),
             F.size("__items").cast("long").alias("pieces"),
         )
