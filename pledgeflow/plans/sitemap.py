@@ -11,6 +11,7 @@ from pledgeflow.functions.urls import fundraiser_page, strip_slash
 from pledgeflow.operators import merge
 from pledgeflow.operators import reconcile as rec
 from pledgeflow.operators.filters import safe_url
+from pledgeflow.session import materialise
 
 
 class SitemapResult(NamedTuple):
@@ -55,5 +56,7 @@ def merge_sitemap(stored: DataFrame, scanned: DataFrame, host_pattern: str, root
         *[F.max(c).alias(c) for c in ("lastmod", "changefreq", "priority")],
         F.sort_array(F.collect_list("origin_file")).alias("origin_files"),
     )
+    # the batch is joined twice below; parse and group the files once
+    per_page = materialise(per_page)
     table = merge.upsert_if_newer(stored, per_page, "loc", "lastmod", ["categories", "origin_files"])
     return SitemapResult(table, rejected)

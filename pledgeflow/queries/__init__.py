@@ -11,6 +11,7 @@ def load_all() -> None:
         files,
         joins,
         merges,
+        reports,
         scalars,
     )
 

@@ -172,7 +172,7 @@ def to_precision(t):
     )
 
 
-def _four_digits_sql(source: str, value: str) -> str:
+def four_digits_sql(source: str, value: str) -> str:
     """CTE chain (f) with sign, digits and digits left of the point, for four significant digits."""
     return f"""a as (select *, {value} as x from {source}),
     b as (select *, case when x = 0 then 0 else cast(floor(log10(abs(x))) as integer) end as e0 from a),
@@ -195,7 +195,7 @@ _WORDS = " ".join(f"when {p} then ' {names[0]}'" for p, names in numbers.PREFIXE
 
 @query(
     "pretty_number",
-    f"""with {_four_digits_sql('orders', _SPREAD_DUCK)}
+    f"""with {four_digits_sql('orders', _SPREAD_DUCK)}
     select o_orderkey, case when x = 0 then '0.0' else mant || case pw when 0 then '' {_WORDS} end end as text from h""",
 )
 def pretty_number(t):
@@ -210,7 +210,7 @@ _SCALE_STATS = """s1 as (select o_custkey % 40 as variable, o_orderpriority as s
 
 @query(
     "scale_choice",
-    f"""with {_SCALE_STATS}, {_four_digits_sql('s', 'v / pow(10::double, ex)')},
+    f"""with {_SCALE_STATS}, {four_digits_sql('s', 'v / pow(10::double, ex)')},
     k as (select *, case when e >= 3 then n * pow(10::double, e - 3) else n / pow(10::double, 3 - e) end as shown from h),
     bad as (select variable, ex, sum(case when shown < 0.1 or shown >= 1000 then 1 else 0 end) as bad from k group by 1, 2),
     best as (select variable, arg_min(ex, bad * 100 + ex) as ex from bad group by 1)
