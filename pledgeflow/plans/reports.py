@@ -13,6 +13,7 @@ from pledgeflow.functions.numbers import pretty_number, to_precision
 from pledgeflow.functions.text import label, or_none
 from pledgeflow.operators import aggregates, curves, filters, money, quantiles
 from pledgeflow.operators.scale import choose_scale, scaled_label
+from pledgeflow.session import materialise
 
 _STATS = ("mean", "median", "min", "max", "std_dev", "sum")
 
@@ -40,7 +41,8 @@ def converted(df: DataFrame, variables: Sequence[Variable], rates: DataFrame | N
 
 def _long_stats(df: DataFrame, variables: Sequence[Variable], rates: DataFrame | None) -> DataFrame:
     usd = converted(df, variables, rates).select(*[F.col(v.column).alias(v.name) for v in variables])
-    described = quantiles.describe_wide(usd, [v.name for v in variables])
+    # a row per variable, used twice by the choice of scale: compute it once
+    described = materialise(quantiles.describe_wide(usd, [v.name for v in variables]))
     return described.unpivot(["variable"], list(_STATS), "stat", "value")
 
 

@@ -8,6 +8,7 @@ def load_all() -> None:
     from pledgeflow.queries import (  # noqa: F401
         aggregates,
         curves,
+        documents,
         files,
         joins,
         merges,
