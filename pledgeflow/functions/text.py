@@ -5,10 +5,16 @@ from __future__ import annotations
 import codecs
 import html
 import re
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# executors need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def single_line(text: Column) -> Column:
@@ -80,7 +86,7 @@ _ESCAPE = re.compile(
 )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def script_literal(texts: pd.Series) -> pd.Series:
     """Decode the backslash escapes and HTML entities of a script string literal."""
 

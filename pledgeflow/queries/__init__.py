@@ -12,6 +12,7 @@ def load_all() -> None:
         files,
         joins,
         merges,
+        pages,
         reports,
         scalars,
     )
