@@ -15,6 +15,7 @@ def load_all() -> None:
         pages,
         reports,
         scalars,
+        streams,
     )
 
 

@@ -9,8 +9,13 @@ from pledgeflow.operators import merge
 from pledgeflow.plans import loans, projects
 from pledgeflow.queries.registry import query
 
-_KEY = F.col("o_orderkey")
-_OWNER = F.col("o_custkey")
+
+def _key():
+    return F.col("o_orderkey")
+
+
+def _owner():
+    return F.col("o_custkey")
 
 
 def _upto(n, make):
@@ -29,34 +34,34 @@ def _iso(column):
 
 
 def _loan_documents(t):
-    joined = t.orders.join(t.customer, _OWNER == F.col("c_custkey")).join(
+    joined = t.orders.join(t.customer, _owner() == F.col("c_custkey")).join(
         t.nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
     date = F.col("o_orderdate")
     payment = lambda i: F.struct(
-        (_KEY * 10 + i).alias("payment_id"),
+        (_key() * 10 + i).alias("payment_id"),
         (F.col("o_totalprice") / i).alias("amount"),
         _iso(F.date_add(F.to_date(date), i.cast("int"))).alias("processed_date"),
-        (_OWNER + i).alias("rounded_local_amount"),
+        (_owner() + i).alias("rounded_local_amount"),
     )
     due = lambda i: F.struct(
         F.date_format(F.date_add(F.to_date(date), (i * 30).cast("int")), "yyyy-MM-dd'T'HH:mm:ss").alias("due_date"),
         (i * 1.5).cast("double").alias("amount"),
     )
-    languages = F.when(_KEY % 2 == 0, F.array(F.lit("en"), F.lit("es"))).otherwise(F.array(F.lit("en")))
+    languages = F.when(_key() % 2 == 0, F.array(F.lit("en"), F.lit("es"))).otherwise(F.array(F.lit("en")))
     document = F.struct(
-        _KEY.alias("id"),
+        _key().alias("id"),
         F.col("c_name").alias("name"),
         F.when(F.col("o_orderstatus") == "O", "fundraising").otherwise("ended").alias("status"),
         F.col("o_totalprice").alias("funded_amount"),
         F.col("o_orderpriority").alias("activity"),
         F.col("c_mktsegment").alias("sector"),
-        (_KEY % 10 == 0).alias("delinquent"),
+        (_key() % 10 == 0).alias("delinquent"),
         _iso(date).alias("posted_date"),
         F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss").alias("planned_expiration_date"),
-        (_KEY % 5).alias("lender_count"),
+        (_key() % 5).alias("lender_count"),
         _upto(
-            _KEY % 4,
+            _key() % 4,
             lambda i: F.struct(
                 F.concat(F.lit("b"), i.cast("string")).alias("first_name"), (i % 2 == 0).alias("pictured")
             ),
@@ -65,28 +70,28 @@ def _loan_documents(t):
             languages.alias("languages"),
             F.create_map(F.lit("en"), F.col("c_name"), F.lit("es"), F.col("n_name")).alias("texts"),
         ).alias("description"),
-        F.struct((_KEY + 1).alias("id"), F.lit(1).alias("template_id")).alias("image"),
-        F.struct((_KEY % 3).alias("entries"), (_KEY % 2).alias("bulkEntries")).alias("journal_totals"),
+        F.struct((_key() + 1).alias("id"), F.lit(1).alias("template_id")).alias("image"),
+        F.struct((_key() % 3).alias("entries"), (_key() % 2).alias("bulkEntries")).alias("journal_totals"),
         F.struct(
             F.col("n_name").alias("country"),
             F.struct(F.lit("1 2").alias("pairs"), F.lit("point").alias("type")).alias("geo"),
         ).alias("location"),
-        _upto(_OWNER % 3, payment).alias("payments"),
-        F.when(_KEY % 3 != 0, _upto(_KEY % 3, lambda i: F.struct(F.concat(F.lit("#"), i.cast("string")).alias("name")))).alias(
+        _upto(_owner() % 3, payment).alias("payments"),
+        F.when(_key() % 3 != 0, _upto(_key() % 3, lambda i: F.struct(F.concat(F.lit("#"), i.cast("string")).alias("name")))).alias(
             "tags"
         ),
-        F.when(_KEY % 5 != 0, F.array("c_mktsegment")).alias("themes"),
+        F.when(_key() % 5 != 0, F.array("c_mktsegment")).alias("themes"),
         F.struct(
             F.col("o_totalprice").alias("loan_amount"),
-            (_KEY % 24).alias("repayment_term"),
+            (_key() % 24).alias("repayment_term"),
             F.struct(F.lit("shared").alias("currency_exchange"), F.lit(0.1).alias("currency_exchange_coverage_rate")).alias(
                 "loss_liability"
             ),
-            _upto(_OWNER % 2, due).alias("local_payments"),
-            _upto(_KEY % 3, due).alias("scheduled_payments"),
+            _upto(_owner() % 2, due).alias("local_payments"),
+            _upto(_key() % 3, due).alias("scheduled_payments"),
         ).alias("terms"),
-        F.when(_KEY % 2 == 0, F.struct(F.col("c_name").alias("byline"), _OWNER.alias("image"))).alias("translator"),
-        F.when(_KEY % 4 == 0, F.struct(_KEY.alias("id"), F.lit("yt").alias("youtubeId"))).alias("video"),
+        F.when(_key() % 2 == 0, F.struct(F.col("c_name").alias("byline"), _owner().alias("image"))).alias("translator"),
+        F.when(_key() % 4 == 0, F.struct(_key().alias("id"), F.lit("yt").alias("youtubeId"))).alias("video"),
     )
     return _parsed(joined, document, schemas.LOAN_DOCUMENT)
 
@@ -231,10 +236,10 @@ def normalise_lender(t):
 )
 def loan_work_lists(t):
     table = t.orders.select(
-        _KEY.alias("id"),
+        _key().alias("id"),
         F.when(F.col("o_orderstatus") == "O", "fundraising").otherwise("ended").alias("status"),
         F.col("o_orderdate").alias("scrape_time"),
-        (_KEY % 5).alias("lender_count"),
+        (_key() % 5).alias("lender_count"),
     )
     links = t.lineitem.select(F.col("l_orderkey").alias("loan_id"), F.col("l_suppkey").alias("lender_id"))
     lenders = t.supplier.filter("s_acctbal > 0").select(F.col("s_suppkey").alias("lender_id"))
@@ -250,36 +255,36 @@ def loan_work_lists(t):
 
 
 def _project_documents(t):
-    joined = t.orders.join(t.customer, _OWNER == F.col("c_custkey")).join(
+    joined = t.orders.join(t.customer, _owner() == F.col("c_custkey")).join(
         t.nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
     site = F.lit("https://site.example/projects/")
-    url = F.concat(site, _KEY.cast("string"))
+    url = F.concat(site, _key().cast("string"))
 
     def web(column):
         return F.concat(F.lit("https://site.example/"), column.cast("string"))
 
     def reward_item(i):
         return F.struct(
-            (_KEY * 100 + i).alias("id"),
-            (_KEY * 10 + i).alias("reward_id"),
+            (_key() * 100 + i).alias("id"),
+            (_key() * 10 + i).alias("reward_id"),
             F.lit(2).alias("quantity"),
-            F.struct((_KEY * 1000 + i).alias("id"), F.lit("print").alias("name"), _KEY.alias("project_id")).alias("item"),
+            F.struct((_key() * 1000 + i).alias("id"), F.lit("print").alias("name"), _key().alias("project_id")).alias("item"),
         )
 
     reward = lambda i: F.struct(
-        F.when(i == 1, F.lit(0)).otherwise(_KEY * 10 + i).alias("id"),
+        F.when(i == 1, F.lit(0)).otherwise(_key() * 10 + i).alias("id"),
         F.concat(F.lit("reward "), i.cast("string")).alias("title"),
         (i * 5).cast("decimal(12,4)").alias("minimum"),
-        F.struct(F.struct(web(_KEY * 10 + i).alias("reward")).alias("api")).alias("urls"),
+        F.struct(F.struct(web(_key() * 10 + i).alias("reward")).alias("api")).alias("urls"),
         F.when(i != 3, F.array(reward_item(i))).alias("rewards_items"),
     )
     document = F.struct(
-        _KEY.alias("id"),
-        F.concat(F.lit("project "), _KEY.cast("string")).alias("name"),
+        _key().alias("id"),
+        F.concat(F.lit("project "), _key().cast("string")).alias("name"),
         F.col("o_totalprice").cast("decimal(20,4)").alias("goal"),
         F.when(F.col("o_orderstatus") == "O", "live").otherwise("successful").alias("state"),
-        (_OWNER % 50).alias("backers_count"),
+        (_owner() % 50).alias("backers_count"),
         F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("launched_at"),
         F.struct(
             F.col("n_regionkey").alias("id"),
@@ -287,17 +292,17 @@ def _project_documents(t):
             F.struct(F.struct(web(F.col("n_regionkey")).alias("discover")).alias("web")).alias("urls"),
         ).alias("category"),
         F.struct(
-            _OWNER.alias("id"),
+            _owner().alias("id"),
             F.col("c_name").alias("name"),
-            F.struct(web(_OWNER).alias("thumb")).alias("avatar"),
+            F.struct(web(_owner()).alias("thumb")).alias("avatar"),
             F.struct(
-                F.struct(web(_OWNER).alias("user")).alias("web"), F.struct(web(_OWNER + 1).alias("user")).alias("api")
+                F.struct(web(_owner()).alias("user")).alias("web"), F.struct(web(_owner() + 1).alias("user")).alias("api")
             ).alias("urls"),
         ).alias("creator"),
-        _upto(_KEY % 3, lambda i: F.struct(i.alias("id"), F.lit("item").alias("name"), (i * 2).alias("amount"))).alias("items"),
-        F.when(_KEY % 6 == 0, F.array(F.struct(_KEY.alias("id"), F.lit("true").alias("live_now")))).alias("livestreams"),
+        _upto(_key() % 3, lambda i: F.struct(i.alias("id"), F.lit("item").alias("name"), (i * 2).alias("amount"))).alias("items"),
+        F.when(_key() % 6 == 0, F.array(F.struct(_key().alias("id"), F.lit("true").alias("live_now")))).alias("livestreams"),
         F.when(
-            _KEY % 7 != 0,
+            _key() % 7 != 0,
             F.struct(
                 F.col("n_nationkey").alias("id"),
                 F.col("n_name").alias("name"),
@@ -305,15 +310,15 @@ def _project_documents(t):
                 F.struct(F.struct(web(F.col("n_nationkey")).alias("location")).alias("web")).alias("urls"),
             ),
         ).alias("location"),
-        _upto(_OWNER % 4, reward).alias("rewards"),
+        _upto(_owner() % 4, reward).alias("rewards"),
         F.create_map(F.lit("1536x864"), F.concat(url, F.lit(".jpg")), F.lit("thumb"), url).alias("photo"),
-        F.struct(F.lit(0.8).alias("background_image_opacity"), (_KEY + 5).alias("id"), F.lit("active").alias("state")).alias(
+        F.struct(F.lit(0.8).alias("background_image_opacity"), (_key() + 5).alias("id"), F.lit("active").alias("state")).alias(
             "profile"
         ),
         F.struct(
             F.struct(url.alias("project"), F.concat(url, F.lit("/rewards")).alias("rewards")).alias("web")
         ).alias("urls"),
-        F.when(_KEY % 2 == 0, F.struct(_KEY.alias("id"), F.lit("hi.mp4").alias("high"), F.lit(480).alias("height"))).alias(
+        F.when(_key() % 2 == 0, F.struct(_key().alias("id"), F.lit("hi.mp4").alias("high"), F.lit(480).alias("height"))).alias(
             "video"
         ),
     )
@@ -438,13 +443,13 @@ def normalise_project_reward_item(t):
         where o_custkey not in (select c_custkey from customer where c_acctbal > 0) group by o_custkey""",
 )
 def project_work_lists(t):
-    url = F.concat(F.lit("https://site.example/projects/"), _KEY.cast("string"))
-    known = t.orders.select(_KEY.alias("project_id"), url.alias("url"))
+    url = F.concat(F.lit("https://site.example/projects/"), _key().cast("string"))
+    known = t.orders.select(_key().alias("project_id"), url.alias("url"))
     stored = t.orders.filter("o_orderkey % 3 <> 0").select(
-        _KEY.alias("id"),
+        _key().alias("id"),
         F.when(F.col("o_orderstatus") == "O", "live").otherwise("failed").alias("state"),
         url.alias("url_project"),
-        _OWNER.alias("creator_id"),
+        _owner().alias("creator_id"),
     )
     bios = t.customer.filter("c_acctbal > 0").select(F.col("c_custkey").alias("creator_id"))
     todo = projects.work_list(known, stored).select(F.lit("download").alias("list"), F.col("url").alias("entry"))
@@ -466,12 +471,12 @@ def project_work_lists(t):
 )
 def merge_tables(t):
     old = t.orders.filter("o_orderkey % 3 = 0").select(
-        _KEY.alias("id"), F.lit(9).cast("long").alias("loan_id"), F.lit(0.5).alias("amount")
+        _key().alias("id"), F.lit(9).cast("long").alias("loan_id"), F.lit(0.5).alias("amount")
     )
     newest = t.orders.filter("o_orderkey % 2 = 0").select(
-        _KEY.alias("id"), (_OWNER % 3).alias("loan_id"), F.col("o_totalprice").alias("amount")
+        _key().alias("id"), (_owner() % 3).alias("loan_id"), F.col("o_totalprice").alias("amount")
     )
-    tags = t.orders.select(_OWNER.alias("loan_id"), F.col("o_orderpriority").alias("name"))
+    tags = t.orders.select(_owner().alias("loan_id"), F.col("o_orderpriority").alias("name"))
     result = merge.merge_tables(
         {"payment": old, "tag": tags.filter("loan_id % 2 = 0").distinct()},
         {"tag": tags, "payment": newest},

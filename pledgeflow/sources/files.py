@@ -11,7 +11,7 @@ from pledgeflow.functions import text, urls
 from pledgeflow.operators.ordering import skip_first
 from pledgeflow.operators.reconcile import missing, present
 
-_FILE = F.col("_metadata.file_path")
+_FILE = "_metadata.file_path"
 
 
 def csv_json_path(spark: SparkSession, folder: str, schema: str, id_column: str, json_column: str, path: str) -> DataFrame:
@@ -38,7 +38,7 @@ def recursive_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFr
         .option("pathGlobFilter", glob)
         .option("wholetext", True)
         .text(folder)
-        .select(_FILE.alias("path"), F.col("value").alias("text"))
+        .select(F.col(_FILE).alias("path"), F.col("value").alias("text"))
     )
 
 
@@ -53,7 +53,7 @@ def json_pages(spark: SparkSession, folder: str, schema: str, key: str, indented
         .option("recursiveFileLookup", True)
         .json(folder)
     )
-    return pages.select(_FILE.alias("file"), F.inline(key))
+    return pages.select(F.col(_FILE).alias("file"), F.inline(key))
 
 
 def _fields(ddl: str) -> str:
