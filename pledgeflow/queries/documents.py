@@ -8,6 +8,7 @@ from pledgeflow import schemas
 from pledgeflow.operators import merge
 from pledgeflow.plans import loans, projects
 from pledgeflow.queries.registry import query
+from pledgeflow.session import spread
 
 
 def _key():
@@ -34,7 +35,7 @@ def _iso(column):
 
 
 def _loan_documents(t):
-    joined = t.orders.join(t.customer, _owner() == F.col("c_custkey")).join(
+    joined = spread(t.orders, "o_orderkey").join(t.customer, _owner() == F.col("c_custkey")).join(
         t.nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
     date = F.col("o_orderdate")
@@ -255,7 +256,7 @@ def loan_work_lists(t):
 
 
 def _project_documents(t):
-    joined = t.orders.join(t.customer, _owner() == F.col("c_custkey")).join(
+    joined = spread(t.orders, "o_orderkey").join(t.customer, _owner() == F.col("c_custkey")).join(
         t.nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
     site = F.lit("https://site.example/projects/")

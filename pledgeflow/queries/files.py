@@ -378,11 +378,11 @@ def csv_tables(t):
 @query("chunk_files", "select count(*) as n, 0::bigint as over_limit from lineitem")
 def chunk_files(t):
     folder = work_path(t.spark, "chunks")
-    sinks.write_chunked(t.lineitem.select("l_orderkey", "l_linenumber"), folder, 1000)
+    sinks.write_chunked(t.lineitem.select("l_orderkey", "l_linenumber"), folder, 10_000)
     rows = t.spark.read.schema("l_orderkey bigint, l_linenumber int").option("header", True).csv(folder)
     per_file = rows.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n"))
     return per_file.agg(
-        F.sum("n").alias("n"), F.coalesce(F.sum((F.col("n") > 1000).cast("long")), F.lit(0)).alias("over_limit")
+        F.sum("n").alias("n"), F.coalesce(F.sum((F.col("n") > 10_000).cast("long")), F.lit(0)).alias("over_limit")
     )
 
 

@@ -70,3 +70,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """
     kept = materialise(df)
     return F.broadcast(kept) if kept.count() <= max_rows else kept
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use every core for CPU-heavy work on an input too small to be split by the scan.
+
+    Inputs of at least one full split per core (by the optimizer's size estimate) are
+    returned as they are: large tables are never shuffled for this.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, key) if size < split * cores else df

@@ -12,9 +12,12 @@ from collections.abc import Iterator, Mapping
 from html.parser import HTMLParser
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
+
+from pledgeflow.session import spread
 
 # executors need not have the package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -60,7 +63,11 @@ class Selector(NamedTuple):
 class _Elements(HTMLParser):
     def __init__(self, selectors: Mapping[str, Selector]):
         super().__init__(convert_charrefs=True)
-        self.selectors = selectors
+        self.by_tag: dict[str, list[tuple[str, Selector]]] = {}
+        self.any_tag = [(name, s) for name, s in selectors.items() if s.tag is None]
+        for name, s in selectors.items():
+            if s.tag is not None:
+                self.by_tag.setdefault(s.tag, []).append((name, s))
         self.rows: list[dict] = []
         self.open: list[tuple[str, int, list[dict]]] = []
         self.count = 0
@@ -73,12 +80,14 @@ class _Elements(HTMLParser):
                 break
             if name in closes:
                 del self.open[depth:]
-        values = {k: v or "" for k, v in attrs}
-        within = {row["sel"]: row["pos"] for _, _, rows in self.open for row in rows}
-        parent = {row["sel"] for row in self.open[-1][2]} if self.open else set()
         self.count += 1
         matched = []
-        for name, selector in self.selectors.items():
+        candidates = [*self.by_tag.get(tag, ()), *self.any_tag]
+        if candidates:
+            values = {k: v or "" for k, v in attrs}
+            within = {row["sel"]: row["pos"] for _, _, rows in self.open for row in rows}
+            parent = {row["sel"] for row in self.open[-1][2]} if self.open else set()
+        for name, selector in candidates:
             if selector.accepts(tag, values, parent, within):
                 row = {"sel": name, "pos": self.count, "attrs": values, "texts": [], "all": []}
                 matched.append(row | {"within": within, "path": [pos for _, pos, _ in self.open]})
@@ -108,26 +117,30 @@ def elements(pages: DataFrame, key: str, html: str, selectors: Mapping[str, Sele
     the nearest enclosing element of each selector, ``path`` those of all enclosing elements.
     """
     chosen = dict(selectors)
-    kind = pages.schema[key].dataType.simpleString()
+    kind = pages.schema[key].dataType
     schema = (
-        f"`{key}` {kind}, sel string, pos int, attrs map<string,string>, texts array<string>,"
+        f"`{key}` {kind.simpleString()}, sel string, pos int, attrs map<string,string>, texts array<string>,"
         " text string, within map<string,int>, path array<int>"
     )
+    text, number = pa.string(), pa.int32()
+    types = [text, number, pa.map_(text, text), pa.list_(text), text, pa.map_(text, number), pa.list_(number)]
+    names = [key, "sel", "pos", "attrs", "texts", "text", "within", "path"]
+    key_type = to_arrow_type(kind)
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = [key, "sel", "pos", "attrs", "texts", "text", "within", "path"]
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for page, source in zip(batch[key], batch[html]):
+            out: list[list] = [[] for _ in names]
+            for page, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if source is None:
                     continue
                 parser = _Elements(chosen)
                 parser.feed(source)
                 parser.close()
-                out += [
-                    (page, r["sel"], r["pos"], r["attrs"], r["texts"], "".join(r["all"]), r["within"], r["path"])
-                    for r in parser.rows
-                ]
-            yield pd.DataFrame(out, columns=columns)
-
-    return pages.select(key, html).mapInPandas(scan, schema)
+                for r in parser.rows:
+                    values = (page, r["sel"], r["pos"], list(r["attrs"].items()), r["texts"], "".join(r["all"]))
+                    for column, value in zip(out, (*values, list(r["within"].items()), r["path"])):
+                        column.append(value)
+            arrays = [pa.array(values, t) for values, t in zip(out, [key_type, *types])]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return spread(pages.select(key, html), key).mapInArrow(scan, schema)
