@@ -129,6 +129,9 @@ def to_precision(x: Column, p: int) -> Column:
 def four_digits(x: Column) -> Column:
     """A number kept to four significant digits, without trailing zeros.
 
+    Rounded half-even in double arithmetic: a value written with a fifth and last digit of
+    five counts as a tie, whichever side of it its binary form lies.
+
     Struct of ``sign``, ``digits``, ``left`` (how many digits stand left of the point,
     possibly negative) and the rounded ``value``.
     """

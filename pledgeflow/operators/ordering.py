@@ -86,30 +86,35 @@ def previous_value(
     out: str,
     levels: Sequence[Column] | None = None,
 ) -> DataFrame:
-    """``lag(value)`` within ``by``, split the same way as :func:`running_total`."""
+    """The last non-null ``value`` before each row, within ``by``.
+
+    Split the same way as :func:`running_total`: a block hands its last value on to the next.
+    """
     by = list(by)
     coarse, fine = levels or prefixes(df, order[0])
     rows = df.withColumns({"__coarse": coarse, "__fine": fine})
-    at = F.struct(*order)
+    at = F.when(F.col(value).isNotNull(), F.struct(*order))
     per_fine = rows.groupBy(*by, "__coarse", "__fine").agg(F.max_by(value, at).alias("__last"))
-    per_coarse = per_fine.groupBy(*by, "__coarse").agg(F.max_by("__last", "__fine").alias("__last"))
-    coarse_prev = per_coarse.select(
-        *by,
-        "__coarse",
-        F.lag("__last").over(Window.partitionBy(*by).orderBy("__coarse")).alias("__cp"),
+    position = F.when(F.col("__last").isNotNull(), F.col("__fine"))
+    per_coarse = per_fine.groupBy(*by, "__coarse").agg(F.max_by("__last", position).alias("__last"))
+
+    def last_before(column: str, window) -> Column:
+        return F.last(column, ignorenulls=True).over(window)
+
+    coarse_carry = per_coarse.select(
+        *by, "__coarse", last_before("__last", _before(by, "__coarse")).alias("__from_coarse")
     )
     carried = (
-        per_fine.withColumn(
-            "__fp", F.lag("__last").over(Window.partitionBy(*by, "__coarse").orderBy("__fine"))
-        )
-        .join(coarse_prev, [*by, "__coarse"])
-        .select(*by, "__coarse", "__fine", F.coalesce("__fp", "__cp").alias("__carry"))
+        per_fine.withColumn("__from_fine", last_before("__last", _before([*by, "__coarse"], "__fine")))
+        .join(coarse_carry, [*by, "__coarse"])
+        .select(*by, "__coarse", "__fine", F.coalesce("__from_fine", "__from_coarse").alias("__carry"))
+    )
+    inside = (
+        Window.partitionBy(*by, "__coarse", "__fine").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
-    inside = Window.partitionBy(*by, "__coarse", "__fine").orderBy(*order)
-    first_in_block = F.row_number().over(inside) == 1
     return (
         rows.join(carried, [*by, "__coarse", "__fine"])
-        .withColumn(out, F.when(first_in_block, F.col("__carry")).otherwise(F.lag(value).over(inside)))
+        .withColumn(out, F.coalesce(last_before(value, inside), F.col("__carry")))
         .select(*df.columns, out)
     )
 

@@ -35,11 +35,8 @@ def fetch_log(lines: DataFrame) -> DataFrame:
         .when(F.col("kind") == "response", F.substring_index(line, "response... ", -1))
     )
     marked = lines.withColumn("kind", kind).filter("kind is not null")
-    steps = marked.filter("kind <> 'response'")
-    before = previous_value(steps, "kind", _ORDER, ["file"], "before", _levels())
-    opened = before.filter("kind = 'open' and not (before <=> 'follow')").select("file", *_ORDER)
-    starts = opened.withColumn("opens", F.lit(True))
-    rows = marked.join(starts, ["file", *_ORDER], "left").withColumns(
+    steps = marked.withColumn("step", F.when(F.col("kind") != "response", F.col("kind")))
+    rows = previous_value(steps, "step", _ORDER, ["file"], "before", _levels()).withColumns(
         {
             "url": F.element_at(words, -1),
             "fetched_at": F.replace(F.array_join(F.slice(words, 1, 2), " "), F.lit("--"), F.lit("")),
@@ -49,7 +46,7 @@ def fetch_log(lines: DataFrame) -> DataFrame:
         rows,
         "file",
         _ORDER,
-        F.coalesce("opens", F.lit(False)),
+        (F.col("kind") == "open") & ~F.col("before").eqNullSafe("follow"),
         piece,
         keep=["url", "fetched_at"],
         levels=_levels(),
@@ -70,7 +67,8 @@ def brief_log(lines: DataFrame) -> DataFrame:
     marked = lines.withColumn(
         "kind", F.when(failed, "failed").when(stored, "stored").when(named, "named")
     ).filter("kind is not null")
-    carried = previous_value(marked, "line", _ORDER, ["file"], "before", _levels())
+    names = marked.withColumn("name", F.when(F.col("kind") == "named", line))
+    carried = previous_value(names, "name", _ORDER, ["file"], "before", _levels())
     rows = carried.filter("kind <> 'named'")
     return rows.select(
         "file",
