@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pledgeflow.functions.dates import moment
-from pledgeflow.operators.reconcile import first_per_key, missing
+from pledgeflow.operators.reconcile import first_per_key, missing, present
 
 log = logging.getLogger(__name__)
 
@@ -45,6 +45,16 @@ def _pairs(keys: Sequence[str]) -> dict[str, str]:
     return {k: k for k in keys}
 
 
+def new_rows(batch: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Batch rows whose key the table lacks.
+
+    The table's keys are first cut down to those of the batch, so that a small batch is
+    broadcast twice and the keys of a large table are never shuffled.
+    """
+    touched = present(table.select(*keys), batch, _pairs(keys))
+    return missing(batch, touched, _pairs(keys))
+
+
 def upsert_replace(
     table: DataFrame,
     batch: DataFrame,
@@ -68,7 +78,7 @@ def insert_ignore(
     table: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[Column]
 ) -> DataFrame:
     """Add rows whose key is new; ``order`` puts the batch row to keep first."""
-    fresh = missing(first_per_key(batch, keys, order), table, _pairs(keys))
+    fresh = new_rows(first_per_key(batch, keys, order), table, keys)
     return table.unionByName(align(fresh, table.schema))
 
 
@@ -112,7 +122,7 @@ def upsert_if_newer(
             update = F.array_union(F.coalesce(f"old.{c}", empty), F.coalesce(f"new.{c}", empty))
         columns.append(F.when(newer, update).otherwise(F.col(f"old.{c}")).alias(c))
     kept = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "left").select(*columns)
-    return kept.unionByName(missing(align(batch, table.schema), table, {key: key}))
+    return kept.unionByName(new_rows(align(batch, table.schema), table, [key]))
 
 
 def upsert_partial(table: DataFrame, batch: DataFrame, key: str, update: Sequence[str]) -> DataFrame:
@@ -124,7 +134,7 @@ def upsert_partial(table: DataFrame, batch: DataFrame, key: str, update: Sequenc
         for c in table.columns
     ]
     kept = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "left").select(*columns)
-    return kept.unionByName(missing(align(batch, table.schema), table, {key: key}))
+    return kept.unionByName(new_rows(align(batch, table.schema), table, [key]))
 
 
 def update_from_set(
@@ -179,4 +189,4 @@ def snapshot(
     store: DataFrame, current: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
     """Append the current rows whose (entity, time) key is not stored yet."""
-    return store.unionByName(align(missing(current, store, _pairs(keys)), store.schema))
+    return store.unionByName(align(new_rows(current, store, keys), store.schema))

@@ -46,7 +46,7 @@ def quarter_sum_std(t):
 @query(
     "quarter_avg_sum",
     f"""select {QUARTER_SQL} as quarter,
-        round(avg(o_totalprice), 4) as mean_pledged, round(sum(o_totalprice), 2) as total_pledged
+        round(avg(o_totalprice), 2) as mean_pledged, round(sum(o_totalprice), 2) as total_pledged
     from {US_SQL} where {NOT_CURRENT_SQL} group by 1""",
 )
 def quarter_avg_sum(t):
@@ -54,7 +54,7 @@ def quarter_avg_sum(t):
     return agg.by_quarter(
         df,
         "o_orderdate",
-        mean_pledged=F.round(F.avg("o_totalprice"), 4),
+        mean_pledged=F.round(F.avg("o_totalprice"), 2),
         total_pledged=F.round(F.sum("o_totalprice"), 2),
     )
 
@@ -77,7 +77,7 @@ def quarter_count(t):
             left join rates r on r.currency = {CURRENCY_SQL} and r.rate_date = cast(o_orderdate as date)
             left join latest l on l.currency = {CURRENCY_SQL}
         where {NOT_CURRENT_SQL})
-    select quarter, round(sum(usd), 2) as total_usd, round(avg(usd), 4) as mean_usd from usd group by 1""",
+    select quarter, round(sum(usd), 2) as total_usd, round(avg(usd), 2) as mean_usd from usd group by 1""",
 )
 def quarter_usd(t):
     df = filters.finished_quarters(us_projects(t), "o_orderdate", AS_OF)
@@ -87,7 +87,7 @@ def quarter_usd(t):
         usd,
         "o_orderdate",
         total_usd=F.round(F.sum("o_totalprice"), 2),
-        mean_usd=F.round(F.avg("o_totalprice"), 4),
+        mean_usd=F.round(F.avg("o_totalprice"), 2),
     )
 
 
@@ -488,6 +488,19 @@ def limit_key_range(t):
     return topk.after_key(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey", 199, 100)
 
 
+@query(
+    "groups_newest_first",
+    """select event_type as category, event_id // 100 as num, count(*) as n from events
+    where ts > (select max(ts) from events where event_id % 2 = 0 and ts < timestamp '2024-01-15')
+    group by 1, 2 order by 1, 2 desc""",
+)
+def groups_newest_first(t):
+    stored = t.events.filter("event_id % 2 = 0 and ts < timestamp_ntz'2024-01-15'")
+    fresh = filters.newer_than_stored(t.events, "ts", stored, "ts")
+    counted = fresh.groupBy(F.col("event_type").alias("category"), F.expr("event_id div 100").alias("num"))
+    return counted.agg(F.count(F.lit(1)).alias("n")).orderBy("category", F.desc("num"))
+
+
 @query("shuffle_seeded")
 def shuffle_seeded(t):
     return topk.shuffled(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderkey", 1)

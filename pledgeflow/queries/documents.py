@@ -460,6 +460,35 @@ def project_work_lists(t):
     )
 
 
+@query(
+    "comment_backfill",
+    f"""with p as (select o_orderkey as id, o_custkey % 8 as comments_count,
+            case when o_orderkey % 4 = 0 then o_custkey % 3 end as deleted_comments from orders),
+    c as (select l_orderkey as projectid, count(*) as stored, max(l_orderkey * 10000 + l_partkey) as latest
+        from lineitem group by 1),
+    plan as (select p.*, coalesce(stored, 0) as stored, coalesce(latest, 0) as latest from p
+        left join c on projectid = id)
+    select id, {_PROJECT_URL.replace('o_orderkey', 'id')} as url_project, latest as cursor,
+        case when id % 5 = 0 then comments_count - stored else deleted_comments end as deleted_comments
+    from plan where comments_count - coalesce(deleted_comments, 0) > 0
+        and comments_count - coalesce(deleted_comments, 0) <> stored""",
+)
+def comment_backfill(t):
+    table = t.orders.select(
+        _key().alias("id"),
+        F.concat(F.lit("https://site.example/projects/"), _key().cast("string")).alias("url_project"),
+        (_owner() % 8).alias("comments_count"),
+        F.when(_key() % 4 == 0, _owner() % 3).alias("deleted_comments"),
+    )
+    comments = t.lineitem.select(
+        F.col("l_orderkey").alias("projectid"), (F.col("l_orderkey") * 10000 + F.col("l_partkey")).alias("id")
+    )
+    plan = projects.comment_backfill(table, comments)
+    finished = plan.filter("id % 5 = 0").select(F.col("id").alias("project_id"))
+    marked = projects.mark_deleted_comments(table, comments, finished).select("id", "deleted_comments")
+    return plan.join(marked, "id")
+
+
 @query(
     "merge_tables",
     """with newest as (select o_orderkey as id, o_custkey % 3 as loan_id, o_totalprice as amount from orders

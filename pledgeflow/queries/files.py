@@ -179,6 +179,21 @@ def sitemap_merge(t):
     return merged.select("loc", F.array_join(F.array_sort("categories"), ",").alias("categories"), "lastmod", "changefreq")
 
 
+@query(
+    "pages_to_download",
+    """with s as (select distinct 'https://site.example/' || o_custkey as loc, o_orderstatus as c from orders)
+    select distinct loc from s union select a.loc || '/fundraiser/' || replace(a.loc, 'https://site.example/', '')
+    from s a join s b on a.loc = b.loc and a.c = 'O' and b.c = 'F'""",
+)
+def pages_to_download(t):
+    category = F.when(F.col("o_orderstatus") == "O", "users").when(F.col("o_orderstatus") == "F", "fundraisers")
+    listed = t.orders.select(
+        F.concat(F.lit("https://site.example/"), F.col("o_custkey").cast("string")).alias("loc"),
+        category.alias("category"),
+    )
+    return sitemap_plan.pages_to_download(listed, "https://site.example/")
+
+
 @query(
     "sitemap_bad_urls",
     "select distinct 'https://site.example/' || o_custkey || '&bad' as loc from orders where o_orderkey % 11 = 0",
@@ -203,7 +218,7 @@ def scan_url_list(t):
     "skip_first_n",
     """with r as (select page_id, url, row_number() over (order by page_id) as rn from pages)
     select page_id as id, 'https://site.example/k=' || page_id % 16 as url from r
-    where rn > 100 and page_id % 16 not in (3, 5)""",
+    where rn > 20 and page_id % 16 not in (3, 5)""",
 )
 def skip_first_n(t):
     folder = work_path(t.spark, "skip")
@@ -216,7 +231,7 @@ def skip_first_n(t):
     listing = t.spark.read.schema("position bigint, id bigint, url string").csv(f"{folder}/listing")
     stored = files.stored_files(t.spark, f"{folder}/pages")
     pages = stored.select(F.regexp_replace("path", "/[^/]*$", "").alias("path"))
-    return files.remaining_paths(listing, pages, 100).select("id", "url")
+    return files.remaining_paths(listing, pages, 20).select("id", "url")
 
 
 @query(

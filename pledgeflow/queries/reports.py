@@ -87,8 +87,8 @@ def describe_digits(t):
     usd as (select quarter, o_totalprice * coalesce(r.usd_rate, l.usd_rate) as v from p
         left join rates r on r.currency = cur and r.rate_date = cast(o_orderdate as date)
         left join latest l on l.currency = cur)
-    select 'amount' as report, quarter, round(sum(v), 2) as total, round(avg(v), 4) as mean from usd group by 2
-    union all select 'first_measure', quarter, round(sum(c_acctbal), 2), round(avg(c_acctbal), 4) from p group by 2
+    select 'amount' as report, quarter, round(sum(v), 2) as total, round(avg(v), 2) as mean from usd group by 2
+    union all select 'first_measure', quarter, round(sum(c_acctbal), 2), round(avg(c_acctbal), 2) from p group by 2
     union all select 'projects', quarter, count(*)::double, null from p group by 2
     union all select 'split', quarter, round(sum(c_acctbal), 2), round(stddev_pop(o_totalprice), 2) from p group by 2""",
 )
@@ -109,7 +109,7 @@ def quarterly_report(t):
         return tables[name].select(F.lit(name).alias("report"), "quarter", total.alias("total"), mean.alias("mean"))
 
     def rounded(name):
-        return rows(name, F.round("total", 2), F.round("mean", 4))
+        return rows(name, F.round("total", 2), F.round("mean", 2))
 
     return (
         rounded("amount")
