@@ -14,14 +14,13 @@ from pledgeflow.session import materialise
 def latest_per_day(
     df: DataFrame, entity: str, day: str, order: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
-    """One row per entity and day, the latest by ``order``; negative days go.
+    """One row per entity and day (or date), the latest by ``order``.
 
     Combined map-side, so an entity contributes at most one row per day afterwards.
     """
     last = F.max_by(F.struct(*values), F.struct(*order))
     return (
-        df.filter(F.col(day) >= 0)
-        .groupBy(entity, day)
+        df.groupBy(entity, day)
         .agg(last.alias("__last"))
         .select(entity, day, *[F.col(f"__last.{v}").alias(v) for v in values])
     )
@@ -37,8 +36,8 @@ def interpolate_daily(
 ) -> DataFrame:
     """Every day from 0 to the entity's last observation, linear in between.
 
-    Entities start at zero on day 0 unless observed then; those with no more than
-    ``min_points`` points are dropped. Columns in ``counts`` are rounded half-even.
+    ``daily`` has one row per entity and day; negative days go. Entities start at zero on
+    day 0 unless observed then; those with no more than ``min_points`` points are dropped. Columns in ``counts`` are rounded half-even.
 
     Each observation fills the days since the one before it, so one window per entity
     (over at most one row per day) replaces the join to a calendar.
@@ -47,7 +46,7 @@ def interpolate_daily(
     whole = Window.partitionBy(entity)
     columns = [*values, *counts]
     points = F.count(F.lit(1)).over(whole) + (F.min(day).over(whole) > 0).cast("int")
-    spans = daily.select(
+    spans = daily.filter(F.col(day) >= 0).select(
         entity,
         day,
         *columns,

@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pledgeflow.session import sized
+
+
+# a rate row is some 40 bytes; every currency and day on record stays far below this
+_MAX_BROADCAST_RATES = 2_000_000
+
 
 def latest_rates(rates: DataFrame) -> DataFrame:
     return rates.groupBy("currency").agg(F.max_by("usd_rate", "rate_date").alias("__latest"))
@@ -21,21 +27,28 @@ def to_usd(
     """Convert amount columns with ``rates(currency, rate_date, usd_rate)``.
 
     The rate of the row's date applies; where that day has none, or no date column is
-    given, the currency's latest. NULL amounts stay NULL. The rate table's size decides
-    by itself whether Spark broadcasts it.
+    given, the currency's latest. NULL amounts stay NULL.
+
+    A handful of currencies hold most rows, so the fact side must not be shuffled by
+    currency: the rates are materialised, counted, and broadcast. Only a rate table
+    beyond the limit is joined by shuffle, where AQE splits the hot currencies.
     """
-    latest = latest_rates(rates).withColumnRenamed("currency", "__cur")
+    kept, small = sized(rates.select("currency", "rate_date", "usd_rate"), _MAX_BROADCAST_RATES)
+
+    def side(lookup: DataFrame) -> DataFrame:
+        return F.broadcast(lookup) if small else lookup
+
+    latest = side(latest_rates(kept).withColumnRenamed("currency", "__cur"))
     joined = df.join(latest, F.col(currency) == F.col("__cur"), "left").drop("__cur")
     rate = F.col("__latest")
     if date is not None:
-        dated = rates.select(
+        dated = kept.select(
             F.col("currency").alias("__cur"),
             F.col("rate_date").alias("__day"),
             F.col("usd_rate").alias("__dated"),
         )
-        joined = joined.join(
-            dated, (F.col(currency) == F.col("__cur")) & (F.to_date(date) == F.col("__day")), "left"
-        ).drop("__cur", "__day")
+        on_day = (F.col(currency) == F.col("__cur")) & (F.to_date(date) == F.col("__day"))
+        joined = joined.join(side(dated), on_day, "left").drop("__cur", "__day")
         rate = F.coalesce("__dated", "__latest")
     converted = {f"{a}{suffix}": F.col(a) * rate for a in amounts}
     return joined.withColumns(converted).drop("__latest", "__dated")

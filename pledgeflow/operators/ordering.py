@@ -1,19 +1,21 @@
-"""Exact running totals, row numbers and buckets without a single-task window.
+"""Exact running totals, row numbers and buckets that survive hot groups.
 
-Rows are split by monotone prefixes of the order columns (coarse to fine). Counts
-per prefix are tiny; their running sums give each prefix its offset, and only the
-rows inside one finest prefix are sorted together. A hot group is thereby spread
-over as many tasks as it has prefixes.
+Groups are counted first. Ordinary ones go through a plain window. A group with more rows
+than one task should sort is split by monotone prefixes of its order column (coarse to
+fine): counts per prefix are small, their running sums give each prefix its offset, and
+only the rows inside one finest prefix are sorted together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pledgeflow.session import materialise
+
 
 def prefixes(df: DataFrame, column: str) -> list[Column]:
     """Coarse-to-fine monotone prefixes for an integer, date or timestamp column."""
@@ -29,10 +31,29 @@ def prefixes(df: DataFrame, column: str) -> list[Column]:
     raise TypeError(f"give the prefixes for {column} of type {kind.simpleString()}")
 
 
+# rows of one group that a single task may sort
+HOT_ROWS = 2_000_000
+
+
 def _before(keys: Sequence[str], order: str):
     return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def _by_heat(
+    df: DataFrame, by: list[str], hot_rows: int, plain: Callable[[DataFrame], DataFrame], split: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Apply ``split`` to the rows of groups above ``hot_rows``, ``plain`` to the rest."""
+    if by == ["__all"]:
+        return split(df) if df.count() > hot_rows else plain(df)
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    hot = materialise(sizes.filter(F.col("__n") > hot_rows).select(*by))
+    # at most total / hot_rows groups, so this list is short by construction
+    if hot.limit(1).count() == 0:
+        return plain(df)
+    cold = plain(df.join(F.broadcast(hot), by, "left_anti"))
+    return cold.unionByName(split(df.join(F.broadcast(hot), by, "left_semi")))
+
+
 def running_total(
     df: DataFrame,
     order: Sequence[str],
@@ -40,6 +61,7 @@ def running_total(
     weight: Column | None = None,
     out: str = "row_number",
     levels: Sequence[Column] | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Sum of ``weight`` over this row and all before it in ``order``, within ``by``.
 
@@ -47,13 +69,25 @@ def running_total(
     prefixes of its first column, coarse first. Without a weight this is the
     row number.
     """
-    by = list(by) or ["__all"]
-    coarse, fine = levels or prefixes(df, order[0])
     value = F.lit(1).cast("long") if weight is None else weight.cast("long")
-    rows = df.withColumns({"__coarse": coarse, "__fine": fine, "__w": value})
-    if by == ["__all"]:
+    rows = df.withColumn("__w", value)
+    keys = list(by) or ["__all"]
+    if not by:
         rows = rows.withColumn("__all", F.lit(0))
 
+    def plain(part: DataFrame) -> DataFrame:
+        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return part.withColumn(out, F.sum("__w").over(window))
+
+    def split(part: DataFrame) -> DataFrame:
+        return _split_total(part, order, keys, out, levels or prefixes(df, order[0]))
+
+    return _by_heat(rows, keys, hot_rows, plain, split).select(*df.columns, out)
+
+
+def _split_total(rows: DataFrame, order: Sequence[str], by: list[str], out: str, levels: Sequence[Column]) -> DataFrame:
+    columns = [*rows.columns, out]
+    rows = rows.withColumns({"__coarse": levels[0], "__fine": levels[1]})
     per_fine = rows.groupBy(*by, "__coarse", "__fine").agg(F.sum("__w").alias("__n"))
     per_coarse = per_fine.groupBy(*by, "__coarse").agg(F.sum("__n").alias("__n"))
     coarse_start = per_coarse.select(
@@ -74,7 +108,7 @@ def running_total(
     return (
         rows.join(start, [*by, "__coarse", "__fine"])
         .withColumn(out, F.col("__c0") + F.col("__f0") + F.sum("__w").over(inside))
-        .select(*df.columns, out)
+        .select(*columns)
     )
 
 
@@ -85,14 +119,29 @@ def previous_value(
     by: Sequence[str],
     out: str,
     levels: Sequence[Column] | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The last non-null ``value`` before each row, within ``by``.
 
-    Split the same way as :func:`running_total`: a block hands its last value on to the next.
+    Hot groups are split like those of :func:`running_total`: a block hands its last
+    value on to the next.
     """
     by = list(by)
-    coarse, fine = levels or prefixes(df, order[0])
-    rows = df.withColumns({"__coarse": coarse, "__fine": fine})
+
+    def plain(part: DataFrame) -> DataFrame:
+        window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return part.withColumn(out, F.last(value, ignorenulls=True).over(window))
+
+    def split(part: DataFrame) -> DataFrame:
+        return _split_previous(part, value, order, by, out, levels or prefixes(df, order[0]))
+
+    return _by_heat(df, by, hot_rows, plain, split)
+
+
+def _split_previous(
+    df: DataFrame, value: str, order: Sequence[str], by: list[str], out: str, levels: Sequence[Column]
+) -> DataFrame:
+    rows = df.withColumns({"__coarse": levels[0], "__fine": levels[1]})
     at = F.when(F.col(value).isNotNull(), F.struct(*order))
     per_fine = rows.groupBy(*by, "__coarse", "__fine").agg(F.max_by(value, at).alias("__last"))
     position = F.when(F.col("__last").isNotNull(), F.col("__fine"))
@@ -119,9 +168,9 @@ def previous_value(
     )
 
 
-def round_robin(df: DataFrame, key: str, n: int) -> DataFrame:
+def round_robin(df: DataFrame, key: str, n: int, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Bucket ``i % n`` by position in key order."""
-    numbered = running_total(df, [key], out="__rn")
+    numbered = running_total(df, [key], out="__rn", hot_rows=hot_rows)
     return numbered.withColumn("bucket", F.pmod(F.col("__rn") - 1, F.lit(n))).drop("__rn")
 
 
@@ -130,23 +179,23 @@ def hashed_bucket(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(n)))
 
 
-def balanced_parts(df: DataFrame, key: str, n: int) -> DataFrame:
+def balanced_parts(df: DataFrame, key: str, n: int, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Contiguous parts whose sizes differ by at most one, remainders spread evenly."""
     total = df.agg(F.count(F.lit(1))).scalar()
-    numbered = running_total(df, [key], out="__rn")
+    numbered = running_total(df, [key], out="__rn", hot_rows=hot_rows)
     part = F.floor((F.col("__rn") * n - 1) / total)
     return numbered.withColumn("part", part).drop("__rn")
 
 
-def fixed_chunks(df: DataFrame, key: str, size: int) -> DataFrame:
+def fixed_chunks(df: DataFrame, key: str, size: int, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Chunk index with ``size`` rows per chunk, the last one possibly short."""
-    numbered = running_total(df, [key], out="__rn")
+    numbered = running_total(df, [key], out="__rn", hot_rows=hot_rows)
     return numbered.withColumn("chunk", F.floor((F.col("__rn") - 1) / size)).drop("__rn")
 
 
-def skip_first(df: DataFrame, key: str, n: int) -> DataFrame:
+def skip_first(df: DataFrame, key: str, n: int, hot_rows: int = HOT_ROWS) -> DataFrame:
     """All rows after the first n in key order."""
-    return running_total(df, [key], out="__rn").filter(F.col("__rn") > n).drop("__rn")
+    return running_total(df, [key], out="__rn", hot_rows=hot_rows).filter(F.col("__rn") > n).drop("__rn")
 
 
 def fold_runs(
@@ -158,6 +207,7 @@ def fold_runs(
     keep: Sequence[str] = (),
     separator: str = " > ",
     levels: Sequence[Column] | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Start a new run at each ``starts`` row and join the pieces of a run into a chain.
 
@@ -165,7 +215,7 @@ def fold_runs(
     fetch (its redirects), so it is the run, not the log, that ends up in one cell.
     """
     marked = df.withColumns({"__start": starts.cast("int"), "__piece": piece})
-    runs = running_total(marked, order, [by], F.col("__start"), "run", levels).filter("run > 0")
+    runs = running_total(marked, order, [by], F.col("__start"), "run", levels, hot_rows).filter("run > 0")
     item = F.struct(*order, F.col("__piece").alias("piece"))
     return (
         runs.groupBy(by, "run")

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pledgeflow.session import broadcast_if_small
+from pledgeflow.session import sized
 
 # buckets per factor of two: each spans 0.07 % of its value
 _RESOLUTION = 1024
@@ -39,6 +39,14 @@ def _locate(counts: DataFrame, keys: list[str], order: str, ranks: Column) -> Da
     )
 
 
+def _distinct(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct values of the wanted buckets with their counts."""
+    return rows.groupBy(*keys, "__bucket", "__v").agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.first(c).alias(c) for c in ("__total", "__base", "__wanted")],
+    )
+
+
 def group_quantiles(
     df: DataFrame,
     by: Sequence[str],
@@ -73,16 +81,12 @@ def group_quantiles(
     targets = _locate(histogram, keys, "__bucket", wanted).select(
         *keys, "__bucket", "__total", F.col("__below").alias("__base"), F.col("__ranks").alias("__wanted")
     )
-    candidates = (
-        rows.join(broadcast_if_small(targets), [*keys, "__bucket"])
-        .groupBy(*keys, "__bucket", "__v")
-        .agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.first("__total").alias("__total"),
-            F.first("__base").alias("__base"),
-            F.first("__wanted").alias("__wanted"),
-        )
-    )
+    targets, small = sized(targets)
+    if small:
+        candidates = _distinct(rows.join(F.broadcast(targets), [*keys, "__bucket"]), keys)
+    else:  # many groups: reduce equal values map-side before the rows travel to the join
+        counted = rows.groupBy(*keys, "__bucket", "__v").agg(F.count(F.lit(1)).alias("__n"))
+        candidates = counted.join(targets, [*keys, "__bucket"])
     hits = _locate(candidates, [*keys, "__bucket"], "__v", F.col("__wanted")).select(
         *keys, "__total", "__v", F.explode("__ranks").alias("__rank")
     )

@@ -109,23 +109,21 @@ def funding_curve_report(
     ``trend(projectid, added, amount_pledged, update_count, comment_count, backer_count)``,
     ``projects(id, status, start_date, currency, goal)``.
     """
+    counts = ["update_count", "comment_count", "backer_count"]
+    # one row per project and date first, so a heavily observed project is cut down before the join
+    dated = trend.withColumn("date", F.to_date("added"))
+    order = ["added", "amount_pledged", *counts]
+    latest = curves.latest_per_day(dated, "projectid", "date", order, ["amount_pledged", *counts])
     chosen = projects.filter(F.col("status") == status).select("id", "start_date", "currency", "goal")
-    joined = trend.join(chosen, trend["projectid"] == chosen["id"])
+    joined = latest.join(chosen, latest["projectid"] == chosen["id"])
     usd = money.to_usd(joined, ["amount_pledged", "goal"], "currency", rates)
-    observed = usd.select(
-        "projectid",
-        F.datediff(F.to_date("added"), F.to_date("start_date")).alias("day"),
-        "added",
-        "amount_pledged",
-        "update_count",
-        "comment_count",
-        "backer_count",
-        money.percent_of_goal(F.col("amount_pledged"), F.col("goal")).alias("percent_of_goal"),
-    )
     amounts = ["amount_pledged", "percent_of_goal"]
-    counts = ["update_count", "comment_count", "backer_count"]
-    order = ["added", *amounts, *counts]
-    daily = curves.latest_per_day(observed, "projectid", "day", order, [*amounts, *counts])
+    daily = usd.withColumns(
+        {
+            "day": F.datediff("date", F.to_date("start_date")),
+            "percent_of_goal": money.percent_of_goal(F.col("amount_pledged"), F.col("goal")),
+        }
+    )
     filled = curves.interpolate_daily(daily, "projectid", "day", amounts, counts, min_points)
     return curves.funding_curve(filled, "day", [*amounts, *counts])
 

@@ -387,7 +387,7 @@ def find_duplicates(t):
     """select event_id, user_id, row_number() over (order by ts, event_id) as row_number from events""",
 )
 def row_number(t):
-    numbered = ordering.running_total(t.events, ["ts", "event_id"])
+    numbered = ordering.running_total(t.events, ["ts", "event_id"], hot_rows=500)
     return numbered.select("event_id", "user_id", "row_number")
 
 
@@ -398,7 +398,7 @@ def row_number(t):
 )
 def event_number(t):
     entries = t.events.filter("event_type <> 'error'")
-    numbered = ordering.running_total(entries, ["ts", "event_id"], ["user_id"], out="number")
+    numbered = ordering.running_total(entries, ["ts", "event_id"], ["user_id"], out="number", hot_rows=55)
     return numbered.select("event_id", "user_id", "number")
 
 
@@ -407,7 +407,7 @@ def event_number(t):
     """select event_id, lag(value) over (partition by user_id order by ts, event_id) as previous from events""",
 )
 def previous_value(t):
-    df = ordering.previous_value(t.events, "value", ["ts", "event_id"], ["user_id"], "previous")
+    df = ordering.previous_value(t.events, "value", ["ts", "event_id"], ["user_id"], "previous", hot_rows=70)
     return df.select("event_id", "previous")
 
 
@@ -416,7 +416,7 @@ def previous_value(t):
     "select o_orderkey, (row_number() over (order by o_orderkey) - 1) % 7 as bucket from orders",
 )
 def bucket_round_robin(t):
-    return ordering.round_robin(t.orders.select("o_orderkey"), "o_orderkey", 7)
+    return ordering.round_robin(t.orders.select("o_orderkey"), "o_orderkey", 7, hot_rows=1000)
 
 
 @query(
@@ -425,7 +425,7 @@ def bucket_round_robin(t):
         // (select count(*) from orders) as bigint) as part from orders""",
 )
 def bucket_balanced(t):
-    return ordering.balanced_parts(t.orders.select("o_orderkey"), "o_orderkey", 7)
+    return ordering.balanced_parts(t.orders.select("o_orderkey"), "o_orderkey", 7, hot_rows=1000)
 
 
 @query(

@@ -36,7 +36,8 @@ def rates(spark) -> DataFrame:
     days = F.explode(F.sequence(F.lit("1995-01-01").cast("date"), F.lit("1999-12-31").cast("date")))
     step = F.datediff(F.col("rate_date"), F.lit("1995-01-01").cast("date"))
     return (
-        spark.createDataFrame([(c, i) for i, c in enumerate(CURRENCIES.values())], "currency string, k int")
+        spark.range(len(CURRENCIES))
+        .select(F.col("id").alias("k"), F.get(F.array(*map(F.lit, CURRENCIES.values())), F.col("id").cast("int")).alias("currency"))
         .select("currency", "k", days.alias("rate_date"))
         .select(
             "currency",

@@ -61,15 +61,20 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Materialise a summary table and hint a broadcast only when its counted size allows it.
+def sized(df: DataFrame, max_rows: int = 200_000) -> tuple[DataFrame, bool]:
+    """Materialise a summary table and tell whether its counted size allows a broadcast.
 
     For narrow tables whose plan-time size estimate is useless because they are
-    aggregates of something huge. Above ``max_rows`` the join stays a shuffle
-    join (with AQE skew handling).
+    aggregates of something huge.
     """
     kept = materialise(df)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    return kept, kept.count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Broadcast hint up to ``max_rows``; above, a shuffle join with AQE skew handling."""
+    kept, small = sized(df, max_rows)
+    return F.broadcast(kept) if small else kept
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

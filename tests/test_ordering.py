@@ -18,7 +18,7 @@ def _levels():
 
 
 def test_row_number_within_hot_key(spark):
-    got = rows(ordering.running_total(_skewed(spark), ["pos"], ["k"], levels=_levels()).select("k", "pos", "row_number"))
+    got = rows(ordering.running_total(_skewed(spark), ["pos"], ["k"], levels=_levels(), hot_rows=50).select("k", "pos", "row_number"))
     groups = {}
     for k, pos, _ in [tuple(r) for r in _skewed(spark).collect()]:
         groups.setdefault(k, []).append(pos)
@@ -27,7 +27,7 @@ def test_row_number_within_hot_key(spark):
 
 
 def test_global_running_total_with_weights(spark):
-    df = ordering.running_total(_skewed(spark), ["pos"], weight=F.col("id"), out="total", levels=_levels())
+    df = ordering.running_total(_skewed(spark), ["pos"], weight=F.col("id"), out="total", levels=_levels(), hot_rows=50)
     data = sorted((r.pos, r.id) for r in _skewed(spark).collect())
     total, want = 0, []
     for pos, value in data:
@@ -38,7 +38,7 @@ def test_global_running_total_with_weights(spark):
 
 def test_previous_value_skips_nulls_and_crosses_blocks(spark):
     df = _skewed(spark).withColumn("v", F.when(F.col("pos") % 50 == 0, F.col("pos")))
-    got = {(r.k, r.pos): r.before for r in ordering.previous_value(df, "v", ["pos"], ["k"], "before", _levels()).collect()}
+    got = {(r.k, r.pos): r.before for r in ordering.previous_value(df, "v", ["pos"], ["k"], "before", _levels(), hot_rows=50).collect()}
     last = {}
     for k, pos in sorted((r.k, r.pos) for r in df.collect()):
         assert got[(k, pos)] == last.get(k)
@@ -48,7 +48,7 @@ def test_previous_value_skips_nulls_and_crosses_blocks(spark):
 
 def test_balanced_parts_match_slicing(spark):
     for n_rows, parts in ((6, 4), (10, 3), (3, 5), (7, 7)):
-        df = ordering.balanced_parts(spark.range(n_rows), "id", parts)
+        df = ordering.balanced_parts(spark.range(n_rows), "id", parts, hot_rows=4)
         got = [r.part for r in df.orderBy("id").collect()]
         want = [p for p in range(parts) for _ in range(p * n_rows // parts, (p + 1) * n_rows // parts)]
         assert got == want
@@ -56,7 +56,7 @@ def test_balanced_parts_match_slicing(spark):
 
 def test_chunks_and_round_robin(spark):
     df = spark.range(100, 110)
-    assert [r.chunk for r in ordering.fixed_chunks(df, "id", 4).orderBy("id").collect()] == [0, 0, 0, 0, 1, 1, 1, 1, 2, 2]
+    assert [r.chunk for r in ordering.fixed_chunks(df, "id", 4, hot_rows=2).orderBy("id").collect()] == [0, 0, 0, 0, 1, 1, 1, 1, 2, 2]
     assert [r.bucket for r in ordering.round_robin(df, "id", 3).orderBy("id").collect()] == [0, 1, 2, 0, 1, 2, 0, 1, 2, 0]
 
 
@@ -67,7 +67,7 @@ def test_skip_first(spark):
 def test_fold_runs_drops_rows_before_first_start(spark):
     data = [("f", 1, "x"), ("f", 2, "open"), ("f", 3, "a"), ("f", 4, None), ("f", 5, "open"), ("g", 1, "open")]
     df = spark.createDataFrame(data, "file string, n long, what string")
-    got = ordering.fold_runs(df, "file", ["n"], F.col("what").eqNullSafe("open"), F.col("what"), keep=["what"])
+    got = ordering.fold_runs(df, "file", ["n"], F.col("what").eqNullSafe("open"), F.col("what"), keep=["what"], hot_rows=3)
     assert rows(got.select("file", "run", "started", "chain", "pieces")) == [
         ("f", 1, 2, "open > a", 2),
         ("f", 2, 5, "open", 1),
@@ -75,10 +75,20 @@ def test_fold_runs_drops_rows_before_first_start(spark):
     ]
 
 
-def test_rows_are_never_numbered_in_one_task(spark):
-    """Only the per-prefix counts may meet in a single partition, never the rows."""
-    df = ordering.running_total(spark.range(1000).withColumn("pad", F.lit("x")), ["id"])
-    for line in plan(df).splitlines():
-        if "SinglePartition" in line:
-            assert "pad" not in line
-    assert "hashpartitioning(__all" not in plan(df)
+def test_hot_and_plain_paths_agree(spark):
+    df = _skewed(spark)
+    split = ordering.running_total(df, ["pos"], ["k"], levels=_levels(), hot_rows=0)
+    mixed = ordering.running_total(df, ["pos"], ["k"], levels=_levels(), hot_rows=50)
+    plain = ordering.running_total(df, ["pos"], ["k"])
+    assert rows(split) == rows(mixed) == rows(plain)
+
+
+def test_hot_rows_are_never_numbered_in_one_task(spark):
+    """Every window that carries rows is partitioned by the finest prefix."""
+    padded = spark.range(1000).withColumn("pad", F.rand(1))
+    text = plan(ordering.running_total(padded, ["id"], hot_rows=100))
+    windows = [line for line in text.splitlines() if "Window [" in line]
+    over_rows = [line for line in windows if "sum(__n" not in line]
+    assert len(windows) == 3 and len(over_rows) == 1
+    assert "__fine" in over_rows[0]
+    assert "BroadcastNestedLoopJoin" not in text
