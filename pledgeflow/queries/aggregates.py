@@ -491,11 +491,11 @@ def limit_key_range(t):
 @query(
     "groups_newest_first",
     """select event_type as category, event_id // 100 as num, count(*) as n from events
-    where ts > (select max(ts) from events where event_id % 2 = 0 and ts < timestamp '2024-01-15')
+    where ts > (select max(ts) from events where event_type = 'view' and ts < timestamp '2024-01-15')
     group by 1, 2 order by 1, 2 desc""",
 )
 def groups_newest_first(t):
-    stored = t.events.filter("event_id % 2 = 0 and ts < timestamp_ntz'2024-01-15'")
+    stored = t.events.filter("event_type = 'view' and ts < timestamp_ntz'2024-01-15'")
     fresh = filters.newer_than_stored(t.events, "ts", stored, "ts")
     counted = fresh.groupBy(F.col("event_type").alias("category"), F.expr("event_id div 100").alias("num"))
     return counted.agg(F.count(F.lit(1)).alias("n")).orderBy("category", F.desc("num"))

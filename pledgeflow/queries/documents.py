@@ -437,7 +437,7 @@ def normalise_project_reward_item(t):
 @query(
     "project_work_lists",
     f"""with known as (select o_orderkey as id, {_PROJECT_URL} as url from orders),
-    stored as (select * from orders where o_orderkey % 3 <> 0)
+    stored as (select * from orders where o_orderpriority <> '1-URGENT')
     select 'download' as list, url as entry from known where id not in (select o_orderkey from stored)
     union select 'download', {_PROJECT_URL} from stored where o_orderstatus = 'O'
     union all select 'bio', cast(o_custkey as varchar) || ' ' || min({_PROJECT_URL}) || '/creator_bio' from stored
@@ -446,7 +446,7 @@ def normalise_project_reward_item(t):
 def project_work_lists(t):
     url = F.concat(F.lit("https://site.example/projects/"), _key().cast("string"))
     known = t.orders.select(_key().alias("project_id"), url.alias("url"))
-    stored = t.orders.filter("o_orderkey % 3 <> 0").select(
+    stored = t.orders.filter("o_orderpriority <> '1-URGENT'").select(
         _key().alias("id"),
         F.when(F.col("o_orderstatus") == "O", "live").otherwise("failed").alias("state"),
         url.alias("url_project"),
@@ -469,7 +469,7 @@ def project_work_lists(t):
     plan as (select p.*, coalesce(stored, 0) as stored, coalesce(latest, 0) as latest from p
         left join c on projectid = id)
     select id, {_PROJECT_URL.replace('o_orderkey', 'id')} as url_project, latest as cursor,
-        case when id % 5 = 0 then comments_count - stored else deleted_comments end as deleted_comments
+        case when id in (select doc_id from labels) then comments_count - stored else deleted_comments end as deleted_comments
     from plan where comments_count - coalesce(deleted_comments, 0) > 0
         and comments_count - coalesce(deleted_comments, 0) <> stored""",
 )
@@ -484,7 +484,7 @@ def comment_backfill(t):
         F.col("l_orderkey").alias("projectid"), (F.col("l_orderkey") * 10000 + F.col("l_partkey")).alias("id")
     )
     plan = projects.comment_backfill(table, comments)
-    finished = plan.filter("id % 5 = 0").select(F.col("id").alias("project_id"))
+    finished = t.labels.select(F.col("doc_id").alias("project_id"))
     marked = projects.mark_deleted_comments(table, comments, finished).select("id", "deleted_comments")
     return plan.join(marked, "id")
 
@@ -492,18 +492,18 @@ def comment_backfill(t):
 @query(
     "merge_tables",
     """with newest as (select o_orderkey as id, o_custkey % 3 as loan_id, o_totalprice as amount from orders
-        where o_orderkey % 2 = 0),
-    old as (select o_orderkey as id, 9 as loan_id, 0.5::double as amount from orders where o_orderkey % 3 = 0),
+        where o_orderstatus <> 'P'),
+    old as (select o_orderkey as id, 9 as loan_id, 0.5::double as amount from orders where o_orderpriority = '1-URGENT'),
     tags as (select distinct o_custkey as loan_id, o_orderpriority as name from orders)
     select 'payment' as name, count(*) as n, round(sum(amount), 2) as total from (
         select * from newest union all select * from old where id not in (select id from newest))
     union all select 'tag', count(*), round(sum(loan_id)::double, 2) from tags""",
 )
 def merge_tables(t):
-    old = t.orders.filter("o_orderkey % 3 = 0").select(
+    old = t.orders.filter("o_orderpriority = '1-URGENT'").select(
         _key().alias("id"), F.lit(9).cast("long").alias("loan_id"), F.lit(0.5).alias("amount")
     )
-    newest = t.orders.filter("o_orderkey % 2 = 0").select(
+    newest = t.orders.filter("o_orderstatus <> 'P'").select(
         _key().alias("id"), (_owner() % 3).alias("loan_id"), F.col("o_totalprice").alias("amount")
     )
     tags = t.orders.select(_owner().alias("loan_id"), F.col("o_orderpriority").alias("name"))

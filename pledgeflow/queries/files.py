@@ -155,7 +155,7 @@ def sitemap_index(t):
     n as (select loc, list_sort(list(category)) as categories, max(lastmod) as lastmod, max(changefreq) as changefreq
         from r group by 1),
     old as (select 'https://site.example/' || c_custkey as loc, ['old'] as categories,
-        timestamp '2000-06-01' as lastmod, 'weekly' as changefreq from customer where c_custkey % 4 = 0)
+        timestamp '2000-06-01' as lastmod, 'weekly' as changefreq from customer where c_acctbal < 3000)
     select coalesce(old.loc, n.loc) as loc,
         array_to_string(list_sort(case when old.loc is null then n.categories when old.lastmod < n.lastmod
             then list_distinct(list_concat(old.categories, n.categories)) else old.categories end), ',') as categories,
@@ -167,7 +167,7 @@ def sitemap_merge(t):
     scanned = sitemap.sitemap_urls(t.spark, _write_sitemaps(t)).withColumn(
         "category", F.replace("category", F.lit("category="), F.lit(""))
     )
-    stored = t.customer.filter("c_custkey % 4 = 0").select(
+    stored = t.customer.filter("c_acctbal < 3000").select(
         F.concat(F.lit("https://site.example/"), F.col("c_custkey").cast("string")).alias("loc"),
         F.array(F.lit("old")).alias("categories"),
         F.to_timestamp_ntz(F.lit("2000-06-01 00:00:00")).alias("lastmod"),

@@ -134,11 +134,11 @@ def array_any_all(t):
 @query(
     "high_watermark",
     """select event_id, ts from events
-    where ts > coalesce((select max(ts) from events where event_id % 2 = 0 and ts < timestamp '2024-01-15'),
+    where ts > coalesce((select max(ts) from events where event_type = 'view' and ts < timestamp '2024-01-15'),
         timestamp '1970-01-01')""",
 )
 def high_watermark(t):
-    stored = t.events.filter("event_id % 2 = 0 and ts < timestamp_ntz'2024-01-15'")
+    stored = t.events.filter("event_type = 'view' and ts < timestamp_ntz'2024-01-15'")
     return filters.newer_than_stored(t.events, "ts", stored, "ts").select("event_id", "ts")
 
 
@@ -157,7 +157,7 @@ def high_watermark_empty(t):
             from orders),
     fetched as (select o_orderkey as loc, case when o_orderkey % 5 <> 0
             then o_orderdate + to_days(cast(o_custkey % 5 - 2 as integer)) end as fetched_at
-            from orders where o_orderkey % 3 <> 0)
+            from orders where o_orderpriority <> '1-URGENT')
     select l.loc from listed l left join fetched f on l.loc = f.loc
     where f.loc is null or l.modified > f.fetched_at or (f.fetched_at is null and l.modified is not null)""",
 )
@@ -167,7 +167,7 @@ def needs_refresh(t):
         F.when(F.col("o_orderkey") % 9 != 0, F.col("o_orderdate")).alias("modified"),
     )
     shifted = F.col("o_orderdate") + F.make_dt_interval(days=(F.col("o_custkey") % 5 - 2).cast("int"))
-    fetched = t.orders.filter("o_orderkey % 3 <> 0").select(
+    fetched = t.orders.filter("o_orderpriority <> '1-URGENT'").select(
         F.col("o_orderkey").alias("loc"),
         F.when(F.col("o_orderkey") % 5 != 0, shifted).alias("fetched_at"),
     )
@@ -373,8 +373,8 @@ def placeholder_rows(t):
         select p_name, 'part' from part union all
         select n_name, 'nation' from nation union all
         select r_name, 'region' from region),
-    r as (select distinct c_name as url from customer where c_custkey % 2 = 0 union
-        select distinct p_name from part where p_size < 10 union select s_name from supplier where s_suppkey % 3 = 0)
+    r as (select distinct c_name as url from customer where c_acctbal > 0 union
+        select distinct p_name from part where p_size < 10 union select s_name from supplier where s_acctbal > 0)
     select e.url, entity, count(*) as n from r join e on r.url = e.url group by 1, 2""",
 )
 def union_lookup(t):
@@ -386,9 +386,9 @@ def union_lookup(t):
         "region": t.region.select(F.col("r_name").alias("url")),
     }
     requests = rec.union_distinct(
-        t.customer.filter("c_custkey % 2 = 0").select(F.col("c_name").alias("url")),
+        t.customer.filter("c_acctbal > 0").select(F.col("c_name").alias("url")),
         t.part.filter("p_size < 10").select(F.col("p_name").alias("url")),
-        t.supplier.filter("s_suppkey % 3 = 0").select(F.col("s_name").alias("url")),
+        t.supplier.filter("s_acctbal > 0").select(F.col("s_name").alias("url")),
     )
     found = rec.union_lookup(requests, tables, "url")
     return found.groupBy("url", "entity").agg(F.count(F.lit(1)).alias("n"))

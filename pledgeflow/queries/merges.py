@@ -13,8 +13,8 @@ from pledgeflow.queries.registry import query
 
 
 def _stored(t):
-    """Two thirds of the orders as the table already stored."""
-    return t.orders.filter("o_orderkey % 3 <> 0").select(
+    """The orders that are already stored: all but one priority."""
+    return t.orders.filter("o_orderpriority <> '1-URGENT'").select(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderstatus").alias("state"),
         F.col("o_totalprice").alias("pledged"),
@@ -24,8 +24,8 @@ def _stored(t):
 
 
 def _batch(t):
-    """Half of the orders, each twice, with changed amounts and without a category."""
-    half = t.orders.filter("o_orderkey % 2 = 0")
+    """Orders of two states, each twice, with changed amounts and without a category."""
+    half = t.orders.filter("o_orderstatus <> 'P'")
     return half.select(
         F.col("o_orderkey").alias("id"),
         F.explode(F.array(F.lit(1), F.lit(2))).alias("seq"),
@@ -38,7 +38,7 @@ def _batch(t):
 @query(
     "align_insert",
     """select o_orderkey as id, o_orderstatus as state, o_totalprice as pledged, o_orderpriority as category
-    from orders where o_orderkey % 3 <> 0
+    from orders where o_orderpriority <> '1-URGENT'
     union all select c_custkey, null, c_acctbal, null from customer""",
 )
 def align_insert(t):
@@ -50,9 +50,9 @@ def align_insert(t):
 
 
 _UPSERT = """select o_orderkey as id, o_orderstatus as state, o_totalprice as pledged, o_orderpriority as category,
-        o_orderdate as modified from orders where o_orderkey % 3 <> 0 and o_orderkey % 2 <> 0
+        o_orderdate as modified from orders where o_orderpriority <> '1-URGENT' and o_orderstatus = 'P'
     union all select o_orderkey, o_orderstatus, o_totalprice + {seq}, null, {touched}
-        from orders where o_orderkey % 2 = 0 {fresh}"""
+        from orders where o_orderstatus <> 'P' {fresh}"""
 
 
 @query("upsert_replace", _UPSERT.format(seq=2, touched="timestamp '2024-02-01'", fresh=""))
@@ -66,9 +66,9 @@ def upsert_replace(t):
 @query(
     "insert_ignore",
     """select o_orderkey as id, o_orderstatus as state, o_totalprice as pledged, o_orderpriority as category,
-        o_orderdate as modified from orders where o_orderkey % 3 <> 0
+        o_orderdate as modified from orders where o_orderpriority <> '1-URGENT'
     union all select o_orderkey, o_orderstatus, o_totalprice + 1, null, null
-        from orders where o_orderkey % 2 = 0 and o_orderkey % 3 = 0""",
+        from orders where o_orderstatus <> 'P' and o_orderpriority = '1-URGENT'""",
 )
 def insert_ignore(t):
     return merge.insert_ignore(_stored(t), _batch(t), ["id"], [F.asc("seq")])
@@ -77,9 +77,9 @@ def insert_ignore(t):
 @query(
     "upsert_staged",
     """select o_orderkey as id, o_orderstatus as state, o_totalprice as pledged, o_orderpriority as category,
-        o_orderdate as modified from orders where o_orderkey % 3 <> 0 and o_orderkey % 2 <> 0
+        o_orderdate as modified from orders where o_orderpriority <> '1-URGENT' and o_orderstatus = 'P'
     union all select o_orderkey, nullif(replace(o_orderstatus, 'O', ''), ''), o_totalprice + 2, null, o_orderdate
-        from orders where o_orderkey % 2 = 0""",
+        from orders where o_orderstatus <> 'P'""",
 )
 def upsert_staged(t):
     batch = _batch(t).withColumnRenamed("o_orderdate", "modified")
@@ -90,10 +90,10 @@ def upsert_staged(t):
 @query(
     "upsert_if_newer",
     """with old as (select o_orderkey as loc, case when o_orderkey % 7 <> 0 then o_orderdate end as lastmod,
-            [o_orderpriority, o_orderstatus] as tags from orders where o_orderkey % 3 <> 0),
+            [o_orderpriority, o_orderstatus] as tags from orders where o_orderpriority <> '1-URGENT'),
     new as (select o_orderkey as loc, case when o_orderkey % 5 <> 0
             then o_orderdate + to_days(cast(o_custkey % 5 - 2 as integer)) end as lastmod,
-            [o_orderstatus, 'x' || o_custkey % 3] as tags from orders where o_orderkey % 2 = 0)
+            [o_orderstatus, 'x' || o_custkey % 3] as tags from orders where o_orderstatus <> 'P')
     select coalesce(old.loc, new.loc) as loc,
         case when old.loc is null or old.lastmod < new.lastmod then new.lastmod else old.lastmod end as lastmod,
         array_to_string(list_sort(case when old.loc is null then new.tags
@@ -102,13 +102,13 @@ def upsert_staged(t):
     from old full join new on old.loc = new.loc""",
 )
 def upsert_if_newer(t):
-    old = t.orders.filter("o_orderkey % 3 <> 0").select(
+    old = t.orders.filter("o_orderpriority <> '1-URGENT'").select(
         F.col("o_orderkey").alias("loc"),
         F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderdate")).alias("lastmod"),
         F.array("o_orderpriority", "o_orderstatus").alias("tags"),
     )
     shifted = F.col("o_orderdate") + F.make_dt_interval(days=(F.col("o_custkey") % 5 - 2).cast("int"))
-    new = t.orders.filter("o_orderkey % 2 = 0").select(
+    new = t.orders.filter("o_orderstatus <> 'P'").select(
         F.col("o_orderkey").alias("loc"),
         F.when(F.col("o_orderkey") % 5 != 0, shifted).alias("lastmod"),
         F.array("o_orderstatus", F.concat(F.lit("x"), (F.col("o_custkey") % 3).cast("string"))).alias("tags"),
@@ -119,17 +119,17 @@ def upsert_if_newer(t):
 
 @query(
     "upsert_partial",
-    """with old as (select page_id as loc, html, 1 as code, url from pages where page_id % 3 <> 0),
-    new as (select page_id as loc, 404 as code, url || '#new' as url from pages where page_id % 2 = 0)
+    """with old as (select page_id as loc, html, 1 as code, url from pages where url like 'https:%'),
+    new as (select page_id as loc, 404 as code, url || '#new' as url from pages where url like '%?%')
     select coalesce(old.loc, new.loc) as loc, md5(old.html) as body, coalesce(new.code, old.code) as code,
         coalesce(old.url, new.url) as url
     from old full join new on old.loc = new.loc""",
 )
 def upsert_partial(t):
-    old = t.pages.filter("page_id % 3 <> 0").select(
+    old = t.pages.filter("url like 'https:%'").select(
         F.col("page_id").alias("loc"), "html", F.lit(1).alias("code"), "url"
     )
-    new = t.pages.filter("page_id % 2 = 0").select(
+    new = t.pages.filter("url like '%?%'").select(
         F.col("page_id").alias("loc"), F.lit(404).alias("code"), F.concat("url", F.lit("#new")).alias("url")
     )
     merged = merge.upsert_partial(old, new, "loc", ["code"])
@@ -186,9 +186,9 @@ def quarantine_urls(t):
 @query(
     "snapshot_project",
     """select user_id as projectid, ts as modified, value as amount, event_type as status from events
-        where event_id % 2 = 0 or event_type = 'view'
+        where value < 20 or event_type = 'view'
     union all select user_id, ts, value, event_type from events
-        where not (event_id % 2 = 0 or event_type = 'view') and event_type in ('click', 'signup')""",
+        where not (value < 20 or event_type = 'view') and event_type in ('click', 'signup')""",
 )
 def snapshot_project(t):
     shape = [
@@ -197,7 +197,7 @@ def snapshot_project(t):
         F.col("value").alias("amount"),
         F.col("event_type").alias("status"),
     ]
-    store = t.events.filter("event_id % 2 = 0 or event_type = 'view'").select(*shape)
+    store = t.events.filter("value < 20 or event_type = 'view'").select(*shape)
     current = t.events.filter("event_type in ('click', 'signup', 'view')").select(*shape)
     return project_plans.append_snapshot(store, current, "projectid", "modified")
 
@@ -205,7 +205,7 @@ def snapshot_project(t):
 @query(
     "snapshot_loan",
     """with store as (select user_id as loan_id, event_type as status, value as funded_amount, ts as scrape_time
-        from events where ts < timestamp '2024-01-20' and event_id % 2 = 0),
+        from events where ts < timestamp '2024-01-20' and event_type <> 'click'),
     fresh as (select user_id as loan_id, event_type as status, value as funded_amount, ts as scrape_time
         from events where event_type in ('view', 'click', 'signup')
             and ts > (select max(scrape_time) from store))
@@ -218,7 +218,7 @@ def snapshot_loan(t):
         F.col("value").alias("funded_amount"),
         F.col("ts").alias("scrape_time"),
     ]
-    store = t.events.filter("ts < timestamp_ntz'2024-01-20' and event_id % 2 = 0").select(*shape)
+    store = t.events.filter("ts < timestamp_ntz'2024-01-20' and event_type <> 'click'").select(*shape)
     loans = t.events.select(*shape)
     return loan_plans.append_snapshot(store, loans, ["view", "click", "signup"])
 

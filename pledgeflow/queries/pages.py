@@ -395,7 +395,7 @@ _STATES = "['live', 'failed', 'canceled', 'suspended', 'successful', 'purged', '
         case when state not in ('purged', '404', 'copyright') then date '2014-02-03' end as end_date,
         case when state = 'canceled' then date '2014-01-20' when state not in ('purged', '404', 'copyright')
             then date '2014-02-03' end as state_changed_at
-    from s where o_custkey % 3 = 0""",
+    from s""",
 )
 def html_fields_project(t):
     key, owner = F.col("o_orderkey"), F.col("o_custkey")
@@ -429,7 +429,7 @@ def html_fields_project(t):
     )
     shown = F.when(state == "copyright", F.lit("live")).otherwise(state)
     main = _if(state != "404", '<div id="main_content" class="Project', key, "_cxt Project-state-", shown, ' Project-ended">')
-    made = t.orders.filter("o_custkey % 3 = 0").select(key.alias("page"), _text("<html><body>", main, body, launched, "</div></body></html>").alias("html"))
+    made = t.orders.select(key.alias("page"), _text("<html><body>", main, body, launched, "</div></body></html>").alias("html"))
     return pages.project_states(made, "page", "html")
 
 

@@ -15,12 +15,12 @@ _TABLE = "id bigint, state string, pledged double"
 @query(
     "stream_upsert",
     """select o_orderkey as id, 'old' as state, 0.0::double as pledged from orders
-        where o_orderkey % 3 = 0 and o_orderkey % 2 = 1
-    union all select o_orderkey, o_orderstatus, o_totalprice + 3 from orders where o_orderkey % 2 = 0""",
+        where o_orderpriority = '1-URGENT' and o_orderstatus = 'P'
+    union all select o_orderkey, o_orderstatus, o_totalprice + 3 from orders where o_orderstatus <> 'P'""",
 )
 def stream_upsert(t):
     folder = work_path(t.spark, "stream")
-    docs = t.orders.filter("o_orderkey % 2 = 0").select(
+    docs = t.orders.filter("o_orderstatus <> 'P'").select(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderstatus").alias("state"),
         F.explode(F.sequence(F.lit(1), F.lit(3))).alias("seq"),
@@ -33,7 +33,7 @@ def stream_upsert(t):
     landing.land_deltas(
         stream, table, ["id"], [F.desc("seq")], f"{folder}/deltas", f"{folder}/checkpoint"
     ).awaitTermination()
-    base = t.orders.filter("o_orderkey % 3 = 0").select(
+    base = t.orders.filter("o_orderpriority = '1-URGENT'").select(
         F.col("o_orderkey").alias("id"), F.lit("old").alias("state"), F.lit(0.0).alias("pledged")
     )
     return landing.merged(base, landing.read_deltas(t.spark, f"{folder}/deltas", table), ["id"])
