@@ -8,7 +8,7 @@ ranked. No task ever holds a whole group.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,32 +119,43 @@ def unpivoted(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataF
     )
 
 
+def _moments(df: DataFrame, columns: Sequence[str], **aggregates: Callable[[Column], Column]) -> DataFrame:
+    """One row per column from a single wide aggregate, so rows are not multiplied first."""
+    values = {c: F.col(c).cast("double") for c in columns}
+    clean = {c: F.when(~F.isnan(v), v) for c, v in values.items()}
+    wide = df.agg(
+        *[f(clean[c]).alias(f"__{i}_{name}") for i, c in enumerate(columns) for name, f in aggregates.items()]
+    )
+    rows = [
+        F.struct(F.lit(c).alias("variable"), *[F.col(f"__{i}_{name}").alias(name) for name in aggregates])
+        for i, c in enumerate(columns)
+    ]
+    return wide.select(F.inline(F.array(*rows)))
+
+
+def _medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    long = unpivoted(df, [], columns)
+    return group_quantiles(long, ["variable"], "value", {"median": 0.5}).select("variable", "median")
+
+
 def column_stats(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFrame:
     """One row per variable: N, mean, population deviation, median, min, max over non-null values."""
-    long = unpivoted(df, [], columns).filter(F.col("value").isNotNull())
-    moments = long.groupBy("variable").agg(
-        F.count("value").alias("n"),
-        F.round(F.avg("value"), digits).alias("mean"),
-        F.round(F.stddev_pop("value"), digits).alias("sd"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    moments = _moments(
+        df,
+        columns,
+        n=F.count,
+        mean=lambda c: F.round(F.avg(c), digits),
+        sd=lambda c: F.round(F.stddev_pop(c), digits),
+        min=F.min,
+        max=F.max,
     )
-    medians = group_quantiles(long, ["variable"], "value", {"median": 0.5}).select("variable", "median")
-    return moments.join(medians, "variable")
+    return moments.join(_medians(df, columns), "variable")
 
 
 def describe_wide(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per variable: mean, median, min, max, sample deviation and sum."""
-    long = unpivoted(df, [], columns).filter(F.col("value").isNotNull())
-    moments = long.groupBy("variable").agg(
-        F.avg("value").alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.stddev_samp("value").alias("std_dev"),
-        F.sum("value").alias("sum"),
-    )
-    medians = group_quantiles(long, ["variable"], "value", {"median": 0.5}).select("variable", "median")
-    return moments.join(medians, "variable")
+    moments = _moments(df, columns, mean=F.avg, min=F.min, max=F.max, std_dev=F.stddev_samp, sum=F.sum)
+    return moments.join(_medians(df, columns), "variable")
 
 
 def box_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:

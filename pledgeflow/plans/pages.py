@@ -26,9 +26,10 @@ def _site(host: str, href: Column) -> Column:
 
 def links(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
     """Every link in page order: absolute, without its query, with its text."""
-    found = elements(pages, key, html, specs.LINKS).join(pages.select(key, url), key)
-    target = urls.strip_query(urls.absolute(attr("href"), F.col(url)))
-    return found.select(key, "pos", target.alias("href"), x.all_text().alias("text"))
+    page = pages.select(F.struct(key, url).alias("page"), html)
+    found = elements(page, "page", html, specs.LINKS)
+    target = urls.strip_query(urls.absolute(attr("href"), F.col(f"page.{url}")))
+    return found.select(f"page.{key}", "pos", target.alias("href"), x.all_text().alias("text"))
 
 
 def listed_projects(pages: DataFrame, key: str, html: str, schema: str) -> DataFrame:

@@ -77,13 +77,13 @@ _SITEMAP_SQL = """select o_orderkey as k, 'https://site.example/' || o_custkey a
 
 
 def _write_xml(entries, root, folder, *partitions):
-    """XML files with one root each, of at most 500 entries (keys are unique)."""
+    """XML files with one root each, of at most 5000 entries (keys are unique)."""
     document = F.concat(
         F.lit(f'<?xml version="1.0"?><{root} xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'),
         F.array_join(F.collect_list("entry"), ""),
         F.lit(f"</{root}>"),
     )
-    number = F.expr("o_orderkey div 500").alias("number")
+    number = F.expr("o_orderkey div 5000").alias("number")
     documents = entries.groupBy(*partitions, number).agg(document.alias("value")).drop("number")
     documents.write.partitionBy(*partitions).option("maxRecordsPerFile", 1).text(folder)
 
