@@ -29,9 +29,10 @@ def align(batch: DataFrame, table: T.StructType) -> DataFrame:
         log.warning("columns not in the table are dropped: %s", extra)
     if lacking:
         log.info("columns missing from the data become NULL: %s", lacking)
+    # types by name: a cast must not tighten the nullability of nested values
     return batch.select(
         *[
-            (F.col(f.name) if f.name in batch.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f.name) if f.name in batch.columns else F.lit(None)).cast(f.dataType.simpleString()).alias(f.name)
             for f in table.fields
         ]
     )

@@ -56,9 +56,15 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, so lost executors do not recompute it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute once into a parquet table below the shared folder and read it back.
+
+    Lost executors then re-read files instead of recomputing, later scans prune columns,
+    and the optimizer knows the real size. (A checkpoint would run a map-only plan twice.)
+    """
+    spark = df.sparkSession
+    path = work_path(spark, "kept")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def sized(df: DataFrame, max_rows: int = 200_000) -> tuple[DataFrame, bool]:
