@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pledgeflow.llm import byte_bpe, line_dedup, packing, sharding, token_counts, url_filter
+from pledgeflow.llm import byte_bpe, line_dedup, packing, quality, sharding, simhash, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,3 +108,31 @@ def judged(pages: DataFrame) -> DataFrame:
 def deduped_lines(documents: DataFrame) -> DataFrame:
     kept = line_dedup.dedup_lines(documents)
     return kept.select("record.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op8_simhash_pivots", "documents")
+def simhash_components(documents: DataFrame) -> DataFrame:
+    found = simhash.near_duplicates(documents)
+    shown = F.lower(F.lpad(F.hex("print"), 16, "0"))
+    return found.select("kept.doc_id", shown.alias("fingerprint"), "component_id")
+
+
+def whole_tables(name: str):
+    """Register ``fn(spark, folder) -> DataFrame`` over several whole tables."""
+
+    def register(fn):
+        QUERIES[name] = fn
+        return fn
+
+    return register
+
+
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+@whole_tables("op6_isolation_forest")
+def judged_documents(spark: SparkSession, folder: str) -> DataFrame:
+    rated = quality.judge(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    counts = [c for c in quality.COUNTS if c != "n_distinct_words"]
+    return rated.select("kept.doc_id", *counts, "base_failed", F.col("keep").alias("kept"))
