@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pledgeflow.llm import byte_bpe, line_dedup, packing, quality, sharding, simhash, token_counts, url_filter
+from pledgeflow.llm import byte_bpe, line_dedup, neighbours, packing, quality, sharding, simhash, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -136,3 +136,8 @@ def judged_documents(spark: SparkSession, folder: str) -> DataFrame:
     rated = quality.judge(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
     counts = [c for c in quality.COUNTS if c != "n_distinct_words"]
     return rated.select("kept.doc_id", *counts, "base_failed", F.col("keep").alias("kept"))
+
+
+@query("op5_hash_prefix_forest", "embeddings")
+def nearest_vectors(embeddings: DataFrame) -> DataFrame:
+    return neighbours.nearest(embeddings, F.pmod("vec_id", F.lit(50)) == 0)
