@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pledgeflow.llm import byte_bpe, line_dedup, neighbours, packing, quality, sharding, simhash, token_counts, url_filter
+from pledgeflow.llm import byte_bpe, chat, line_dedup, neighbours, packing, quality, sharding, simhash, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,3 +142,15 @@ def judged_documents(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_hash_prefix_forest", "embeddings")
 def nearest_vectors(embeddings: DataFrame) -> DataFrame:
     return neighbours.nearest(embeddings, F.pmod("vec_id", F.lit(50)) == 0)
+
+
+@query("op9_tool_call_linking", "conversations")
+def linked_turns(conversations: DataFrame) -> DataFrame:
+    calls, results = chat.turns_as_calls(conversations)
+    found = chat.linked_calls(calls, results, passed=("conv_id", "turn"))
+    return found.select("kept.conv_id", "kept.turn", "call_id", "place", "status", F.array_join("errors", "; ").alias("errors"), "line")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

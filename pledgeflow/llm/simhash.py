@@ -222,6 +222,12 @@ def near_duplicates(
     fingerprint zero, linked like any other; null keys are left out of the smallest key, which is
     null if there is no other; repeated rows share a fingerprint; an empty table gives no rows.
     """
+    printed, labels = _labelled(df, text, key, passed, words, radius)
+    return printed.join(labels, "print").select("kept", "row", "print", "root", "component_id")
+
+
+def _labelled(df: DataFrame, text: str, key: str, passed: Sequence[str], words: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprinted documents, and root and component of each fingerprint."""
     printed = fingerprints(df, text, list(dict.fromkeys([key, *passed])), words)
     by_print = materialise(printed.groupBy("print").agg(F.min(F.col("kept").getField(key)).alias("least")))
     joined = materialise(components(links(by_print.select("print"), radius)))
@@ -230,15 +236,17 @@ def near_duplicates(
     merged = labels.join(joined.select("root").distinct(), "root", "left_semi")
     merged = merged.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = labels.join(merged, "root", "left").select("print", "root", F.coalesce("component_id", "least").alias("component_id"))
-    return printed.join(materialise(labels), "print").select("kept", "row", "print", "root", "component_id")
+    return printed, materialise(labels)
 
 
-def representatives(df: DataFrame, text: str = "text", key: str = "doc_id", **settings: int) -> DataFrame:
+def representatives(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 4, radius: int = 4) -> DataFrame:
     """One document of each component: the one with its smallest key, with all columns of ``df``.
 
-    Of rows that share that key one stays. Null keys come last.
+    Of rows that share that key one stays. Null keys come last. Texts are shuffled once at most.
     """
-    found = near_duplicates(df, text, key, df.columns, **settings)
-    rank = F.struct(F.col("kept").getField(key).isNull(), F.col("kept").getField(key), F.col("row"))
-    chosen = found.groupBy("root").agg(F.min(rank).getField("row").alias("row")).select("row")
-    return found.join(chosen, "row", "left_semi").select("kept.*")
+    printed, labels = _labelled(df, text, key, df.columns, words, radius)
+    name = F.col("kept").getField(key)
+    rank = F.struct(name.isNull(), name, F.col("row"))
+    narrow = printed.select("print", "row", rank.alias("rank")).join(labels, "print")
+    chosen = narrow.groupBy("root").agg(F.min("rank").getField("row").alias("row")).select("row")
+    return printed.join(chosen, "row", "left_semi").select("kept.*")
