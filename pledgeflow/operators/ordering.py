@@ -1,14 +1,13 @@
-"""Exact running totals, row numbers and buckets that survive hot groups.
+"""Exact running totals, row numbers and buckets over sorted ranges.
 
-Groups are counted first. Ordinary ones go through a plain window. A group with more rows
-than one task should sort is split by monotone prefixes of its order column (coarse to
-fine): counts per prefix are small, their running sums give each prefix its offset, and
-only the rows inside one finest prefix are sorted together.
+Rows are dealt to ranges of (group, order), so a group with very many rows spans several
+ranges and small groups share one. Sums per range and group give each range its start; rows
+are numbered inside their range only. One form serves every size, type and skew.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,185 +16,95 @@ from pyspark.sql import types as T
 from pledgeflow.session import materialise
 
 
-def prefixes(df: DataFrame, column: str) -> list[Column]:
-    """Coarse-to-fine monotone prefixes for an integer, date or timestamp column."""
-    kind = df.schema[column].dataType
-    col = F.col(column)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        seconds = F.unix_seconds(col.cast("timestamp"))
-        return [F.floor(seconds / 86_400), F.floor(seconds / 60)]
-    if isinstance(kind, T.DateType):
-        return [F.floor(F.unix_date(col) / 365), F.unix_date(col)]
-    if isinstance(kind, T.IntegralType):
-        return [F.shiftright(col.cast("long"), 32), F.shiftright(col.cast("long"), 16)]
-    raise TypeError(f"give the prefixes for {column} of type {kind.simpleString()}")
+def _hashable(kind: T.DataType) -> bool:
+    return not any(name in kind.simpleString() for name in ("map<", "variant"))
 
 
-# rows of one group that a single task may sort
-HOT_ROWS = 2_000_000
+def _ranges(df: DataFrame, order: Sequence[str], by: Sequence[str], **added: Column) -> DataFrame:
+    """``df`` with ``added`` columns, ``__tie`` and the number ``__part`` of its sorted range, written once.
 
-
-def _before(keys: Sequence[str], order: str):
-    return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _by_heat(
-    df: DataFrame, by: list[str], hot_rows: int, plain: Callable[[DataFrame], DataFrame], split: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """Apply ``split`` to the rows of groups above ``hot_rows``, ``plain`` to the rest."""
-    if by == ["__all"]:
-        return split(df) if df.count() > hot_rows else plain(df)
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    hot = materialise(sizes.filter(F.col("__n") > hot_rows).select(*by))
-    # at most total / hot_rows groups, so this list is short by construction
-    if hot.limit(1).count() == 0:
-        return plain(df)
-    cold = plain(df.join(F.broadcast(hot), by, "left_anti"))
-    return cold.unionByName(split(df.join(F.broadcast(hot), by, "left_semi")))
-
-
-def running_total(
-    df: DataFrame,
-    order: Sequence[str],
-    by: Sequence[str] = (),
-    weight: Column | None = None,
-    out: str = "row_number",
-    levels: Sequence[Column] | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Sum of ``weight`` over this row and all before it in ``order``, within ``by``.
-
-    ``order`` must be a total order of non-null columns, ``levels`` two monotone
-    prefixes of its first column, coarse first. Without a weight this is the
-    row number.
+    Rows equal in ``by`` and ``order`` are told apart by a hash of all their columns. NULLs sort first.
     """
-    value = F.lit(1).cast("long") if weight is None else weight.cast("long")
-    rows = df.withColumn("__w", value)
-    keys = list(by) or ["__all"]
-    if not by:
-        rows = rows.withColumn("__all", F.lit(0))
-
-    def plain(part: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return part.withColumn(out, F.sum("__w").over(window))
-
-    def split(part: DataFrame) -> DataFrame:
-        return _split_total(part, order, keys, out, levels or prefixes(df, order[0]))
-
-    return _by_heat(rows, keys, hot_rows, plain, split).select(*df.columns, out)
+    tie = [F.col(f"`{f.name}`") for f in df.schema.fields if _hashable(f.dataType)]
+    rows = df.withColumns({**added, "__tie": F.xxhash64(*tie)})
+    return materialise(rows.repartitionByRange(*by, *order, "__tie").withColumn("__part", F.spark_partition_id()))
 
 
-def _split_total(rows: DataFrame, order: Sequence[str], by: list[str], out: str, levels: Sequence[Column]) -> DataFrame:
-    columns = [*rows.columns, out]
-    rows = rows.withColumns({"__coarse": levels[0], "__fine": levels[1]})
-    per_fine = rows.groupBy(*by, "__coarse", "__fine").agg(F.sum("__w").alias("__n"))
-    per_coarse = per_fine.groupBy(*by, "__coarse").agg(F.sum("__n").alias("__n"))
-    coarse_start = per_coarse.select(
-        *by, "__coarse", F.coalesce(F.sum("__n").over(_before(by, "__coarse")), F.lit(0)).alias("__c0")
-    )
-    start = per_fine.select(
-        *by,
-        "__coarse",
-        "__fine",
-        F.coalesce(F.sum("__n").over(_before([*by, "__coarse"], "__fine")), F.lit(0)).alias("__f0"),
-    ).join(coarse_start, [*by, "__coarse"])
-
-    inside = (
-        Window.partitionBy(*by, "__coarse", "__fine")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        rows.join(start, [*by, "__coarse", "__fine"])
-        .withColumn(out, F.col("__c0") + F.col("__f0") + F.sum("__w").over(inside))
-        .select(*columns)
-    )
+def _inside(order: Sequence[str], by: Sequence[str]):
+    return Window.partitionBy(*by, "__part").orderBy(*order, "__tie")
 
 
-def previous_value(
-    df: DataFrame,
-    value: str,
-    order: Sequence[str],
-    by: Sequence[str],
-    out: str,
-    levels: Sequence[Column] | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """The last non-null ``value`` before each row, within ``by``.
+def _with_start(rows: DataFrame, per_range: DataFrame, by: Sequence[str], start: Column, name: str) -> DataFrame:
+    """Join to each row what the earlier ranges of its group hand on, NULL in a group's first range.
 
-    Hot groups are split like those of :func:`running_total`: a block hands its last
-    value on to the next.
+    Only the group that crosses a range's lower edge is handed something, so there is at most
+    one row per range to broadcast, whatever the number of groups.
     """
-    by = list(by)
-
-    def plain(part: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return part.withColumn(out, F.last(value, ignorenulls=True).over(window))
-
-    def split(part: DataFrame) -> DataFrame:
-        return _split_previous(part, value, order, by, out, levels or prefixes(df, order[0]))
-
-    return _by_heat(df, by, hot_rows, plain, split)
+    carried = per_range.select(*[F.col(c).alias(f"__by_{c}") for c in by], F.col("__part").alias("__at"), start.alias(name))
+    carried = carried.filter(F.col(name).isNotNull())
+    same = F.col("__part") == F.col("__at")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__by_{c}"))
+    return rows.join(F.broadcast(carried), same, "left").drop("__at", *[f"__by_{c}" for c in by])
 
 
-def _split_previous(
-    df: DataFrame, value: str, order: Sequence[str], by: list[str], out: str, levels: Sequence[Column]
+def running_total(
+    df: DataFrame, order: Sequence[str], by: Sequence[str] = (), weight: Column | None = None, out: str = "row_number"
 ) -> DataFrame:
-    rows = df.withColumns({"__coarse": levels[0], "__fine": levels[1]})
-    at = F.when(F.col(value).isNotNull(), F.struct(*order))
-    per_fine = rows.groupBy(*by, "__coarse", "__fine").agg(F.max_by(value, at).alias("__last"))
-    position = F.when(F.col("__last").isNotNull(), F.col("__fine"))
-    per_coarse = per_fine.groupBy(*by, "__coarse").agg(F.max_by("__last", position).alias("__last"))
-
-    def last_before(column: str, window) -> Column:
-        return F.last(column, ignorenulls=True).over(window)
-
-    coarse_carry = per_coarse.select(
-        *by, "__coarse", last_before("__last", _before(by, "__coarse")).alias("__from_coarse")
-    )
-    carried = (
-        per_fine.withColumn("__from_fine", last_before("__last", _before([*by, "__coarse"], "__fine")))
-        .join(coarse_carry, [*by, "__coarse"])
-        .select(*by, "__coarse", "__fine", F.coalesce("__from_fine", "__from_coarse").alias("__carry"))
-    )
-    inside = (
-        Window.partitionBy(*by, "__coarse", "__fine").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return (
-        rows.join(carried, [*by, "__coarse", "__fine"])
-        .withColumn(out, F.coalesce(last_before(value, inside), F.col("__carry")))
-        .select(*df.columns, out)
-    )
-
+    """Sum of ``weight`` over this row and all before it in ``order``, within ``by``.
 
-def round_robin(df: DataFrame, key: str, n: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+    Without a weight this is the row number. Columns of ``order`` may be of any orderable type;
+    NULLs come first, ties follow a hash of the row, NULLs in ``by`` form a group of their own.
+    """
+    value = F.lit(1).cast("long") if weight is None else F.coalesce(weight.cast("long"), F.lit(0))
+    rows = _ranges(df, order, by, __w=value)
+    earlier = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    per_range = rows.groupBy(*by, "__part").agg(F.sum("__w").alias("__n"))
+    started = _with_start(rows, per_range, by, F.sum("__n").over(earlier), "__start")
+    within = F.sum("__w").over(_inside(order, by).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return started.withColumn(out, F.coalesce("__start", F.lit(0)) + within).select(*[f"`{c}`" for c in df.columns], out)
+
+
+def previous_value(df: DataFrame, value: str, order: Sequence[str], by: Sequence[str], out: str) -> DataFrame:
+    """The last non-null ``value`` before each row, within ``by``; order as in :func:`running_total`."""
+    rows = _ranges(df, order, by)
+    at = F.when(F.col(value).isNotNull(), F.struct(*order, "__tie"))
+    per_range = rows.groupBy(*by, "__part").agg(F.max_by(value, at).alias("__last"))
+    earlier = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    started = _with_start(rows, per_range, by, F.last("__last", ignorenulls=True).over(earlier), "__carry")
+    within = F.last(value, ignorenulls=True).over(_inside(order, by).rowsBetween(Window.unboundedPreceding, -1))
+    return started.withColumn(out, F.coalesce(within, F.col("__carry"))).select(*[f"`{c}`" for c in df.columns], out)
+
+
+def round_robin(df: DataFrame, key: str, n: int) -> DataFrame:
     """Bucket ``i % n`` by position in key order."""
-    numbered = running_total(df, [key], out="__rn", hot_rows=hot_rows)
+    numbered = running_total(df, [key], out="__rn")
     return numbered.withColumn("bucket", F.pmod(F.col("__rn") - 1, F.lit(n))).drop("__rn")
 
 
-def hashed_bucket(df: DataFrame, key: str, n: int) -> DataFrame:
-    """Stable spread over n workers when the exact position does not matter; no shuffle."""
-    return df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(n)))
-
-
-def balanced_parts(df: DataFrame, key: str, n: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+def balanced_parts(df: DataFrame, key: str, n: int) -> DataFrame:
     """Contiguous parts whose sizes differ by at most one, remainders spread evenly."""
     total = df.agg(F.count(F.lit(1))).scalar()
-    numbered = running_total(df, [key], out="__rn", hot_rows=hot_rows)
+    numbered = running_total(df, [key], out="__rn")
     part = F.floor((F.col("__rn") * n - 1) / total)
     return numbered.withColumn("part", part).drop("__rn")
 
 
-def fixed_chunks(df: DataFrame, key: str, size: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+def fixed_chunks(df: DataFrame, key: str, size: int) -> DataFrame:
     """Chunk index with ``size`` rows per chunk, the last one possibly short."""
-    numbered = running_total(df, [key], out="__rn", hot_rows=hot_rows)
+    numbered = running_total(df, [key], out="__rn")
     return numbered.withColumn("chunk", F.floor((F.col("__rn") - 1) / size)).drop("__rn")
 
 
-def skip_first(df: DataFrame, key: str, n: int, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All rows after the first n in key order."""
-    return running_total(df, [key], out="__rn", hot_rows=hot_rows).filter(F.col("__rn") > n).drop("__rn")
+def skip_first(df: DataFrame, key: str, n: int) -> DataFrame:
+    """All rows after the first n in the order of a unique key.
+
+    Only the skipped keys are sorted; the rest is filtered by the last of them.
+    """
+    if n <= 0:
+        return df
+    last = df.filter(F.col(key).isNotNull()).select(key).orderBy(key).limit(n).agg(F.max(key)).scalar()
+    return df.filter(F.col(key) > last)
 
 
 def fold_runs(
@@ -206,16 +115,15 @@ def fold_runs(
     piece: Column,
     keep: Sequence[str] = (),
     separator: str = " > ",
-    levels: Sequence[Column] | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Start a new run at each ``starts`` row and join the pieces of a run into a chain.
 
-    ``keep`` columns come from a run's first row. Rows before the first start are not part of any run. A run is the chain of one
-    fetch (its redirects), so it is the run, not the log, that ends up in one cell.
+    ``keep`` columns come from a run's first row. Rows before the first start are not part of
+    any run. A run is the chain of one fetch (its redirects), and a chain is one cell: this is
+    for runs that a later start ends, not for logs of a single endless run.
     """
-    marked = df.withColumns({"__start": starts.cast("int"), "__piece": piece})
-    runs = running_total(marked, order, [by], F.col("__start"), "run", levels, hot_rows).filter("run > 0")
+    marked = df.withColumns({"__opens": starts.cast("int"), "__piece": piece})
+    runs = running_total(marked, order, [by], F.col("__opens"), "run").filter("run > 0")
     item = F.struct(*order, F.col("__piece").alias("piece"))
     return (
         runs.groupBy(by, "run")

@@ -20,6 +20,7 @@ from pledgeflow.queries.common import (
     us_projects,
 )
 from pledgeflow.queries.registry import query
+from pledgeflow.session import materialise
 
 
 @query(
@@ -387,7 +388,7 @@ def find_duplicates(t):
     """select event_id, user_id, row_number() over (order by ts, event_id) as row_number from events""",
 )
 def row_number(t):
-    numbered = ordering.running_total(t.events, ["ts", "event_id"], hot_rows=500)
+    numbered = ordering.running_total(t.events, ["ts", "event_id"])
     return numbered.select("event_id", "user_id", "row_number")
 
 
@@ -398,7 +399,7 @@ def row_number(t):
 )
 def event_number(t):
     entries = t.events.filter("event_type <> 'error'")
-    numbered = ordering.running_total(entries, ["ts", "event_id"], ["user_id"], out="number", hot_rows=55)
+    numbered = ordering.running_total(entries, ["ts", "event_id"], ["user_id"], out="number")
     return numbered.select("event_id", "user_id", "number")
 
 
@@ -407,7 +408,7 @@ def event_number(t):
     """select event_id, lag(value) over (partition by user_id order by ts, event_id) as previous from events""",
 )
 def previous_value(t):
-    df = ordering.previous_value(t.events, "value", ["ts", "event_id"], ["user_id"], "previous", hot_rows=70)
+    df = ordering.previous_value(t.events, "value", ["ts", "event_id"], ["user_id"], "previous")
     return df.select("event_id", "previous")
 
 
@@ -416,7 +417,7 @@ def previous_value(t):
     "select o_orderkey, (row_number() over (order by o_orderkey) - 1) % 7 as bucket from orders",
 )
 def bucket_round_robin(t):
-    return ordering.round_robin(t.orders.select("o_orderkey"), "o_orderkey", 7, hot_rows=1000)
+    return ordering.round_robin(t.orders.select("o_orderkey"), "o_orderkey", 7)
 
 
 @query(
@@ -425,7 +426,7 @@ def bucket_round_robin(t):
         // (select count(*) from orders) as bigint) as part from orders""",
 )
 def bucket_balanced(t):
-    return ordering.balanced_parts(t.orders.select("o_orderkey"), "o_orderkey", 7, hot_rows=1000)
+    return ordering.balanced_parts(t.orders.select("o_orderkey"), "o_orderkey", 7)
 
 
 @query(
@@ -519,11 +520,9 @@ def take_until(t):
         (-F.unix_seconds(F.col("o_orderdate").cast("timestamp"))).alias("age"),
         (-F.col("o_orderkey")).alias("neg_key"),
     )
-    day = F.floor(F.col("age") / 86_400)
-    numbered = ordering.running_total(
-        newest_first, ["age", "neg_key"], out="rn", levels=[F.floor(day / 365), day]
-    )
-    paged = numbered.select("o_orderkey", F.floor((F.col("rn") - 1) / 100).alias("page"))
+    numbered = ordering.running_total(newest_first, ["age", "neg_key"], out="rn")
+    # numbered once: the stop page and the rows both come from it
+    paged = materialise(numbered.select("o_orderkey", F.floor((F.col("rn") - 1) / 100).alias("page")))
     return topk.take_until(paged, "page", F.col("o_orderkey") % 1000 == 1)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pledgeflow.operators.ordering import fold_runs, previous_value
@@ -10,10 +10,6 @@ from pledgeflow.operators.ordering import fold_runs, previous_value
 _ORDER = ["block", "line_id"]
 
 
-def _levels() -> list[Column]:
-    return [F.col("block"), F.shiftright("line_id", 16)]
-
-
 def fetch_log(lines: DataFrame) -> DataFrame:
     """Fold log lines (file, block, line_id, line) into (file, run, url, fetched_at, chain).
 
@@ -36,7 +32,7 @@ def fetch_log(lines: DataFrame) -> DataFrame:
     )
     marked = lines.withColumn("kind", kind).filter("kind is not null")
     steps = marked.withColumn("step", F.when(F.col("kind") != "response", F.col("kind")))
-    rows = previous_value(steps, "step", _ORDER, ["file"], "before", _levels()).withColumns(
+    rows = previous_value(steps, "step", _ORDER, ["file"], "before").withColumns(
         {
             "url": F.element_at(words, -1),
             "fetched_at": F.replace(F.array_join(F.slice(words, 1, 2), " "), F.lit("--"), F.lit("")),
@@ -49,7 +45,6 @@ def fetch_log(lines: DataFrame) -> DataFrame:
         (F.col("kind") == "open") & ~F.col("before").eqNullSafe("follow"),
         piece,
         keep=["url", "fetched_at"],
-        levels=_levels(),
     ).drop("started")
 
 
@@ -68,7 +63,7 @@ def brief_log(lines: DataFrame) -> DataFrame:
         "kind", F.when(failed, "failed").when(stored, "stored").when(named, "named")
     ).filter("kind is not null")
     names = marked.withColumn("name", F.when(F.col("kind") == "named", line))
-    carried = previous_value(names, "name", _ORDER, ["file"], "before", _levels())
+    carried = previous_value(names, "name", _ORDER, ["file"], "before")
     rows = carried.filter("kind <> 'named'")
     return rows.select(
         "file",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from pledgeflow.operators import ordering
 
-# 300 rows, a third of them under one key; blocks of 16 and 4 positions
+# 300 rows, a third of them under one key
 
 
 def _skewed(spark):
@@ -13,12 +13,8 @@ def _skewed(spark):
     return spark.range(300).select(key.alias("k"), (F.col("id") * 37 % 301).alias("pos"), "id")
 
 
-def _levels():
-    return [F.shiftright("pos", 4), F.shiftright("pos", 2)]
-
-
 def test_row_number_within_hot_key(spark):
-    got = rows(ordering.running_total(_skewed(spark), ["pos"], ["k"], levels=_levels(), hot_rows=50).select("k", "pos", "row_number"))
+    got = rows(ordering.running_total(_skewed(spark), ["pos"], ["k"]).select("k", "pos", "row_number"))
     groups = {}
     for k, pos, _ in [tuple(r) for r in _skewed(spark).collect()]:
         groups.setdefault(k, []).append(pos)
@@ -27,7 +23,7 @@ def test_row_number_within_hot_key(spark):
 
 
 def test_global_running_total_with_weights(spark):
-    df = ordering.running_total(_skewed(spark), ["pos"], weight=F.col("id"), out="total", levels=_levels(), hot_rows=50)
+    df = ordering.running_total(_skewed(spark), ["pos"], weight=F.col("id"), out="total")
     data = sorted((r.pos, r.id) for r in _skewed(spark).collect())
     total, want = 0, []
     for pos, value in data:
@@ -38,7 +34,7 @@ def test_global_running_total_with_weights(spark):
 
 def test_previous_value_skips_nulls_and_crosses_blocks(spark):
     df = _skewed(spark).withColumn("v", F.when(F.col("pos") % 50 == 0, F.col("pos")))
-    got = {(r.k, r.pos): r.before for r in ordering.previous_value(df, "v", ["pos"], ["k"], "before", _levels(), hot_rows=50).collect()}
+    got = {(r.k, r.pos): r.before for r in ordering.previous_value(df, "v", ["pos"], ["k"], "before").collect()}
     last = {}
     for k, pos in sorted((r.k, r.pos) for r in df.collect()):
         assert got[(k, pos)] == last.get(k)
@@ -48,7 +44,7 @@ def test_previous_value_skips_nulls_and_crosses_blocks(spark):
 
 def test_balanced_parts_match_slicing(spark):
     for n_rows, parts in ((6, 4), (10, 3), (3, 5), (7, 7)):
-        df = ordering.balanced_parts(spark.range(n_rows), "id", parts, hot_rows=4)
+        df = ordering.balanced_parts(spark.range(n_rows), "id", parts)
         got = [r.part for r in df.orderBy("id").collect()]
         want = [p for p in range(parts) for _ in range(p * n_rows // parts, (p + 1) * n_rows // parts)]
         assert got == want
@@ -56,7 +52,7 @@ def test_balanced_parts_match_slicing(spark):
 
 def test_chunks_and_round_robin(spark):
     df = spark.range(100, 110)
-    assert [r.chunk for r in ordering.fixed_chunks(df, "id", 4, hot_rows=2).orderBy("id").collect()] == [0, 0, 0, 0, 1, 1, 1, 1, 2, 2]
+    assert [r.chunk for r in ordering.fixed_chunks(df, "id", 4).orderBy("id").collect()] == [0, 0, 0, 0, 1, 1, 1, 1, 2, 2]
     assert [r.bucket for r in ordering.round_robin(df, "id", 3).orderBy("id").collect()] == [0, 1, 2, 0, 1, 2, 0, 1, 2, 0]
 
 
@@ -67,7 +63,7 @@ def test_skip_first(spark):
 def test_fold_runs_drops_rows_before_first_start(spark):
     data = [("f", 1, "x"), ("f", 2, "open"), ("f", 3, "a"), ("f", 4, None), ("f", 5, "open"), ("g", 1, "open")]
     df = spark.createDataFrame(data, "file string, n long, what string")
-    got = ordering.fold_runs(df, "file", ["n"], F.col("what").eqNullSafe("open"), F.col("what"), keep=["what"], hot_rows=3)
+    got = ordering.fold_runs(df, "file", ["n"], F.col("what").eqNullSafe("open"), F.col("what"), keep=["what"])
     assert rows(got.select("file", "run", "started", "chain", "pieces")) == [
         ("f", 1, 2, "open > a", 2),
         ("f", 2, 5, "open", 1),
@@ -75,20 +71,58 @@ def test_fold_runs_drops_rows_before_first_start(spark):
     ]
 
 
-def test_hot_and_plain_paths_agree(spark):
-    df = _skewed(spark)
-    split = ordering.running_total(df, ["pos"], ["k"], levels=_levels(), hot_rows=0)
-    mixed = ordering.running_total(df, ["pos"], ["k"], levels=_levels(), hot_rows=50)
-    plain = ordering.running_total(df, ["pos"], ["k"])
-    assert rows(split) == rows(mixed) == rows(plain)
-
-
-def test_hot_rows_are_never_numbered_in_one_task(spark):
-    """Every window that carries rows is partitioned by the finest prefix."""
+def _brute(data, by, order, value=None):
+    """Row numbers and last earlier values by position; NULLs first."""
+    out, last, count = {}, {}, {}
+    key = lambda r: tuple((v is not None, v if v is not None else 0) for v in (r[c] for c in order))
+    for r in sorted(data, key=key):
+        group = tuple(r[c] for c in by)
+        count[group] = count.get(group, 0) + 1
+        out[r["id"]] = (count[group], last.get(group))
+        if value and r[value] is not None:
+            last[group] = r[value]
+    return out
+
+
+def test_any_type_nulls_and_null_groups(spark):
+    """Text, double, decimal and time order columns; NULL order values and a NULL group; several ranges."""
+    base = spark.range(400).select(
+        "id",
+        F.when(F.col("id") % 5 > 0, F.when(F.col("id") % 2 == 0, "a").otherwise("b")).alias("g"),
+        F.when(F.col("id") % 40 > 0, F.concat(F.lit("u"), F.col("id") * 7919 % 400)).alias("text"),
+        F.when(F.col("id") % 40 > 0, (F.col("id") * 7919 % 400) / 3).alias("number"),
+        F.when(F.col("id") % 40 > 0, (F.col("id") * 7919 % 400).cast("decimal(9,2)")).alias("decimal"),
+        F.when(F.col("id") % 40 > 0, F.timestamp_seconds(F.col("id") * 7919 % 400)).alias("at"),
+        F.when(F.col("id") % 3 == 0, F.col("id")).alias("v"),
+    )
+    data = [r.asDict() for r in base.collect()]
+    for column in ("text", "number", "decimal", "at"):
+        want = _brute(data, ["g"], [column, "id"], "v")
+        numbered = {r.id: r.row_number for r in ordering.running_total(base, [column, "id"], ["g"]).collect()}
+        before = {r.id: r.before for r in ordering.previous_value(base, "v", [column, "id"], ["g"], "before").collect()}
+        assert {i: (numbered[i], before[i]) for i in numbered} == want
+
+
+def test_one_value_repeated_is_numbered_across_ranges(spark):
+    df = spark.range(2000).select(F.lit("same").alias("pos"), "id")
+    got = ordering.running_total(df, ["pos"])
+    assert sorted(r.row_number for r in got.collect()) == list(range(1, 2001))
+    assert got.select("row_number").distinct().count() == 2000
+
+
+def test_string_keys_in_every_bucket_form(spark):
+    df = spark.range(50).select(F.format_string("k%03d", "id").alias("key"))
+    assert [r.bucket for r in ordering.round_robin(df, "key", 3).orderBy("key").collect()] == [i % 3 for i in range(50)]
+    assert [r.chunk for r in ordering.fixed_chunks(df, "key", 7).orderBy("key").collect()] == [i // 7 for i in range(50)]
+    assert [r.key for r in ordering.skip_first(df, "key", 48).orderBy("key").collect()] == ["k048", "k049"]
+    assert ordering.skip_first(df, "key", 0).count() == 50 and ordering.skip_first(df, "key", 60).count() == 0
+
+
+def test_rows_are_numbered_inside_ranges_only(spark):
+    """The window that carries rows is partitioned by range; what is broadcast has a row per range."""
     padded = spark.range(1000).withColumn("pad", F.rand(1))
-    text = plan(ordering.running_total(padded, ["id"], hot_rows=100))
+    text = plan(ordering.running_total(padded, ["id"]))
     windows = [line for line in text.splitlines() if "Window [" in line]
     over_rows = [line for line in windows if "sum(__n" not in line]
-    assert len(windows) == 3 and len(over_rows) == 1
-    assert "__fine" in over_rows[0]
-    assert "BroadcastNestedLoopJoin" not in text
+    assert len(windows) == 2 and len(over_rows) == 1
+    assert "__part" in over_rows[0]
