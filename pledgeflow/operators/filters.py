@@ -32,10 +32,8 @@ def between_dates(df: DataFrame, date: str, start: str, end: str) -> DataFrame:
 
 def newer_than_stored(df: DataFrame, time: str, stored: DataFrame, stored_time: str) -> DataFrame:
     """High watermark: rows later than the latest stored one; all rows when none is stored."""
-    mark = stored.agg(
-        F.coalesce(F.max(stored_time), F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")))
-    ).scalar()
-    return df.filter(F.col(time) > mark)
+    mark = stored.agg(F.max(stored_time)).scalar()
+    return df.filter(mark.isNull() | (F.col(time) > mark))
 
 
 def needs_refresh(listed: DataFrame, fetched: DataFrame, key: str, modified: str, fetched_at: str) -> DataFrame:
@@ -77,5 +75,6 @@ def like_escaped(column: str, pattern: str) -> Column:
 
 
 def safe_url(url: Column, host_pattern: str) -> Column:
-    """Whole-text match on host plus a path of letters, digits, - / _ and single dots."""
-    return url.rlike(r"(?i)^" + host_pattern + r"([a-z0-9]|-|/|_|\.(?!\.))*$")
+    """A host matched whole, then only letters, digits and ``-/_.``, without two dots in a row."""
+    shape = f"(?i)\\A{host_pattern}[-a-z0-9/_.]*\\z"
+    return url.rlike(shape) & ~F.contains(url, F.lit(".."))

@@ -103,14 +103,23 @@ def upsert_staged(
     return merge(table, cleaned, keys, order)
 
 
+def greatest_first(df: DataFrame, *columns: str) -> list[Column]:
+    """A total order of rows by value, descending: the given columns, then all others."""
+    kinds = dict(df.dtypes)
+    names = [*columns, *[c for c in df.columns if c not in columns]]
+    # maps have no order of their own
+    return [F.desc(F.sort_array(F.map_entries(c)) if kinds[c].startswith("map") else F.col(c)) for c in names]
+
+
 def upsert_if_newer(
     table: DataFrame, batch: DataFrame, key: str, modified: str, merged_arrays: Sequence[str]
 ) -> DataFrame:
     """Update a row only when the batch row is modified later; array columns become unions.
 
-    An undated row on either side is never updated. One batch row per key.
+    An undated row on either side is never updated. Of batch rows with one key the latest counts.
     """
-    old, new = table.alias("old"), align(batch, table.schema).alias("new")
+    batch = align(first_per_key(batch, [key], greatest_first(batch, modified)), table.schema)
+    old, new = table.alias("old"), batch.alias("new")
     newer = F.coalesce(F.col(f"old.{modified}") < F.col(f"new.{modified}"), F.lit(False))
     columns = []
     for c in table.columns:
@@ -123,19 +132,25 @@ def upsert_if_newer(
             update = F.array_union(F.coalesce(f"old.{c}", empty), F.coalesce(f"new.{c}", empty))
         columns.append(F.when(newer, update).otherwise(F.col(f"old.{c}")).alias(c))
     kept = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "left").select(*columns)
-    return kept.unionByName(new_rows(align(batch, table.schema), table, [key]))
+    return kept.unionByName(new_rows(batch, table, [key]))
 
 
-def upsert_partial(table: DataFrame, batch: DataFrame, key: str, update: Sequence[str]) -> DataFrame:
-    """On conflict set only the ``update`` columns; unknown keys are inserted whole."""
-    old, new = table.alias("old"), align(batch, table.schema).alias("new")
+def upsert_partial(
+    table: DataFrame, batch: DataFrame, key: str, update: Sequence[str], order: Sequence[Column] | None = None
+) -> DataFrame:
+    """On conflict set only the ``update`` columns; unknown keys are inserted whole.
+
+    ``order`` puts the batch row of a key that counts first; the greatest row by default.
+    """
+    batch = align(first_per_key(batch, [key], order or greatest_first(batch)), table.schema)
+    old, new = table.alias("old"), batch.alias("new")
     hit = F.col(f"new.{key}").isNotNull()
     columns = [
         F.when(hit, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) if c in update else F.col(f"old.{c}")
         for c in table.columns
     ]
     kept = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "left").select(*columns)
-    return kept.unionByName(new_rows(align(batch, table.schema), table, [key]))
+    return kept.unionByName(new_rows(batch, table, [key]))
 
 
 def update_from_set(
@@ -181,13 +196,16 @@ def merge_tables(
     result = {}
     for name in names:
         batch = batches[name]
-        order = [F.desc(c) for c, kind in batch.dtypes if not kind.startswith("map")]
-        result[name] = upsert_replace(tables[name], batch, keys[name], order)
+        result[name] = upsert_replace(tables[name], batch, keys[name], greatest_first(batch))
     return result
 
 
 def snapshot(
-    store: DataFrame, current: DataFrame, keys: Sequence[str]
+    store: DataFrame, current: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None
 ) -> DataFrame:
-    """Append the current rows whose (entity, time) key is not stored yet."""
-    return store.unionByName(align(new_rows(current, store, keys), store.schema))
+    """Append the current rows whose (entity, time) key is not stored yet, one per key.
+
+    ``order`` puts the row of a repeated key that counts first; the greatest row by default.
+    """
+    unique = first_per_key(current, keys, order or greatest_first(current))
+    return store.unionByName(align(new_rows(unique, store, keys), store.schema))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,19 @@ from pledgeflow.session import sized
 _MAX_BROADCAST_RATES = 2_000_000
 
 
+class Rates(NamedTuple):
+    """Rates written once, and whether their counted size allows a broadcast."""
+
+    table: DataFrame
+    small: bool
+
+
+def prepared_rates(rates: DataFrame) -> Rates:
+    """One rate per currency and day, the highest of repeated ones; reusable in many conversions."""
+    unique = rates.groupBy("currency", "rate_date").agg(F.max("usd_rate").alias("usd_rate"))
+    return Rates(*sized(unique, _MAX_BROADCAST_RATES))
+
+
 def latest_rates(rates: DataFrame) -> DataFrame:
     return rates.groupBy("currency").agg(F.max_by("usd_rate", "rate_date").alias("__latest"))
 
@@ -20,11 +35,11 @@ def to_usd(
     df: DataFrame,
     amounts: list[str],
     currency: str,
-    rates: DataFrame,
+    rates: DataFrame | Rates,
     date: str | None = None,
     suffix: str = "",
 ) -> DataFrame:
-    """Convert amount columns with ``rates(currency, rate_date, usd_rate)``.
+    """Convert amount columns with ``rates(currency, rate_date, usd_rate)``, prepared or not.
 
     The rate of the row's date applies; where that day has none, or no date column is
     given, the currency's latest. NULL amounts stay NULL.
@@ -33,7 +48,7 @@ def to_usd(
     currency: the rates are materialised, counted, and broadcast. Only a rate table
     beyond the limit is joined by shuffle, where AQE splits the hot currencies.
     """
-    kept, small = sized(rates.select("currency", "rate_date", "usd_rate"), _MAX_BROADCAST_RATES)
+    kept, small = rates if isinstance(rates, Rates) else prepared_rates(rates)
 
     def side(lookup: DataFrame) -> DataFrame:
         return F.broadcast(lookup) if small else lookup

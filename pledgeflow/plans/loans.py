@@ -114,9 +114,14 @@ def unknown_lenders(links: DataFrame, lenders: DataFrame) -> DataFrame:
     return rec.missing(links, lenders, {"lender_id": "lender_id"}).select("lender_id").distinct()
 
 
-def append_snapshot(store: DataFrame, loans: DataFrame, statuses: Sequence[str] = OPEN) -> DataFrame:
-    """Add the open loans scraped after the last snapshot; everything when there is none."""
+def append_snapshot(
+    store: DataFrame, loans: DataFrame, statuses: Sequence[str] = OPEN, keys: Sequence[str] = ("loan_id", "scrape_time")
+) -> DataFrame:
+    """Add the open loans scraped after the last snapshot; everything when there is none.
+
+    A loan listed twice with one scrape time is stored once, as its greatest row.
+    """
     fresh = filters.newer_than_stored(
         loans.filter(F.col("status").isin(*statuses)), "scrape_time", store, "scrape_time"
     )
-    return merge.append_aligned(store, fresh)
+    return merge.append_aligned(store, rec.first_per_key(fresh, keys, merge.greatest_first(fresh)))

@@ -11,7 +11,9 @@ from pledgeflow.functions import dates, numbers, text, urls
 from pledgeflow.functions.nested import script_fields
 from pledgeflow.operators import extract as x
 from pledgeflow.operators.extract import attr, first, own_text
+from pledgeflow.operators.merge import greatest_first
 from pledgeflow.operators.ordering import running_total
+from pledgeflow.operators.reconcile import first_per_key
 from pledgeflow.plans import page_specs as specs
 from pledgeflow.session import materialise
 from pledgeflow.sources.html import elements
@@ -41,7 +43,8 @@ def listed_locations(pages: DataFrame, key: str, html: str, schema: str) -> Data
     """Locations held in links, one row per name; their state is kept as status."""
     found = x.attribute_json(elements(pages, key, html, specs.LOCATIONS), key, "data-location", schema)
     rows = found.select("document.*").withColumnRenamed("state", "status")
-    return rows.drop("urls").dropDuplicates(["displayable_name"])
+    rows = rows.drop("urls")
+    return first_per_key(rows, ["displayable_name"], greatest_first(rows))
 
 
 def proxies(pages: DataFrame, key: str, html: str) -> tuple[DataFrame, DataFrame]:
@@ -543,4 +546,4 @@ def creator_bios(pages: DataFrame, key: str, html: str) -> Extracted:
     external = found.filter("sel = 'link'").select(
         key, attr("href").alias("href"), attr("target").alias("target"), own_text().alias("link_text")
     )
-    return Extracted(rows, {"creator_external_url": external.dropDuplicates([key, "href"])})
+    return Extracted(rows, {"creator_external_url": first_per_key(external, [key, "href"], greatest_first(external))})

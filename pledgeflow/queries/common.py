@@ -32,10 +32,13 @@ CURRENCY_SQL = (
 
 
 def rates(spark) -> DataFrame:
-    """Daily rates 1995-1999 by a rule, so later dates take the latest rate."""
+    """Daily rates 1995-1999 by a rule, so later dates take the latest rate.
+
+    Every third day is quoted twice; the higher rate counts.
+    """
     days = F.explode(F.sequence(F.lit("1995-01-01").cast("date"), F.lit("1999-12-31").cast("date")))
     step = F.datediff(F.col("rate_date"), F.lit("1995-01-01").cast("date"))
-    return (
+    once = (
         spark.range(len(CURRENCIES))
         .select(F.col("id").alias("k"), F.get(F.array(*map(F.lit, CURRENCIES.values())), F.col("id").cast("int")).alias("currency"))
         .select("currency", "k", days.alias("rate_date"))
@@ -45,6 +48,8 @@ def rates(spark) -> DataFrame:
             (F.lit(0.5) + F.pmod(F.col("k") * 31 + step, F.lit(100)) / 100).alias("usd_rate"),
         )
     )
+    again = once.filter(F.dayofyear("rate_date") % 3 == 0).withColumn("usd_rate", F.col("usd_rate") - 0.25)
+    return once.unionByName(again)
 
 
 RATES_SQL = (

@@ -28,13 +28,12 @@ def project_rename(t):
 
 @query(
     "project_dynamic",
-    "select l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice from lineitem"
-    " order by l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice limit 1000",
+    "select l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice from lineitem",
 )
 def project_dynamic(t):
     wanted = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_quantity", "l_extendedprice"]
     columns = list(dict.fromkeys(wanted))
-    return t.lineitem.select(*columns).orderBy(*columns).limit(1000)
+    return t.lineitem.select(*columns)
 
 
 @query("filter_live", "select o_orderkey, o_custkey from orders where o_orderstatus = 'O'")

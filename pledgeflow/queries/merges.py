@@ -91,9 +91,12 @@ def upsert_staged(t):
     "upsert_if_newer",
     """with old as (select o_orderkey as loc, case when o_orderkey % 7 <> 0 then o_orderdate end as lastmod,
             [o_orderpriority, o_orderstatus] as tags from orders where o_orderpriority <> '1-URGENT'),
-    new as (select o_orderkey as loc, case when o_orderkey % 5 <> 0
-            then o_orderdate + to_days(cast(o_custkey % 5 - 2 as integer)) end as lastmod,
-            [o_orderstatus, 'x' || o_custkey % 3] as tags from orders where o_orderstatus <> 'P')
+    batch as (select o_orderkey as loc, case when o_orderkey % 5 <> 0
+            then o_orderdate + to_days(cast(o_custkey % 5 - 2 + n as integer)) end as lastmod,
+            [o_orderstatus, 'x' || (o_custkey + n) % 3] as tags
+        from orders, (values (0), (1)) again(n) where o_orderstatus <> 'P' and (n = 0 or o_orderkey % 3 = 0)),
+    new as (select * from batch
+        qualify row_number() over (partition by loc order by lastmod desc nulls last, tags desc) = 1)
     select coalesce(old.loc, new.loc) as loc,
         case when old.loc is null or old.lastmod < new.lastmod then new.lastmod else old.lastmod end as lastmod,
         array_to_string(list_sort(case when old.loc is null then new.tags
@@ -107,11 +110,14 @@ def upsert_if_newer(t):
         F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderdate")).alias("lastmod"),
         F.array("o_orderpriority", "o_orderstatus").alias("tags"),
     )
-    shifted = F.col("o_orderdate") + F.make_dt_interval(days=(F.col("o_custkey") % 5 - 2).cast("int"))
-    new = t.orders.filter("o_orderstatus <> 'P'").select(
+    # every third location is listed twice
+    listed = F.explode(F.when(F.col("o_orderkey") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    batch = t.orders.filter("o_orderstatus <> 'P'").withColumn("n", listed)
+    shifted = F.col("o_orderdate") + F.make_dt_interval(days=(F.col("o_custkey") % 5 - 2 + F.col("n")).cast("int"))
+    new = batch.select(
         F.col("o_orderkey").alias("loc"),
         F.when(F.col("o_orderkey") % 5 != 0, shifted).alias("lastmod"),
-        F.array("o_orderstatus", F.concat(F.lit("x"), (F.col("o_custkey") % 3).cast("string"))).alias("tags"),
+        F.array("o_orderstatus", F.concat(F.lit("x"), ((F.col("o_custkey") + F.col("n")) % 3).cast("string"))).alias("tags"),
     )
     merged = merge.upsert_if_newer(old, new, "loc", "lastmod", ["tags"])
     return merged.withColumn("tags", F.array_join(F.array_sort("tags"), ","))
@@ -132,7 +138,9 @@ def upsert_partial(t):
     new = t.pages.filter("url like '%?%'").select(
         F.col("page_id").alias("loc"), F.lit(404).alias("code"), F.concat("url", F.lit("#new")).alias("url")
     )
-    merged = merge.upsert_partial(old, new, "loc", ["code"])
+    # a repeated location; the greater row counts
+    again = new.filter("loc % 2 = 0").select("loc", F.lit(403).alias("code"), F.concat("url", F.lit("~")).alias("url"))
+    merged = merge.upsert_partial(old, new.unionByName(again), "loc", ["code"])
     return merged.select("loc", F.md5("html").alias("body"), "code", "url")
 
 
@@ -199,6 +207,8 @@ def snapshot_project(t):
     ]
     store = t.events.filter("value < 20 or event_type = 'view'").select(*shape)
     current = t.events.filter("event_type in ('click', 'signup', 'view')").select(*shape)
+    # every state is listed twice; the greater row counts
+    current = current.unionByName(current.withColumn("amount", F.col("amount") - 1))
     return project_plans.append_snapshot(store, current, "projectid", "modified")
 
 
