@@ -1,28 +1,33 @@
 """Exact grouped quantiles by selection instead of collecting a group's values.
 
-A histogram on log-spaced buckets (a monotone function of the value) is combined
-map-side; its running counts name the one bucket that holds each wanted rank. Only
-rows of those buckets are read again, reduced to distinct values with counts, and
-ranked. No task ever holds a whole group.
+One pass counts values in log-spaced buckets (a monotone function of the value), combined
+map-side; its running counts name the interval that holds each wanted rank. An interval with
+many rows is cut into equal cells between its least and greatest value, again and again, until
+it is small or holds one value. Only rows of the last intervals are ranked, as distinct values
+with counts. No task ever holds a whole group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pledgeflow.session import sized
+from pledgeflow.session import materialise, sized
 
 # buckets per factor of two: each spans 0.07 % of its value
 _RESOLUTION = 1024
+# rows of an interval that one task may rank, and cells that a larger one is cut into
+RANKED_ROWS, CELLS = 200_000, 1024
 
 
 def log_bucket(value: Column) -> Column:
-    """Monotone in the value, over all finite doubles."""
-    magnitude = F.floor(F.log2(F.abs(value) + 1) * _RESOLUTION)
-    return F.when(value < 0, -magnitude).otherwise(magnitude)
+    """Monotone in the value, over all doubles down to the smallest."""
+    size = F.abs(value)
+    # 1075 lifts the exponent of the smallest double above zero
+    magnitude = F.floor((F.log2(size) + 1075) * _RESOLUTION) + 1
+    return F.when(value < 0, -magnitude).when(size > 0, magnitude).otherwise(F.lit(0).cast("long"))
 
 
 def _locate(counts: DataFrame, keys: list[str], order: str, ranks: Column) -> DataFrame:
@@ -39,14 +44,87 @@ def _locate(counts: DataFrame, keys: list[str], order: str, ranks: Column) -> Da
     )
 
 
-def _distinct(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct values of the wanted buckets with their counts."""
-    return rows.groupBy(*keys, "__bucket", "__v").agg(
-        F.count(F.lit(1)).alias("__n"),
-        *[F.first(c).alias(c) for c in ("__total", "__base", "__wanted")],
+def _rows_of(df: DataFrame, by: Sequence[str], value: str) -> tuple[DataFrame, list[str]]:
+    """Group keys and the value as ``__v``, without NULL and NaN."""
+    keys = list(by) or ["__all"]
+    rows = df if by else df.withColumn("__all", F.lit(0))
+    rows = rows.select(*keys, F.col(value).cast("double").alias("__v"))
+    return rows.filter(F.col("__v").isNotNull() & ~F.isnan("__v")), keys
+
+
+def summarised(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per bucket with count, bounds, sum and spread; moments and quantiles both start here."""
+    v = F.col("__v")
+    return materialise(
+        rows.groupBy(*keys, log_bucket(v).alias("__bucket")).agg(
+            F.count(F.lit(1)).alias("__n"),
+            F.min(v).alias("__lo"),
+            F.max(v).alias("__hi"),
+            F.sum(v).alias("__sum"),
+            F.avg(v).alias("__mean"),
+            F.var_pop(v).alias("__var"),
+        )
+    )
+
+
+def moments(summary: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group: n, mean, sum, min, max and the deviations, from the buckets' own moments."""
+    whole = summary.groupBy(*keys).agg(
+        F.sum("__n").alias("n"), F.sum("__sum").alias("sum"), F.min("__lo").alias("min"), F.max("__hi").alias("max")
+    )
+    whole = whole.withColumn("mean", F.col("sum") / F.col("n"))
+    off = F.col("__mean") - F.col("mean")
+    spread = summary.join(whole.select(*keys, "mean"), keys).groupBy(*keys)
+    squares = spread.agg(F.sum(F.col("__n") * (F.col("__var") + off * off)).alias("__squares"))
+    return whole.join(squares, keys).select(
+        *keys,
+        "n",
+        "mean",
+        "sum",
+        "min",
+        "max",
+        F.sqrt(F.col("__squares") / F.col("n")).alias("sd_pop"),
+        F.sqrt(F.try_divide(F.col("__squares"), F.col("n") - 1)).alias("sd_samp"),
     )
 
 
+_TARGET = ["__lo", "__hi", "__n", "__total", "__base", "__wanted"]
+
+
+def _matched(rows: DataFrame, keys: list[str], targets: DataFrame, small: bool) -> DataFrame:
+    """Distinct values with counts, next to the target interval they lie in."""
+    if not small:  # many groups: reduce equal values map-side before they travel to the join
+        rows = rows.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__k"))
+    else:
+        rows = rows.withColumn("__k", F.lit(1).cast("long"))
+    inside = F.col("__v").between(F.col("__lo"), F.col("__hi"))
+    side = targets.drop("__n")
+    for key in keys:
+        side = side.withColumnRenamed(key, f"__key_{key}")
+        inside = inside & (F.col(key) == F.col(f"__key_{key}"))
+    return rows.join(F.broadcast(side) if small else side, inside).drop(*[f"__key_{key}" for key in keys])
+
+
+def _refined(rows: DataFrame, keys: list[str], targets: DataFrame) -> tuple[DataFrame, bool]:
+    """Cut crowded target intervals into cells until each is small or holds one value."""
+    targets, small = sized(targets)
+    crowded = (F.col("__n") > RANKED_ROWS) & (F.col("__lo") < F.col("__hi"))
+    while targets.filter(crowded).limit(1).count():
+        share = (F.col("__v") - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
+        cell = F.least(F.floor(share * CELLS), F.lit(CELLS - 1)).alias("__cell")
+        found = _matched(rows, keys, targets.filter(crowded), small)
+        cells = found.groupBy(*keys, F.col("__lo").alias("__in"), cell).agg(
+            F.sum("__k").alias("__n"),
+            F.min("__v").alias("__lo"),
+            F.max("__v").alias("__hi"),
+            *[F.first(c).alias(c) for c in ("__total", "__base", "__wanted")],
+        )
+        finer = _locate(cells, [*keys, "__in"], "__cell", F.col("__wanted"))
+        finer = finer.select(*keys, "__lo", "__hi", "__n", "__total", F.col("__below").alias("__base"), F.col("__ranks").alias("__wanted"))
+        targets, small = sized(targets.filter(~crowded).unionByName(finer))
+    return targets, small
+
+
 def group_quantiles(
     df: DataFrame,
     by: Sequence[str],
@@ -59,16 +137,16 @@ def group_quantiles(
 
     Order statistics follow position ``p * (n - 1)``, interpolated linearly.
     """
-    floors = dict(floors or {})
-    keys = list(by) or ["__all"]
-    rows = df if by else df.withColumn("__all", F.lit(0))
-    rows = rows.select(*keys, F.col(value).cast("double").alias("__v")).filter(
-        F.col("__v").isNotNull() & ~F.isnan("__v")
-    )
-    rows = rows.withColumn("__bucket", log_bucket(F.col("__v")))
+    rows, keys = _rows_of(df, by, value)
+    result = _selected(rows, keys, summarised(rows, keys), quantiles, floors or {})
+    return result if by else result.drop("__all")
+
 
-    histogram = rows.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+def _selected(
+    rows: DataFrame, keys: list[str], summary: DataFrame, quantiles: Mapping[str, float], floors: Mapping[str, float]
+) -> DataFrame:
     total = F.sum("__n").over(Window.partitionBy(*keys))
+    histogram = summary.select(*keys, "__bucket", "__n", "__lo", "__hi")
     histogram = histogram.withColumns({"__total": total, "__base": F.lit(0).cast("long")})
     points = sorted({*quantiles.values(), *floors.values()})
 
@@ -79,15 +157,13 @@ def group_quantiles(
         F.array(*[f(position(p)).cast("long") for p in points for f in (F.floor, F.ceil)])
     )
     targets = _locate(histogram, keys, "__bucket", wanted).select(
-        *keys, "__bucket", "__total", F.col("__below").alias("__base"), F.col("__ranks").alias("__wanted")
+        *keys, "__lo", "__hi", "__n", "__total", F.col("__below").alias("__base"), F.col("__ranks").alias("__wanted")
     )
-    targets, small = sized(targets)
-    if small:
-        candidates = _distinct(rows.join(F.broadcast(targets), [*keys, "__bucket"]), keys)
-    else:  # many groups: reduce equal values map-side before the rows travel to the join
-        counted = rows.groupBy(*keys, "__bucket", "__v").agg(F.count(F.lit(1)).alias("__n"))
-        candidates = counted.join(targets, [*keys, "__bucket"])
-    hits = _locate(candidates, [*keys, "__bucket"], "__v", F.col("__wanted")).select(
+    targets, small = _refined(rows, keys, targets)
+    candidates = _matched(rows, keys, targets, small).groupBy(*keys, "__lo", "__v").agg(
+        F.sum("__k").alias("__n"), *[F.first(c).alias(c) for c in ("__total", "__base", "__wanted")]
+    )
+    hits = _locate(candidates, [*keys, "__lo"], "__v", F.col("__wanted")).select(
         *keys, "__total", "__v", F.explode("__ranks").alias("__rank")
     )
 
@@ -99,12 +175,11 @@ def group_quantiles(
         share = F.max(position(p)) - F.max(F.floor(position(p)))
         return low + (high - low) * share
 
-    result = hits.groupBy(*keys).agg(
+    return hits.groupBy(*keys).agg(
         F.max("__total").alias("n"),
         *[interpolated(p).alias(name) for name, p in quantiles.items()],
         *[at(p, F.floor).alias(name) for name, p in floors.items()],
     )
-    return result if by else result.drop("__all")
 
 
 def middle_rows_median(df: DataFrame, value: str) -> DataFrame:
@@ -119,43 +194,27 @@ def unpivoted(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataF
     )
 
 
-def _moments(df: DataFrame, columns: Sequence[str], **aggregates: Callable[[Column], Column]) -> DataFrame:
-    """One row per column from a single wide aggregate, so rows are not multiplied first."""
-    values = {c: F.col(c).cast("double") for c in columns}
-    clean = {c: F.when(~F.isnan(v), v) for c, v in values.items()}
-    wide = df.agg(
-        *[f(clean[c]).alias(f"__{i}_{name}") for i, c in enumerate(columns) for name, f in aggregates.items()]
-    )
-    rows = [
-        F.struct(F.lit(c).alias("variable"), *[F.col(f"__{i}_{name}").alias(name) for name in aggregates])
-        for i, c in enumerate(columns)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
-
-
-def _medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _described(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Moments and median of each column, over non-null values, from one summary."""
     long = unpivoted(df, [], columns)
-    return group_quantiles(long, ["variable"], "value", {"median": 0.5}).select("variable", "median")
+    rows, keys = _rows_of(long, ["variable"], "value")
+    summary = summarised(rows, keys)
+    medians = _selected(rows, keys, summary, {"median": 0.5}, {}).select("variable", "median")
+    named = df.sparkSession.createDataFrame([(c,) for c in dict.fromkeys(columns)], "variable string")
+    # a column without values keeps its row
+    found = named.join(moments(summary, keys).join(medians, "variable"), "variable", "left")
+    return found.withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def column_stats(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFrame:
     """One row per variable: N, mean, population deviation, median, min, max over non-null values."""
-    moments = _moments(
-        df,
-        columns,
-        n=F.count,
-        mean=lambda c: F.round(F.avg(c), digits),
-        sd=lambda c: F.round(F.stddev_pop(c), digits),
-        min=F.min,
-        max=F.max,
-    )
-    return moments.join(_medians(df, columns), "variable")
+    mean, sd = F.round("mean", digits).alias("mean"), F.round("sd_pop", digits).alias("sd")
+    return _described(df, columns).select("variable", "n", mean, sd, "min", "max", "median")
 
 
 def describe_wide(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per variable: mean, median, min, max, sample deviation and sum."""
-    moments = _moments(df, columns, mean=F.avg, min=F.min, max=F.max, std_dev=F.stddev_samp, sum=F.sum)
-    return moments.join(_medians(df, columns), "variable")
+    return _described(df, columns).select("variable", "mean", "min", "max", F.col("sd_samp").alias("std_dev"), "sum", "median")
 
 
 def box_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
@@ -163,12 +222,9 @@ def box_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
     A whisker ends on a data point, hence the floor of the 90th percentile.
     """
-    spots = group_quantiles(
-        df,
-        by,
-        value,
-        {"q25": 0.25, "q50": 0.5, "q75": 0.75},
-        {"whisker_low": 0.0, "whisker_high": 0.9},
+    rows, keys = _rows_of(df, by, value)
+    summary = summarised(rows, keys)
+    spots = _selected(
+        rows, keys, summary, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, {"whisker_low": 0.0, "whisker_high": 0.9}
     )
-    means = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(F.avg(value).alias("mean"))
-    return spots.join(means, list(by))
+    return spots.join(moments(summary, keys).select(*keys, "mean"), keys)

@@ -74,3 +74,29 @@ def test_describe_uses_sample_and_stats_population_deviation(spark):
     assert math.isclose(wide.std_dev, np.std([1, 2, 4], ddof=1))
     assert stats.sd == round(float(np.std([1, 2, 4])), 4)
     assert (stats.n, stats.median, wide.sum) == (3, 2.0, 7.0)
+
+
+def test_crowded_intervals_are_cut(spark, monkeypatch):
+    """Many distinct values in one bucket: tiny ones, and ones within 0.07 percent."""
+    monkeypatch.setattr(quantiles, "RANKED_ROWS", 50)
+    groups = {
+        "tiny": [i * 1e-9 for i in range(2000)],
+        "near": [1000 + i * 1e-4 for i in range(2000)],
+        "steep": [2.0**-i for i in range(1000)] + [0.0] * 300 + [-(2.0**-i) for i in range(900)],
+        "ties": [5.0] * 900 + [5.0000001] * 901 + [5.0000002],
+    }
+    probs = {"p1": 0.01, "p50": 0.5, "p77": 0.77, "p100": 1.0}
+    for r in quantiles.group_quantiles(_frame(spark, groups), ["g"], "v", probs).collect():
+        for name, p in probs.items():
+            assert math.isclose(r[name], float(np.percentile(groups[r.g], p * 100)), rel_tol=1e-12, abs_tol=1e-300), (r.g, name)
+
+
+def test_a_million_values_below_the_first_bucket_bound(spark):
+    df = spark.range(1_000_000).select((F.col("id") * 7e-10).alias("v"))
+    assert math.isclose(quantiles.middle_rows_median(df, "v").collect()[0][0], 499_999.5 * 7e-10, rel_tol=1e-12)
+
+
+def test_column_without_values_keeps_its_row(spark):
+    df = spark.createDataFrame([(1.0, None)], "v double, w double")
+    got = {r.variable: (r.n, r.mean, r.median) for r in quantiles.column_stats(df, ["v", "w"]).collect()}
+    assert got == {"v": (1, 1.0, 1.0), "w": (0, None, None)}
