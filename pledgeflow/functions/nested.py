@@ -74,9 +74,6 @@ def flatten(df: DataFrame, struct: str) -> DataFrame:
     return df.select(*others, *[v.alias(n) for n, v in columns.items()])
 
 
-_TRIM = " ',\"\\\t"
-
-
 def script_fields(script: Column) -> Column:
     """``key: value`` pieces of script text as a map, the last value of a key winning.
 
@@ -102,21 +99,23 @@ def script_fields_conflict(script: Column) -> Column:
     return bind(_script_entries(script), differs)
 
 
+# a piece between separators that holds one colon: key, then value
+_PAIR = r"(?:^|[,;{}\n])([^,;{}\n:]*):([^,;{}\n:]*)(?=[,;{}\n]|$)"
+# quotes, backslashes and blanks around a key or value
+_EDGES = r"""^[\s'"\\]+|[\s'"\\]+$"""
+
+
 def _script_entries(script: Column) -> Column:
-    def clean(part: Column) -> Column:
-        bare = F.btrim(part, F.lit(_TRIM))
-        return F.replace(F.replace(bare, F.lit("\\'"), F.lit("'")), F.lit('\\"'), F.lit('"'))
+    """All ``key: value`` pairs of a script as typed entries."""
+
+    def bare(part: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(part, _EDGES, ""), r"""\\(['"])""", "$1")
 
     def typed(value: Column) -> Column:
-        return (
-            F.when(value == "N", "false")
-            .when(value == "Y", "true")
-            .when(value.isin("none", ""), F.lit(None).cast("string"))
-            .otherwise(value)
-        )
-
-    pieces = F.split(F.translate(script, "{};\n", ",,,,"), ",")
-    pairs = F.filter(F.transform(pieces, lambda p: F.split(p, ":")), lambda p: F.size(p) == 2)
-    return F.transform(
-        pairs, lambda p: F.struct(clean(p[0]).alias("key"), typed(clean(p[1])).alias("value"))
+        flag = F.when(value.isin("Y", "N"), (value == "Y").cast("string"))
+        return F.coalesce(flag, F.nullif(F.nullif(value, F.lit("none")), F.lit("")))
+
+    keys, values = (F.regexp_extract_all(script, F.lit(_PAIR), F.lit(group)) for group in (1, 2))
+    return F.zip_with(
+        keys, values, lambda key, value: F.struct(bare(key).alias("key"), bind(bare(value), typed).alias("value"))
     )

@@ -84,46 +84,19 @@ def to_precision(x: Column, p: int) -> Column:
     """Text with p significant digits; exponent form below 0.01 and from 10**p on."""
     if p < 2:
         raise ValueError("at least two digits")
-    x = x.cast("double")
-    size = F.abs(x)
-
-    def lowered(guess: Column) -> Column:
-        # the exponent was truncated; one less when that leaves too few digits
-        few = F.floor(size / _ten(guess - p + 1)) < 10 ** (p - 1)
-        return F.when(few, guess - 1).otherwise(guess)
-
-    def nearest(exponent: Column) -> Column:
-        unit = _ten(exponent - p + 1)
-        below = F.floor(size / unit)
-        return F.when(F.abs((below + 1) * unit - size) <= F.abs(below * unit - size), below + 1).otherwise(below)
-
-    def carried(exponent: Column) -> Column:
-        def settle(n: Column) -> Column:
-            over = n >= 10**p
-            digits = F.when(over, n / 10).otherwise(n).cast("long").cast("string")
-            return F.struct(F.when(over, exponent + 1).otherwise(exponent).alias("e"), digits.alias("digits"))
-
-        return bind(nearest(exponent), settle)
-
-    def layout(number: Column) -> Column:
-        e, digits = number["e"], number["digits"]
-        power = F.concat(F.when(e > 0, "+").otherwise(""), e.cast("string"))
-        scientific = F.concat(
-            F.substring(digits, 1, 1), F.lit("."), F.substring(digits, 2, p - 1), F.lit("e"), power
-        )
-        split = F.concat(F.substr(digits, F.lit(1), e + 1), F.lit("."), F.substr(digits, e + 2))
-        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -(e + 1)), digits)
-        return (
-            F.when((e < -2) | (e >= p), scientific)
-            .when(e == p - 1, digits)
-            .when(e >= 0, split)
-            .otherwise(small)
-        )
-
-    text = bind(bind(bind(F.log10(size).cast("int"), lowered), carried), layout)
-    return F.when(x == 0, F.lit("0." + "0" * (p - 1))).otherwise(
-        F.concat(F.when(x < 0, "-").otherwise(""), text)
-    )
+    size = F.abs(x.cast("double"))
+
+    def laid_out(number: Column) -> Column:
+        """``d.ddde+xx`` as a plain number: zeros before it, the point moved into it."""
+        power = F.split_part(number, F.lit("e"), F.lit(2)).cast("int")
+        digits = F.concat(F.repeat(F.lit("0"), -power), F.replace(F.split_part(number, F.lit("e"), F.lit(1)), F.lit("."), F.lit("")))
+        whole = F.greatest(power, F.lit(0)) + 1
+        plain = F.rtrim(F.concat(F.substr(digits, F.lit(1), whole), F.lit("."), F.substr(digits, whole + 1)), F.lit("."))
+        far = F.concat(F.split_part(number, F.lit("e"), F.lit(1)), F.format_string("e%s%d", F.when(power > 0, "+").otherwise(""), power))
+        return F.when(power.between(-2, p - 1), plain).otherwise(far)
+
+    text = F.when(size == 0, F.lit("0." + "0" * (p - 1))).otherwise(bind(F.format_string(f"%.{p - 1}e", size), laid_out))
+    return F.when(x.isNotNull(), F.concat(F.when(x < 0, "-").otherwise(""), text))
 
 
 def four_digits(x: Column) -> Column:

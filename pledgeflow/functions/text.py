@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import codecs
+import contextlib
 import html
-import re
+import string
 import sys
+import unicodedata
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -81,19 +82,54 @@ def decode_controls(text: Column) -> Column:
     return F.translate(text, _NEWLINE + _PIPE + _RETURN, "\n|")
 
 
-_ESCAPE = re.compile(
-    r"\\(?:U[0-9a-fA-F]{8}|u[0-9a-fA-F]{4}|x[0-9a-fA-F]{2}|[0-7]{1,3}|N\{[^}]+\}|[\\'\"abfnrtv])"
-)
+# fixed values: what a letter after a backslash stands for, and how many hex digits follow one
+_LETTERS = {"a": "\a", "b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v", "'": "'", '"': '"', "\n": ""}
+_HEX_DIGITS = {"x": 2, "u": 4, "U": 8}
+
+
+def _number_escape(part: str) -> tuple[str, int] | None:
+    """Character and length of a hex, octal or named escape at the start of ``part``."""
+    size = _HEX_DIGITS.get(part[0], 0)
+    digits = part[1 : 1 + size]
+    if size and len(digits) == size and set(digits) <= set(string.hexdigits):
+        code = int(digits, 16)
+        return (chr(code), 1 + size) if code < 0x110000 else None
+    octal = len(part[:3]) - len(part[:3].lstrip(string.octdigits))
+    if octal:
+        return chr(int(part[:octal], 8)), octal
+    if part.startswith("N{") and "}" in part:
+        name = part[2 : part.index("}")]
+        with contextlib.suppress(KeyError):
+            return unicodedata.lookup(name), len(name) + 3
+    return None
+
+
+def _unescaped(text: str) -> str:
+    """Walk the parts between backslashes: an empty part means that the backslash itself was escaped."""
+    parts = iter(text.split("\\"))
+    out = [next(parts)]
+    for part in parts:
+        if not part:
+            out.append("\\" + next(parts, ""))
+        elif part[0] in _LETTERS:
+            out.append(_LETTERS[part[0]] + part[1:])
+        elif found := _number_escape(part):
+            out.append(found[0] + part[found[1] :])
+        else:
+            out.append("\\" + part)
+    # escapes may spell a character as a surrogate pair
+    return "".join(out).encode("utf-16", "surrogatepass").decode("utf-16", "replace")
 
 
 @F.pandas_udf(T.StringType())
-def script_literal(texts: pd.Series) -> pd.Series:
-    """Decode the backslash escapes and HTML entities of a script string literal."""
+def _literal(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda text: None if text is None else html.unescape(_unescaped(text)))
 
-    def decode(text):
-        if text is None:
-            return None
-        plain = _ESCAPE.sub(lambda m: codecs.decode(m.group(0), "unicode-escape"), text)
-        return html.unescape(plain)
 
-    return texts.map(decode)
+def script_literal(text: Column) -> Column:
+    """Decode the backslash escapes and HTML entities of a script string literal.
+
+    A text with neither is returned as it is; unknown escapes stay.
+    """
+    coded = F.contains(text, F.lit("\\")) | F.contains(text, F.lit("&"))
+    return F.when(coded, _literal(F.when(coded, text))).otherwise(text)

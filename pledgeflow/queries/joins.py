@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pledgeflow.operators import filters, ordering
 from pledgeflow.operators import reconcile as rec
+from pledgeflow.plans import loans
 from pledgeflow.queries.common import US_SQL, us_projects
 from pledgeflow.queries.registry import query
 
@@ -351,7 +352,7 @@ def first_match_merge(t):
         "l_suppkey",
     )
     order = [F.col(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "amount")]
-    merged = rec.first_match_merge(primary, secondary, "id", order)
+    merged = loans.merge_details(primary, secondary, order)
     return merged.select("id", "amount", "status", "flag")
 
 

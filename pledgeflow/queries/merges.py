@@ -199,17 +199,25 @@ def quarantine_urls(t):
         where not (value < 20 or event_type = 'view') and event_type in ('click', 'signup')""",
 )
 def snapshot_project(t):
-    shape = [
-        F.col("user_id").alias("projectid"),
-        F.col("ts").alias("modified"),
-        F.col("value").alias("amount"),
-        F.col("event_type").alias("status"),
-    ]
-    store = t.events.filter("value < 20 or event_type = 'view'").select(*shape)
-    current = t.events.filter("event_type in ('click', 'signup', 'view')").select(*shape)
+    # events as projects, in the layout of the funding trend
+    projects = t.events.select(
+        F.col("user_id").alias("id"),
+        F.col("ts").alias("last_modification"),
+        F.col("value").alias("usd_pledged"),
+        *[F.lit(0).alias(c) for c in ("backers_count", "updates_count", "comments_count")],
+        F.col("event_type").alias("state"),
+    )
+    store = project_plans.trend_rows(projects.filter("usd_pledged < 20 or state = 'view'"))
+    current = project_plans.trend_rows(projects.filter("state in ('click', 'signup', 'view')"))
     # every state is listed twice; the greater row counts
-    current = current.unionByName(current.withColumn("amount", F.col("amount") - 1))
-    return project_plans.append_snapshot(store, current, "projectid", "modified")
+    current = current.unionByName(current.withColumn("amount_pledged_usd", F.col("amount_pledged_usd") - 1))
+    added = project_plans.append_snapshot(store, current, "projectid", "project_last_modification")
+    return added.select(
+        "projectid",
+        F.col("project_last_modification").alias("modified"),
+        F.col("amount_pledged_usd").alias("amount"),
+        "status",
+    )
 
 
 @query(
