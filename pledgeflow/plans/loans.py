@@ -11,6 +11,7 @@ from pledgeflow.functions.dates import iso_timestamp
 from pledgeflow.functions.nested import explode_listed, explode_scalars, explode_structs
 from pledgeflow.operators import filters, merge
 from pledgeflow.operators import reconcile as rec
+from pledgeflow.session import materialise
 
 OPEN = ("in_repayment", "inactive", "fundraising")
 
@@ -52,11 +53,13 @@ def loan_rows(docs: DataFrame, scrape_time: Column) -> DataFrame:
     )
 
 
-def loan_tables(docs: DataFrame, scrape_time: Column) -> dict[str, DataFrame]:
+def loan_tables(docs: DataFrame, scrape_time: Column, landed: bool = False) -> dict[str, DataFrame]:
     """Loan documents to the loan table and its seven child tables.
 
-    All tables are selects on the same parsed frame; each scan reads only its fields.
+    All tables are selects on the same parsed frame. ``landed`` writes that frame once, so that
+    the JSON is parsed once for all tables and each of them reads only its columns.
     """
+    docs = materialise(docs) if landed else docs
     key = {"id": "loan_id"}
     lifted = docs.withColumns(
         {

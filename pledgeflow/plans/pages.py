@@ -278,7 +278,8 @@ def parse_batch(store: DataFrame, listed: DataFrame, host: str, site: str, scrap
         & ~(F.forall("categories", lambda c: c == "static") | (F.col("loc") == site))
     )
     repaired = joined.select("loc", text.redecode(F.col("html")).alias("html"), text.decodes(F.col("html")).alias("clean"))
-    typed = materialise(x.classify(repaired, "html", specs.PAGE_MARKERS))
+    # a folder for each type, so that every extractor reads its own pages only
+    typed = materialise(x.classify(repaired, "html", specs.PAGE_MARKERS), "page_type")
     conflicts = F.raise_error(F.concat(F.lit("several page types: "), F.col("loc"))).cast("boolean")
     typed = typed.filter(F.when(F.col("page_type") == "conflict", conflicts).otherwise(F.lit(True)))
 

@@ -9,6 +9,7 @@ from pledgeflow.functions.nested import explode_structs, flatten
 from pledgeflow.functions.urls import strip_scheme
 from pledgeflow.operators import merge
 from pledgeflow.operators import reconcile as rec
+from pledgeflow.session import materialise
 
 # fixed values: scalar fields copied as they are
 SCALARS = (
@@ -53,11 +54,13 @@ def _children(docs: DataFrame, name: str) -> DataFrame:
     return flatten(rows.filter(F.col("child").isNotNull()), "child")
 
 
-def project_tables(docs: DataFrame) -> dict[str, DataFrame]:
+def project_tables(docs: DataFrame, landed: bool = False) -> dict[str, DataFrame]:
     """Project documents to the project table and seven related tables.
 
-    Rewards with id 0 (no reward) are dropped, together with their items.
+    Rewards with id 0 (no reward) are dropped, together with their items. ``landed`` writes the
+    parsed documents once for all tables.
     """
+    docs = materialise(docs) if landed else docs
     rewards = _children(docs, "rewards").filter("id <> 0")
     grandchildren = rewards.select(F.explode("rewards_items").alias("child"))
     return {

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pledgeflow import schemas
 from pledgeflow.operators import merge
 from pledgeflow.plans import loans, projects
-from pledgeflow.queries.registry import query
+from pledgeflow.queries.registry import ORACLES, query
 from pledgeflow.session import spread
 
 
@@ -97,9 +100,9 @@ def _loan_documents(t):
     return _parsed(joined, document, schemas.LOAN_DOCUMENT)
 
 
-def _loan_tables(t):
+def _loan_tables(t, landed=False):
     scraped = F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00"))
-    return loans.loan_tables(_loan_documents(t), scraped)
+    return loans.loan_tables(_loan_documents(t), scraped, landed)
 
 
 _LOAN_SQL = "orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey"
@@ -520,3 +523,31 @@ def merge_tables(t):
         .withColumn("name", F.lit("tag")),
     ]
     return sums[0].unionByName(sums[1]).select("name", "n", F.round("total", 2).alias("total"))
+
+
+# --- all tables of a batch, parsed once --------------------------------------
+
+
+def _sizes(tables, names):
+    """(name, n) of each table."""
+    counts = [tables[n].agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n") for n in names]
+    return reduce(DataFrame.union, counts)
+
+
+def _sizes_sql(prefix, names):
+    oracles = {n: ORACLES[f"{prefix}_{n}"] for n in names}
+    return " union all ".join(f"select '{n}' as name, count(*) as n from ({sql})" for n, sql in oracles.items())
+
+
+_LOAN_CHILDREN = "borrower description payment local_payment scheduled_payment tag theme".split()
+_PROJECT_CHILDREN = "item livestream reward reward_item".split()
+
+
+@query("normalise_loan_all", _sizes_sql("normalise_loan", _LOAN_CHILDREN))
+def normalise_loan_all(t):
+    return _sizes(_loan_tables(t, landed=True), _LOAN_CHILDREN)
+
+
+@query("normalise_project_all", _sizes_sql("normalise_project", _PROJECT_CHILDREN))
+def normalise_project_all(t):
+    return _sizes(projects.project_tables(_project_documents(t), landed=True), _PROJECT_CHILDREN)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pledgeflow.operators import extract as x
@@ -221,7 +224,42 @@ def html_fields_event(t):
     union all select 'done', count(*) from due where c_custkey % 7 <> 6""",
 )
 def parse_pages_batch(t):
+    batch = _page_batch(t)
+    counted = dict(batch.tables, unknown=batch.unknown, done=batch.done)
+    names = "fundraiser user user_project charity charity_event event team unknown done".split()
+    counts = [counted[n].agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n") for n in names]
+    return reduce(DataFrame.union, counts)
+
+
+_DUE = "from customer where c_custkey % 5 <> 0 and c_custkey % 11 <> 0"
+
+
+@query(
+    "parse_pages_children",
+    f"""select 'user_project' as name, 'u' || c_custkey as parent, 'site.example/' || p || '/' || c_custkey as child
+        from (select *, unnest(['a', 'b']) as p {_DUE} and c_custkey % 7 = 1)
+    union all select 'charity_event', 'https://site.example/' || c_custkey, 'site.example/e/' || c_custkey
+        {_DUE} and c_custkey % 7 = 2
+    union all select 'bad_encoding', 'https://site.example/' || c_custkey, null {_DUE} and c_custkey % 13 = 0""",
+)
+def parse_pages_children(t):
+    batch = _page_batch(t)
+
+    def shown(name, rows, parent, child):
+        return rows.select(F.lit(name).alias("name"), F.col(parent).alias("parent"), child.alias("child"))
+
+    parts = [
+        shown("user_project", batch.tables["user_project"], "username", F.col("project")),
+        shown("charity_event", batch.tables["charity_event"], "charity", F.col("event")),
+        shown("bad_encoding", batch.bad_encoding, "loc", F.lit(None).cast("string")),
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+def _page_batch(t):
+    """Stored pages of one site, some never parsed, some with bytes that are not UTF-8."""
     made = _charity_pages(t)
+    made = made.withColumn("html", F.concat("html", F.when(F.col("loc") % 13 == 0, "\u00e9").otherwise("")))
     last = F.when(F.col("loc") % 5 == 0, F.lit("2024-01-05").cast("timestamp_ntz"))
     store = made.select(_text("https://site.example/", F.col("loc")).alias("loc"), "html", last.alias("last_scrape"))
     kinds = F.when(F.col("loc") % 11 == 0, F.array(F.lit("static"))).otherwise(F.array(F.lit("static"), F.lit("users")))
@@ -230,14 +268,7 @@ def parse_pages_batch(t):
         F.lit("2024-01-04").cast("timestamp_ntz").alias("lastmod"),
         kinds.alias("categories"),
     )
-    batch = pages.parse_batch(store, listed, HOST, "https://site.example", F.lit("2024-02-01").cast("timestamp_ntz"))
-    counted = dict(batch.tables, unknown=batch.unknown, done=batch.done)
-    names = "fundraiser user user_project charity charity_event event team unknown done".split()
-    counts = [counted[n].agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n") for n in names]
-    result = counts[0]
-    for part in counts[1:]:
-        result = result.union(part)
-    return result
+    return pages.parse_batch(store, listed, HOST, "https://site.example", F.lit("2024-02-01").cast("timestamp_ntz"))
 
 
 # --- project pages -----------------------------------------------------------

@@ -9,7 +9,7 @@ from pledgeflow.plans import reports
 from pledgeflow.queries.common import AS_OF, CURRENCY_SQL, NOT_CURRENT_SQL, QUARTER_SQL, RATES_SQL, US_SQL
 from pledgeflow.queries.common import currency_of, rates, us_projects
 from pledgeflow.queries.registry import query
-from pledgeflow.queries.scalars import four_digits_sql
+from pledgeflow.queries.scalars import WORDS, four_digits_sql, precision_sql
 
 _GROUPED = """case when e >= 3 then n * pow(10::double, e - 3) else n / pow(10::double, 3 - e) end"""
 _FIXED = """case when lft <= 0 then '0.' || repeat('0', -lft) || dig
@@ -69,12 +69,38 @@ def describe_report(t):
 _LINES = ["l_quantity", "l_extendedprice", "l_tax"]
 
 
-@query("describe_words")
+_LONG_LINES = (
+    "u as (unpivot (select l_quantity::double as l_quantity, l_extendedprice::double as l_extendedprice,"
+    " l_tax::double as l_tax from lineitem) on * into name variable value v)"
+)
+
+
+def _per_stat(stats: tuple[str, ...]) -> str:
+    return ", ".join(f"max(case when stat = '{s}' then text end) as {s}" for s in stats)
+
+
+@query(
+    "describe_words",
+    f"""with {_LONG_LINES},
+    st as (select variable, avg(v) as mean, median(v) as median, min(v) as min, max(v) as max,
+        stddev_samp(v) as std_dev, sum(v) as sum from u group by 1),
+    lg as (unpivot st on mean, median, min, max, std_dev, sum into name stat value v), {four_digits_sql('lg', 'v')},
+    tx as (select upper(variable[1:1]) || replace(variable[2:], '_', ' ') as label, stat,
+        case when x = 0 then '0.0' else mant || case pw when 0 then '' {WORDS} end end as text from h)
+    select label, {_per_stat(("mean", "median", "min", "max", "std_dev", "sum"))} from tx group by 1""",
+)
 def describe_words(t):
     return reports.describe_words(t.lineitem, _LINES)
 
 
-@query("describe_digits")
+@query(
+    "describe_digits",
+    f"""with {_LONG_LINES},
+    st as (select variable, count(v)::double as n, round(avg(v), 12) as mean, round(stddev_pop(v), 12) as sd,
+        min(v) as min, max(v) as max from u group by 1),
+    lg as (unpivot st on n, mean, sd, min, max into name stat value v), {precision_sql('lg', 'v')}
+    select variable, {_per_stat(("n", "mean", "sd", "min", "max"))} from pr group by 1""",
+)
 def describe_digits(t):
     return reports.describe_digits(t.lineitem, _LINES)
 

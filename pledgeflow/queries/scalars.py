@@ -151,27 +151,43 @@ _SPREAD_SPARK = _double_literals(_SPREAD, "{}D")
 _SPREAD_DUCK = _double_literals(_SPREAD, "{}::double")
 
 
-@query(
-    "to_precision",
-    f"""with a as (select o_orderkey, {_SPREAD_DUCK} as x from orders),
-    b as (select *, abs(x) as s, cast(trunc(log10(abs(x))) as integer) as g from a where x <> 0),
-    c as (select *, case when floor(s / pow(10::double, g - 2)) < 100 then g - 1 else g end as l from b),
-    d as (select *, pow(10::double, l - 2) as u, floor(s / pow(10::double, l - 2)) as n from c),
-    f as (select *, case when abs((n + 1) * u - s) <= abs(n * u - s) then n + 1 else n end as r from d),
-    h as (select *, case when r >= 1000 then l + 1 else l end as e,
-        cast(cast(case when r >= 1000 then r / 10 else r end as bigint) as varchar) as m from f)
-    select o_orderkey, case when x < 0 then '-' else '' end || case
+def precision_sql(source: str, value: str) -> str:
+    """CTE chain (pr) that adds ``text``: ``value`` of ``source`` printed with three significant digits."""
+    return f"""pa as (select *, {value} as x from {source}),
+    pb as (select *, abs(x) as s, cast(trunc(log10(abs(x))) as integer) as g from pa where x <> 0),
+    pc as (select *, case when floor(s / pow(10::double, g - 2)) < 100 then g - 1 else g end as l from pb),
+    pd as (select *, pow(10::double, l - 2) as u, floor(s / pow(10::double, l - 2)) as n3 from pc),
+    pf as (select *, case when abs((n3 + 1) * u - s) <= abs(n3 * u - s) then n3 + 1 else n3 end as r from pd),
+    ph as (select *, case when r >= 1000 then l + 1 else l end as e,
+        cast(cast(case when r >= 1000 then r / 10 else r end as bigint) as varchar) as m from pf),
+    pr as (select * exclude (s, g, l, u, n3, r, e, m), case when x < 0 then '-' else '' end || case
         when e < -2 or e >= 3 then m[1:1] || '.' || m[2:3] || 'e' || case when e > 0 then '+' else '' end || e
         when e = 2 then m when e >= 0 then m[1:e + 1] || '.' || m[e + 2:]
-        else '0.' || repeat('0', -(e + 1)) || m end as text from h
-    union all select o_orderkey, '0.00' from a where x = 0""",
-)
+        else '0.' || repeat('0', -(e + 1)) || m end as text from ph
+    union all select *, '0.00' from pa where x = 0)"""
+
+
+@query("to_precision", f"with {precision_sql('orders', _SPREAD_DUCK)} select o_orderkey, text from pr")
 def to_precision(t):
     return t.orders.select(
         "o_orderkey", numbers.to_precision(F.expr(_SPREAD_SPARK), 3).alias("text")
     )
 
 
+@query(
+    "axis_marks",
+    """select o_orderkey,
+        (select count(*) from range(0, 13) t(i) where pow(10::double, i / 2.0) <= o_totalprice) as edges,
+        (select max(i * 50000.0::double) from range(0, 13) t(i) where i * 50000.0 <= o_totalprice) as tick
+    from orders""",
+)
+def axis_marks(t):
+    price = F.col("o_totalprice")
+    edges = F.filter(numbers.log_edges(6, 2), lambda e: e <= price)
+    ticks = F.filter(numbers.axis_ticks(0, 600_000, 12), lambda tick: tick <= price)
+    return t.orders.select("o_orderkey", F.size(edges).cast("long").alias("edges"), F.array_max(ticks).alias("tick"))
+
+
 def four_digits_sql(source: str, value: str) -> str:
     """CTE chain (f) with sign, digits and digits left of the point, for four significant digits."""
     return f"""a as (select *, {value} as x from {source}),
@@ -190,13 +206,13 @@ def four_digits_sql(source: str, value: str) -> str:
         else dig[1:pt] || '.' || dig[pt + 1:] end as mant from g)"""
 
 
-_WORDS = " ".join(f"when {p} then ' {names[0]}'" for p, names in numbers.PREFIXES.items())
+WORDS = " ".join(f"when {p} then ' {names[0]}'" for p, names in numbers.PREFIXES.items())
 
 
 @query(
     "pretty_number",
     f"""with {four_digits_sql('orders', _SPREAD_DUCK)}
-    select o_orderkey, case when x = 0 then '0.0' else mant || case pw when 0 then '' {_WORDS} end end as text from h""",
+    select o_orderkey, case when x = 0 then '0.0' else mant || case pw when 0 then '' {WORDS} end end as text from h""",
 )
 def pretty_number(t):
     return t.orders.select("o_orderkey", numbers.pretty_number(F.expr(_SPREAD_SPARK)).alias("text"))

@@ -36,7 +36,10 @@ def stream_upsert(t):
     base = t.orders.filter("o_orderpriority = '1-URGENT'").select(
         F.col("o_orderkey").alias("id"), F.lit("old").alias("state"), F.lit(0.0).alias("pledged")
     )
-    return landing.merged(base, landing.read_deltas(t.spark, f"{folder}/deltas", table), ["id"])
+    # the first batch is folded into the base, the others are merged on read
+    deltas = landing.read_deltas(t.spark, f"{folder}/deltas", table)
+    base, last = landing.compacted(base, deltas.filter("batch = 0"), ["id"], f"{folder}/base-1")
+    return landing.merged(base, landing.read_deltas(t.spark, f"{folder}/deltas", table, last), ["id"])
 
 
 @query(
@@ -48,11 +51,12 @@ def stream_snapshot(t):
     states = t.events.select(
         F.col("user_id").alias("projectid"), F.col("ts").cast("timestamp").alias("modified"), F.col("event_type").alias("status")
     )
-    # every state is delivered twice
-    states.union(states).write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(f"{folder}/landing")
-    stream = landing.json_stream(t.spark, f"{folder}/landing", "projectid bigint, modified timestamp, status string")
+    # every state is delivered twice, the newest first and the oldest last
+    parts = states.union(states).repartitionByRange(4, F.desc("modified"))
+    parts.write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(f"{folder}/landing")
+    stream = landing.json_stream(t.spark, f"{folder}/landing", "projectid bigint, modified timestamp, status string", 1)
     landing.append_new_states(
-        stream, ["projectid", "modified"], "modified", "40 days", f"{folder}/out", f"{folder}/checkpoint"
+        stream, ["projectid", "modified"], [F.desc("status")], f"{folder}/out", f"{folder}/checkpoint"
     ).awaitTermination()
-    stored = t.spark.read.schema("projectid bigint, modified timestamp, status string").parquet(f"{folder}/out")
-    return stored.withColumn("modified", F.col("modified").cast("timestamp_ntz"))
+    stored = landing.read_deltas(t.spark, f"{folder}/out", layout("projectid bigint, modified timestamp, status string"))
+    return stored.select("projectid", F.col("modified").cast("timestamp_ntz").alias("modified"), "status")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,16 +57,40 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/pledgeflow/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what :func:`materialise` writes inside; results must be consumed by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def materialise(df: DataFrame, *partition_by: str) -> DataFrame:
     """Compute once into a parquet table below the shared folder and read it back.
 
     Lost executors then re-read files instead of recomputing, later scans prune columns,
     and the optimizer knows the real size. (A checkpoint would run a map-only plan twice.)
+    With ``partition_by`` a filter on those columns reads only the folders it names.
     """
     spark = df.sparkSession
     path = work_path(spark, "kept")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(df.columns)
 
 
 def sized(df: DataFrame, max_rows: int = 200_000) -> tuple[DataFrame, bool]:

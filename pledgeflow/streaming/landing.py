@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from pledgeflow.operators.merge import align, upsert_replace
+from pledgeflow.operators.merge import align, new_rows, upsert_replace
 from pledgeflow.operators.reconcile import first_per_key
+from pledgeflow.session import materialise, path_exists
 
 
 def json_stream(spark: SparkSession, folder: str, schema: str | T.StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -43,9 +44,10 @@ def land_deltas(
     )
 
 
-def read_deltas(spark: SparkSession, deltas: str, table: T.StructType) -> DataFrame:
+def read_deltas(spark: SparkSession, deltas: str, table: T.StructType, after: int = -1) -> DataFrame:
+    """Delta rows with their batch number; batches up to ``after`` are not read."""
     schema = T.StructType([*table.fields, T.StructField("batch", T.LongType())])
-    return spark.read.schema(schema).parquet(deltas)
+    return spark.read.schema(schema).parquet(deltas).filter(F.col("batch") > after)
 
 
 def merged(base: DataFrame, deltas: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -53,17 +55,38 @@ def merged(base: DataFrame, deltas: DataFrame, keys: Sequence[str]) -> DataFrame
     return upsert_replace(base, deltas, keys, [F.desc("batch")])
 
 
-def append_new_states(stream: DataFrame, keys: Sequence[str], time: str, delay: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Append each (entity, modified) state once.
+def compacted(base: DataFrame, deltas: DataFrame, keys: Sequence[str], target: str) -> tuple[DataFrame, int | None]:
+    """Write base and deltas as the next base version; returns it and the last batch it holds.
 
-    Repeats are recognised within ``delay`` of the event time, which bounds the state kept.
+    Later reads merge only the batches after that one, so the rows ranked on a read don't
+    grow with all that ever landed. The batches held may be removed once no read uses them.
     """
-    unique = stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+    last = deltas.agg(F.max("batch")).first()[0]
+    merged(base, deltas, keys).write.parquet(target)
+    return base.sparkSession.read.schema(base.schema).parquet(target), last
+
+
+def append_new_states(
+    stream: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str, checkpoint: str
+) -> StreamingQuery:
+    """Append each (entity, modified) state once, however late it arrives.
+
+    A micro-batch is reduced to one row per key and anti-joined with the states stored by
+    other batches, then written to a folder of its own, which a replay overwrites.
+    """
+    spark, schema = stream.sparkSession, stream.schema
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fresh = first_per_key(batch, keys, order)
+        if path_exists(spark, out):
+            stored = read_deltas(batch.sparkSession, out, schema).filter(F.col("batch") != batch_id)
+            fresh = new_rows(fresh, stored, keys)
+        # the folder read from may be the one overwritten
+        materialise(fresh).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
     return (
-        unique.writeStream.format("parquet")
-        .option("path", out)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

@@ -1,9 +1,12 @@
 """Upsert properties."""
 
+import datetime as dt
+
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from pledgeflow.operators import merge, reconcile
+from pledgeflow import session
+from pledgeflow.operators import merge, money, reconcile
 
 
 def _table(spark):
@@ -89,3 +92,40 @@ def test_merge_tables_uses_each_tables_key(spark):
     got = merge.merge_tables(tables, {"b": batch, "a": batch}, {"a": ["id"], "b": ["id", "s"]}, first=["a"])
     assert list(got) == ["a", "b"]
     assert got["a"].count() == 2 and got["b"].count() == 3
+
+
+def test_a_key_twice_in_the_batch_is_written_once(spark):
+    batch = spark.createDataFrame([(1, "x", 5.0), (1, "y", 9.0), (7, "p", 1.0), (7, "q", 2.0)], "id long, s string, v double")
+    partial = merge.upsert_partial(_table(spark), batch, "id", ["v"])
+    assert rows(partial) == [(1, "a", 9.0), (2, "b", 2.0), (7, "q", 2.0)]
+    newer = merge.upsert_if_newer(_table(spark), batch, "id", "v", [])
+    assert rows(newer) == [(1, "y", 9.0), (2, "b", 2.0), (7, "q", 2.0)]
+
+
+def test_snapshot_stores_a_repeated_state_once(spark):
+    store = spark.createDataFrame([(1, 1, "s")], "id long, at long, v string")
+    current = spark.createDataFrame([(1, 1, "t"), (2, 1, "a"), (2, 1, "b"), (2, 2, "a")], "id long, at long, v string")
+    assert rows(merge.snapshot(store, current, ["id", "at"])) == [(1, 1, "s"), (2, 1, "b"), (2, 2, "a")]
+
+
+def test_repeats_that_differ_in_a_map_are_ordered(spark):
+    schema = "id long, m map<string,int>"
+    batch = spark.createDataFrame([(1, {"a": 1}), (1, {"a": 2})], schema)
+    for part in (batch, batch.orderBy(F.desc(F.col("m")["a"]))):
+        merged = merge.merge_tables({"t": batch.limit(0)}, {"t": part}, {"t": ["id"]})
+        assert rows(merged["t"]) == [(1, {"a": 2})]
+
+
+def test_a_repeated_rate_does_not_multiply_facts(spark):
+    facts = spark.createDataFrame([(1, 10.0, "EUR", dt.date(2020, 1, 1))], "id long, amount double, cur string, day date")
+    rates = spark.createDataFrame([("EUR", dt.date(2020, 1, 1), 1.1), ("EUR", dt.date(2020, 1, 1), 1.2)], "currency string, rate_date date, usd_rate double")
+    for given in (rates, money.prepared_rates(rates)):
+        assert [r.amount for r in money.to_usd(facts, ["amount"], "cur", given, "day").collect()] == [12.0]
+
+
+def test_scratch_removes_what_it_wrote(spark):
+    with session.scratch(spark):
+        kept = session.materialise(_table(spark))
+        path = kept.inputFiles()[0]
+        assert kept.count() == 2 and session.path_exists(spark, path)
+    assert not session.path_exists(spark, path)

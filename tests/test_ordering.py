@@ -3,7 +3,7 @@
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from pledgeflow.operators import ordering
+from pledgeflow.operators import ordering, topk
 
 # 300 rows, a third of them under one key
 
@@ -126,3 +126,12 @@ def test_rows_are_numbered_inside_ranges_only(spark):
     over_rows = [line for line in windows if "sum(__n" not in line]
     assert len(windows) == 2 and len(over_rows) == 1
     assert "__part" in over_rows[0]
+
+
+def test_seeded_shuffle_is_a_repeatable_permutation(spark):
+    df = spark.range(500).repartition(5)
+    orders = [[r.id for r in topk.shuffled(df, "id", seed).collect()] for seed in (1, 1, 2)]
+    assert orders[0] == orders[1] != orders[2]
+    assert sorted(orders[0]) == sorted(orders[2]) == list(range(500))
+    rises = sum(a < b for a, b in zip(orders[0], orders[0][1:]))
+    assert 200 < rises < 300

@@ -67,3 +67,15 @@ def test_replayed_micro_batch_changes_nothing(spark, tmp_path):
     drain(f"{folder}/c2")  # a lost checkpoint replays the batch under the same id
     again = landing.merged(base, landing.read_deltas(spark, f"{folder}/deltas", table), ["id"]).collect()
     assert sorted(first) == sorted(again) == [(1, "b"), (2, "c"), (3, "old")]
+
+
+def test_landed_documents_are_parsed_once(spark):
+    """Eight tables of landed documents read columns; none parses JSON again."""
+    from pledgeflow.plans import loans
+    from pledgeflow.queries.documents import _loan_documents
+    from pledgeflow.queries.registry import Tables
+
+    docs = _loan_documents(Tables(spark, SF))
+    assert "from_json" in plan(docs)
+    for table in loans.loan_tables(docs, F.current_timestamp(), landed=True).values():
+        assert "from_json" not in plan(table)
