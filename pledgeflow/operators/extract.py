@@ -1,80 +1,102 @@
-"""Fields and sections from selected page elements."""
+"""Fields and sections from a page's array of selected elements.
+
+Everything here is a column of the page's own row: a value is a function of one element, a
+field picks elements by selector and applies it. Nothing is grouped or shuffled.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+Value = Callable[[Column], Column]
+
 
-def attr(name: str) -> Column:
-    return F.try_element_at("attrs", F.lit(name))
+def attr(name: str) -> Value:
+    return lambda e: F.try_element_at(e["attrs"], F.lit(name))
 
 
-def own_text(number: int = 0) -> Column:
+def own_text(number: int = 0) -> Value:
     """One of the element's own text nodes; NULL when there are fewer."""
-    return F.get("texts", F.lit(number))
+    return lambda e: F.get(e["texts"], F.lit(number))
+
+
+def own_texts(separator: str) -> Value:
+    return lambda e: F.array_join(e["texts"], separator)
+
+
+def all_text() -> Value:
+    return lambda e: e["text"]
+
+
+def path() -> Value:
+    return lambda e: e["path"]
 
 
-def all_text() -> Column:
-    return F.col("text")
+def of(sel: str) -> Column:
+    """A selector's elements in document order."""
+    return F.filter("elements", lambda e: e["sel"] == sel)
 
 
-def first(sel: str, value: Column) -> Column:
+def first(sel: str, value: Value) -> Column:
     """Value from the first element of a selector, NULL when there is none."""
-    hit = F.col("sel") == sel
-    return F.min_by(F.when(hit, value), F.when(hit, F.col("pos")))
+    return nth(sel, value, 0)
 
 
-def nth(sel: str, value: Column, number: int) -> Column:
-    """Value from the n-th element (0-based); for selectors that match a handful per group."""
-    item = F.when(F.col("sel") == sel, F.struct("pos", value.alias("v")))
-    return F.get(F.sort_array(F.collect_list(item)), F.lit(number))["v"]
+def nth(sel: str, value: Value, number: int) -> Column:
+    """Value from the n-th element (0-based)."""
+    return value(F.get(of(sel), F.lit(number)))
 
 
-def joined(sel: str, value: Column, separator: str = "\n") -> Column:
-    """Values of all elements of a selector in document order."""
-    item = F.when((F.col("sel") == sel) & value.isNotNull(), F.struct("pos", value.alias("v")))
-    return F.array_join(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["v"]), separator)
+def listed(sel: str, value: Value) -> Column:
+    """Values of all elements of a selector that have one."""
+    return F.array_compact(F.transform(of(sel), value))
 
 
-def listed(sel: str, value: Column) -> Column:
-    item = F.when((F.col("sel") == sel) & value.isNotNull(), F.struct("pos", value.alias("v")))
-    return F.transform(F.sort_array(F.collect_list(item)), lambda x: x["v"])
+def joined(sel: str, value: Value, separator: str = "\n") -> Column:
+    return F.array_join(listed(sel, value), separator)
 
 
 def number_of(sel: str) -> Column:
-    return F.count_if(F.col("sel") == sel)
+    return F.size(of(sel)).cast("long")
 
 
 def exists(sel: str) -> Column:
-    return number_of(sel) > 0
+    return F.exists("elements", lambda e: e["sel"] == sel)
 
 
-def at_most_one(sel: str, value: Column) -> Column:
+def at_most_one(sel: str, value: Value) -> Column:
     """Value of the single element of a selector; the job fails when there are several."""
     several = F.raise_error(F.lit(f"too many elements for {sel}")).cast("string")
     return F.when(number_of(sel) > 1, several).otherwise(first(sel, value).cast("string"))
 
 
 def page_fields(elements: DataFrame, key: str, fields: Mapping[str, Column]) -> DataFrame:
-    """One row per page; a group is one page's selected elements."""
-    return elements.groupBy(key).agg(*[value.alias(name) for name, value in fields.items()])
+    """One row per page that has selected elements."""
+    return elements.select(key, *[value.alias(name) for name, value in fields.items()])
 
 
 def section_fields(elements: DataFrame, key: str, section: str, fields: Mapping[str, Column]) -> DataFrame:
     """One row per repeated section, with its 1-based position among the page's elements.
 
-    The section element itself belongs to its group, so its own attributes are fields too.
+    The section element itself belongs to its section, so its own attributes are fields too.
     """
-    home = F.when(F.col("sel") == section, F.col("pos")).otherwise(F.try_element_at("within", F.lit(section)))
-    return (
-        elements.withColumn("section_pos", home)
-        .filter(F.col("section_pos").isNotNull())
-        .groupBy(key, "section_pos")
-        .agg(*[value.alias(name) for name, value in fields.items()])
-    )
+    sections = elements.select(key, "elements", F.explode(F.transform(of(section), lambda e: e["pos"])).alias("section_pos"))
+
+    def home(e: Column) -> Column:
+        return F.when(e["sel"] == section, e["pos"]).otherwise(F.try_element_at(e["within"], F.lit(section)))
+
+    inside = F.filter("elements", lambda e: home(e) == F.col("section_pos"))
+    rows = sections.select(key, "section_pos", inside.alias("elements"))
+    return rows.select(key, "section_pos", *[value.alias(name) for name, value in fields.items()])
+
+
+def each(elements: DataFrame, sel: str, *kept: str | Column, **values: Value) -> DataFrame:
+    """One row per element of a selector: the kept columns of its page and named values."""
+    rows = elements.select("*", F.explode(of(sel)).alias("__e"))
+    return rows.select(*kept, *[value(F.col("__e")).alias(name) for name, value in values.items()])
 
 
 def table_rows(elements: DataFrame, key: str, table: str, header: str, row: str, cell: str) -> DataFrame:
@@ -83,19 +105,20 @@ def table_rows(elements: DataFrame, key: str, table: str, header: str, row: str,
     A row is valid when it is as wide as the header; empty cells count as ''.
     """
 
-    def texts(sel: str, scope: str, name: str) -> DataFrame:
-        item = F.struct("pos", F.coalesce(F.get("texts", F.lit(0)), F.lit("")).alias("v"))
-        hits = elements.filter(F.col("sel") == sel).withColumn("scope", F.col("within")[scope])
-        carried = F.first(F.col("within")[table]).alias("table_pos")
-        return (
-            hits.filter(F.col("scope").isNotNull())
-            .groupBy(key, "scope")
-            .agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["v"]).alias(name), carried)
-        )
-
-    heads = texts(header, table, "headers").select(key, F.col("scope").alias("table_pos"), "headers")
-    body = texts(cell, row, "cells").withColumnRenamed("scope", "row_pos")
-    return body.join(heads, [key, "table_pos"]).withColumn("valid", F.size("headers") == F.size("cells"))
+    def texts(sel: str, scope: str, pos: Column) -> Column:
+        hits = F.filter("elements", lambda e: (e["sel"] == sel) & (F.try_element_at(e["within"], F.lit(scope)) == pos))
+        return F.transform(hits, lambda e: F.coalesce(own_text()(e), F.lit("")))
+
+    rows = elements.select(key, "elements", F.explode(of(row)).alias("__row"))
+    row_pos, table_pos = F.col("__row.pos"), F.try_element_at(F.col("__row.within"), F.lit(table))
+    found = rows.select(
+        key,
+        row_pos.alias("row_pos"),
+        table_pos.alias("table_pos"),
+        texts(header, table, table_pos).alias("headers"),
+        texts(cell, row, row_pos).alias("cells"),
+    )
+    return found.filter("size(headers) > 0 and size(cells) > 0").withColumn("valid", F.size("headers") == F.size("cells"))
 
 
 def classify(pages: DataFrame, html: str, markers: Mapping[str, str]) -> DataFrame:
@@ -138,4 +161,6 @@ def embedded_json(pages: DataFrame, key: str, html: str, pattern: str, schema: s
 
 def attribute_json(elements: DataFrame, key: str, name: str, schema: str) -> DataFrame:
     """JSON held in an element attribute, one row per element."""
-    return elements.filter(attr(name).isNotNull()).select(key, "pos", F.from_json(attr(name), schema).alias("document"))
+    rows = elements.select(key, F.explode("elements").alias("__e"))
+    found = rows.select(key, F.col("__e.pos").alias("pos"), attr(name)(F.col("__e")).alias("__json"))
+    return found.filter(F.col("__json").isNotNull()).select(key, "pos", F.from_json("__json", schema).alias("document"))

@@ -30,8 +30,9 @@ def links(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
     """Every link in page order: absolute, without its query, with its text."""
     page = pages.select(F.struct(key, url).alias("page"), html)
     found = elements(page, "page", html, specs.LINKS)
-    target = urls.strip_query(urls.absolute(attr("href"), F.col(f"page.{url}")))
-    return found.select(f"page.{key}", "pos", target.alias("href"), x.all_text().alias("text"))
+    rows = found.select("page", F.explode("elements").alias("e"))
+    target = urls.strip_query(urls.absolute(attr("href")(F.col("e")), F.col(f"page.{url}")))
+    return rows.select(f"page.{key}", "e.pos", target.alias("href"), "e.text")
 
 
 def listed_projects(pages: DataFrame, key: str, html: str, schema: str) -> DataFrame:
@@ -137,7 +138,7 @@ def _team(found: DataFrame, key: str) -> DataFrame:
 
     goal = F.replace(F.split_part(first("member_goal", own_text()), F.lit("Raised of"), F.lit(2)), F.lit("Goal"), F.lit(""))
     members = x.section_fields(
-        found,
+        found.filter(x.exists("team_title")),
         key,
         "member",
         {
@@ -150,17 +151,17 @@ def _team(found: DataFrame, key: str) -> DataFrame:
             "__blank": F.exists(tokens, lambda c: c == "project_"),
         },
     ).filter(~F.col("__blank") & F.col("username").isNotNull())
-    teams = found.filter("sel = 'team_title'").select(key)
-    return members.drop("__blank", "section_pos").join(teams, key, "left_semi")
+    return members.drop("__blank", "section_pos")
 
 
 def users(pages: DataFrame, key: str, html: str, host: str) -> Extracted:
     """User pages and the fundraisers they list."""
     found = materialise(elements(pages, key, html, specs.USER))
-    def spaced(parts: Column) -> Column:
-        return F.transform(parts, lambda s: text.collapse_space(s))
 
-    about = F.filter(F.flatten(x.listed("about_part", spaced(F.col("texts")))), lambda s: s != "")
+    def spaced(e: Column) -> Column:
+        return F.transform(e["texts"], lambda s: text.collapse_space(s))
+
+    about = F.filter(F.flatten(x.listed("about_part", spaced)), lambda s: s != "")
     rows = x.page_fields(
         found,
         key,
@@ -186,9 +187,9 @@ def users(pages: DataFrame, key: str, html: str, host: str) -> Extracted:
             "location": F.when(~top.rlike(since), F.replace(top, F.lit(" ,"), F.lit(","))),
         }
     ).drop("about_lines")
-    projects = found.filter("sel = 'project_link'").select(key, _site(host, attr("href")).alias("project"))
-    owners = rows.select(key, "username")
-    return Extracted(rows, {"user_project": projects.join(owners, key).select("username", "project")})
+    owner = urls.last_section(first("canonical", attr("href"))).alias("username")
+    projects = x.each(found, "project_link", owner, project=lambda e: _site(host, attr("href")(e)))
+    return Extracted(rows, {"user_project": projects})
 
 
 def charities(pages: DataFrame, key: str, html: str, host: str) -> Extracted:
@@ -196,7 +197,7 @@ def charities(pages: DataFrame, key: str, html: str, host: str) -> Extracted:
     found = materialise(elements(pages, key, html, specs.CHARITY))
     based = F.get(
         F.filter(
-            F.transform(F.flatten(x.listed("based", F.col("texts"))), lambda s: F.trim(F.translate(s, "\n\t", ""))),
+            F.transform(F.flatten(x.listed("based", lambda e: e["texts"])), lambda s: F.trim(F.translate(s, "\n\t", ""))),
             lambda s: s.startswith("BASED:"),
         ),
         F.lit(0),
@@ -217,9 +218,7 @@ def charities(pages: DataFrame, key: str, html: str, host: str) -> Extracted:
             "true_url": _true_url(),
         },
     )
-    events = found.filter("sel = 'event_link'").select(
-        F.col(key).alias("charity"), _site(host, attr("href")).alias("event")
-    )
+    events = x.each(found, "event_link", F.col(key).alias("charity"), event=lambda e: _site(host, attr("href")(e)))
     return Extracted(rows, {"charity_event": events})
 
 
@@ -230,17 +229,10 @@ def events(pages: DataFrame, key: str, html: str) -> Extracted:
 
     def dated(words: str) -> Column:
         """Text of the first date span whose line mentions the words."""
-        line = F.when(F.contains(F.upper(F.array_join("texts", " ")), F.lit(words)), F.col("pos"))
-        marked = F.min(F.when(F.col("sel") == "date_line", line))
-        spans = F.sort_array(
-            F.collect_list(
-                F.when(
-                    F.col("sel") == "date",
-                    F.struct("pos", F.try_element_at("within", F.lit("date_line")).alias("line"), own_text().alias("v")),
-                )
-            )
-        )
-        return F.get(F.filter(spans, lambda s: s["line"] == marked), F.lit(0))["v"]
+        lines = F.filter(x.of("date_line"), lambda e: F.contains(F.upper(x.own_texts(" ")(e)), F.lit(words)))
+        marked = F.get(lines, F.lit(0))["pos"]
+        spans = F.filter(x.of("date"), lambda e: F.try_element_at(e["within"], F.lit("date_line")) == marked)
+        return own_text()(F.get(spans, F.lit(0)))
 
     rows = x.page_fields(
         found,
@@ -316,8 +308,11 @@ def project_states(pages: DataFrame, key: str, html: str) -> DataFrame:
     found = elements(pages, key, html, specs.PROJECT)
     main = F.split(first("main", attr("class")), " ")
     hidden = first("hidden_text", own_text())
-    # elements placed relative to the share and pledge boxes are picked after grouping
-    placed = F.struct(own_text().alias("v"), "path")
+
+    # elements placed relative to the share and pledge boxes are picked from these
+    def placed(e: Column) -> Column:
+        return F.struct(own_text()(e).alias("v"), e["path"].alias("path"))
+
     fields = x.page_fields(
         found,
         key,
@@ -329,8 +324,8 @@ def project_states(pages: DataFrame, key: str, html: str) -> DataFrame:
             "header_title": first("header_link", own_text()),
             "profile_title": first("profile_link", own_text()),
             "blurb": x.nth("blurb_text", own_text(), 1),
-            "share_path": first("share", F.col("path")),
-            "pledged_path": first("pledged", F.col("path")),
+            "share_path": first("share", x.path()),
+            "pledged_path": first("pledged", x.path()),
             "paragraphs": x.listed("paragraph", placed),
             "bolds": x.listed("bold", placed),
             "row_places": x.listed("row_place", own_text()),
@@ -418,7 +413,7 @@ def comments(pages: DataFrame, key: str, html: str) -> DataFrame:
             "user_id": F.nullif(author, F.lit("")),
             "user_name": first("author", own_text()),
             "author_deleted": (x.number_of("author") == 0) & first("gone", own_text()).eqNullSafe(F.lit("deleted")),
-            "body": x.joined("body", F.array_join("texts", "\n")),
+            "body": x.joined("body", x.own_texts("\n")),
             "post_date": F.coalesce(
                 dates.iso_date(F.replace(first("time", attr("datetime")), F.lit('"'), F.lit(""))),
                 dates.long_date(first("date", own_text())),
@@ -469,35 +464,27 @@ def community(pages: DataFrame, key: str, html: str) -> Extracted:
 
 def rewards(pages: DataFrame, key: str, html: str) -> DataFrame:
     """Reward levels of pages that are not purged and list as many as they declare."""
-    found = materialise(elements(pages, key, html, specs.REWARDS))
+    declared = first("list", attr("data-reward-count")).try_cast("long")
+    sound = ~x.exists("purged") & (declared == x.number_of("reward"))
+    found = elements(pages, key, html, specs.REWARDS).filter(sound)
     limit = F.split_part(F.split_part(first("limit", own_text()), F.lit(" of"), F.lit(2)), F.lit(")"), F.lit(1))
 
     def filled(value: Column) -> Column:
         return F.nullif(F.trim(value), F.lit(""))
 
-    rows = x.section_fields(
+    return x.section_fields(
         found,
         key,
         "reward",
         {
             "amount_required": numbers.digits_only(first("amount", own_text())),
             "backer_count": numbers.digits_only(first("backers", own_text())),
-            "description": filled(x.joined("description", F.array_join("texts", ""), "")),
+            "description": filled(x.joined("description", x.own_texts(""), "")),
             "delivery": first("delivery", attr("datetime")),
             "backer_limit": numbers.plain_number(limit).cast("long"),
-            "shipping_note": filled(x.joined("note", F.array_join("texts", ""), "")),
+            "shipping_note": filled(x.joined("note", x.own_texts(""), "")),
         },
     ).drop("section_pos")
-    sound = x.page_fields(
-        found,
-        key,
-        {
-            "purged": x.exists("purged"),
-            "declared": first("list", attr("data-reward-count")).try_cast("long"),
-            "present": x.number_of("reward"),
-        },
-    ).filter("not purged and declared = present")
-    return rows.join(sound.select(key), key, "left_semi")
 
 
 def timeline(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -505,10 +492,9 @@ def timeline(pages: DataFrame, key: str, html: str) -> DataFrame:
 
     Disputed projects are left out. An entry of unknown kind, or without a title, fails the job.
     """
-    found = materialise(elements(pages, key, html, specs.TIMELINE))
-    disputed = found.filter(
-        (F.col("sel") == "hidden_text") & F.contains(own_text(), F.lit(specs.DISPUTED))
-    ).select(key)
+    found = elements(pages, key, html, specs.TIMELINE)
+    notices = x.listed("hidden_text", own_text())
+    found = found.filter(~F.exists(notices, lambda t: F.contains(t, F.lit(specs.DISPUTED))))
     tokens = F.split(first("entry", attr("class")), " ")
     title, kind = F.lit(None).cast("string"), F.lit(None).cast("string")
     for token, holder in specs.TIMELINE_TITLES.items():
@@ -535,8 +521,7 @@ def timeline(pages: DataFrame, key: str, html: str) -> DataFrame:
     checked = entries.withColumn(
         "title", F.when(F.coalesce(F.col("title"), F.lit("")) == "", bad.cast("string")).otherwise(F.col("title"))
     )
-    kept = checked.join(disputed, key, "left_anti")
-    numbered = running_total(kept, ["section_pos"], [key], out="update_number")
+    numbered = running_total(checked, ["section_pos"], [key], out="update_number")
     return numbered.select(key, "update_number", "kind", "post_unix_timestamp", "title")
 
 
@@ -544,7 +529,5 @@ def creator_bios(pages: DataFrame, key: str, html: str) -> Extracted:
     """Location and external links of creator pages; more than one location fails the job."""
     found = materialise(elements(pages, key, html, specs.CREATOR_BIO))
     rows = x.page_fields(found, key, {"location_name": x.at_most_one("location", own_text())})
-    external = found.filter("sel = 'link'").select(
-        key, attr("href").alias("href"), attr("target").alias("target"), own_text().alias("link_text")
-    )
+    external = x.each(found, "link", key, href=attr("href"), target=attr("target"), link_text=own_text())
     return Extracted(rows, {"creator_external_url": first_per_key(external, [key, "href"], greatest_first(external))})

@@ -1,8 +1,8 @@
-"""Raw HTML pages to a table of selected elements.
+"""Raw HTML pages to arrays of selected elements.
 
-The only Python in the page jobs: a tolerant tokeniser that emits one row per element a
-selector asks for. Selectors are data, and everything after this (grouping into sections,
-typing, routing) is DataFrame work.
+A tolerant tokeniser emits one row per page with the elements that selectors ask for, in
+document order. Selectors are data, and everything after this (sections, typing, routing)
+is column work on that row, so a page's elements never leave the task that read them.
 """
 
 from __future__ import annotations
@@ -110,37 +110,50 @@ class _Elements(HTMLParser):
 
 
 def elements(pages: DataFrame, key: str, html: str, selectors: Mapping[str, Selector]) -> DataFrame:
-    """One row per page element accepted by a selector.
+    """(key, elements): one row per page that has an element some selector accepts.
 
-    ``sel`` names the selector, ``pos`` counts elements in document order, ``texts`` holds the
-    element's own text nodes and ``text`` all text below it; ``within`` gives the position of
+    ``sel`` names an element's selector, ``pos`` counts elements in document order, ``texts`` holds
+    the element's own text nodes and ``text`` all text below it; ``within`` gives the position of
     the nearest enclosing element of each selector, ``path`` those of all enclosing elements.
     """
     chosen = dict(selectors)
     kind = pages.schema[key].dataType
-    schema = (
-        f"`{key}` {kind.simpleString()}, sel string, pos int, attrs map<string,string>, texts array<string>,"
-        " text string, within map<string,int>, path array<int>"
+    element = (
+        "sel: string, pos: int, attrs: map<string,string>, texts: array<string>,"
+        " text: string, within: map<string,int>, path: array<int>"
     )
+    schema = f"`{key}` {kind.simpleString()}, elements array<struct<{element}>>"
     text, number = pa.string(), pa.int32()
-    types = [text, number, pa.map_(text, text), pa.list_(text), text, pa.map_(text, number), pa.list_(number)]
-    names = [key, "sel", "pos", "attrs", "texts", "text", "within", "path"]
+    types = {
+        "sel": text,
+        "pos": number,
+        "attrs": pa.map_(text, text),
+        "texts": pa.list_(text),
+        "text": text,
+        "within": pa.map_(text, number),
+        "path": pa.list_(number),
+    }
+    listed = pa.list_(pa.struct(list(types.items())))
     key_type = to_arrow_type(kind)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in names]
+            keys, found = [], []
             for page, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if source is None:
                     continue
                 parser = _Elements(chosen)
                 parser.feed(source)
                 parser.close()
-                for r in parser.rows:
-                    values = (page, r["sel"], r["pos"], list(r["attrs"].items()), r["texts"], "".join(r["all"]))
-                    for column, value in zip(out, (*values, list(r["within"].items()), r["path"])):
-                        column.append(value)
-            arrays = [pa.array(values, t) for values, t in zip(out, [key_type, *types])]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+                if parser.rows:
+                    keys.append(page)
+                    # a row is open before those inside it, so rows come in document order
+                    found.append(
+                        [
+                            r | {"text": "".join(r["all"]), "attrs": list(r["attrs"].items()), "within": list(r["within"].items())}
+                            for r in parser.rows
+                        ]
+                    )
+            yield pa.RecordBatch.from_arrays([pa.array(keys, key_type), pa.array(found, listed)], [key, "elements"])
 
     return spread(pages.select(key, html), key).mapInArrow(scan, schema)

@@ -1,7 +1,7 @@
 """The element scan on broken markup, and page jobs the tables cannot cover."""
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from pledgeflow.operators import extract as x
@@ -16,7 +16,7 @@ def _pages(spark, *sources):
 def test_unclosed_and_stray_tags(spark):
     html = "<ul><li>a<li>b <b>c</ul></i><p>x<p>y<br>z</div><img src=q><p>w"
     found = elements(_pages(spark, html, None), "page", "html", {"li": Selector("li"), "p": Selector("p")})
-    assert [(r.sel, r.text) for r in found.orderBy("pos").collect()] == [
+    assert [(r.sel, r.text) for r in found.first().elements] == [
         ("li", "a"), ("li", "b c"), ("p", "x"), ("p", "yz"), ("p", "w"),
     ]
 
@@ -24,10 +24,17 @@ def test_unclosed_and_stray_tags(spark):
 def test_scripts_comments_and_entities(spark):
     html = "<!-- <p>no</p> --><script>if (a<b) '<p>no</p>'</script><p title='&lt;t&gt;'>1 &amp; 2</p>"
     found = elements(_pages(spark, html), "page", "html", {"p": Selector("p"), "s": Selector("script")})
-    got = [(r.sel, r.text, r.attrs) for r in found.orderBy("pos").collect()]
+    got = [(r.sel, r.text, r.attrs) for r in found.first().elements]
     assert got == [("s", "if (a<b) '<p>no</p>'", {}), ("p", "1 & 2", {"title": "<t>"})]
 
 
+def test_page_elements_are_not_shuffled(spark):
+    """Between the tokeniser and the fields or sections of a page there is no exchange."""
+    big = _pages(spark, "<p>x</p>").repartition(2)
+    for made in (pages.events(big, "page", "html").rows, pages.comments(big, "page", "html"), pages.project_states(big, "page", "html")):
+        assert "Exchange" not in plan(made).split("MapInArrow")[0]
+
+
 def test_many_sections_on_one_page(spark):
     item = '<li id="comment-{0}"><a class="author" href="/profile/u{0}">U{0}</a><p>b{0}</p><time datetime="2014-01-02T"></time></li>'
     html = '<li class="page"><ol class="comments">' + "".join(item.format(i) for i in range(500)) + "</ol></li>"
