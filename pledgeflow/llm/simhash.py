@@ -173,13 +173,12 @@ def _walk(values, table, radius):
         waiting, rest = [rest[0]], rest[1:]
         while waiting and len(rest):
             member = waiting.pop()
-            near = rest[(np.abs(table[rest] - table[member]) <= radius).all(axis=1)]
-            near = near[np.bitwise_count(values[near] ^ values[member]) <= radius]
-            if len(near):
-                a.append(np.full(len(near), values[member]))
-                b.append(values[near])
-                rest = np.setdiff1d(rest, near, assume_unique=True)
-                waiting.extend(near.tolist())
+            reached = (np.abs(table[rest] - table[member]) <= radius).all(axis=1)
+            reached[reached] = np.bitwise_count(values[rest[reached]] ^ values[member]) <= radius
+            near, rest = rest[reached], rest[~reached]
+            a.append(np.full(len(near), values[member]))
+            b.append(values[near])
+            waiting.extend(near.tolist())
     return np.concatenate(a), np.concatenate(b)
 
 
