@@ -30,7 +30,7 @@ from pledgeflow.session import materialise
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 # word parts kept in a worker's memo, the longest that is kept, and text bytes encoded at once (of one text at least)
-MEMO, MEMO_BYTES, CHUNK_BYTES = 1_000_000, 48, 8 << 20
+MEMO, MEMO_BYTES, CHUNK_BYTES = 400_000, 48, 4 << 20
 # words whose letters and marks the tokenizer splits apart, all in its normal form once lowered
 _PLAIN = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]*)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
 

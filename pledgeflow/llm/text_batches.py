@@ -14,14 +14,22 @@ from pyspark.sql import types as T
 
 
 _ARCHIVE = "pledgeflow_package.zip"
+# most bytes of an Arrow batch (of one row at least); a worker holds a few batches at once
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
 
 
 def ship(df: DataFrame) -> DataFrame:
     """Give this package to the executors, once per context, and return ``df``.
 
-    Functions then reach Python workers by name, so their memos outlive a task.
+    Functions then reach Python workers by name, so their memos outlive a task. The session's
+    Arrow batches are held to ``BATCH_BYTES``, as a batch of long texts grows with the texts.
     """
-    context = df.sparkSession.sparkContext
+    session = df.sparkSession
+    as_bytes = session._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if not 0 < as_bytes(session.conf.get(_BATCH)) <= BATCH_BYTES:
+        session.conf.set(_BATCH, f"{BATCH_BYTES}b")
+    context = session.sparkContext
     if _ARCHIVE not in context._python_includes:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         path = os.path.join(tempfile.mkdtemp(), _ARCHIVE)
