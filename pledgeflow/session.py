@@ -90,7 +90,8 @@ def materialise(df: DataFrame, *partition_by: str) -> DataFrame:
     if _scopes:
         _scopes[-1].append(path)
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(df.columns)
+    kept = spark.read.schema(df.schema).parquet(path)
+    return kept.select(*[f"`{c}`" for c in df.columns]) if partition_by else kept
 
 
 def sized(df: DataFrame, max_rows: int = 200_000) -> tuple[DataFrame, bool]:
