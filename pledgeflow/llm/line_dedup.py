@@ -157,23 +157,23 @@ def dedup_lines(df: DataFrame, text: str = "text", key: str = "doc_id", **settin
     drops = materialise(dropped_lines(df, text, key, **settings))
     rows = df.select(
         F.struct("*").alias("record"),
-        F.col(text).cast("string").alias("text"),
         F.coalesce(F.col(key).cast("long"), F.lit(LEAST)).alias("id"),
         F.xxhash64(text).alias("digest"),
     )
-    lines = text_lines(F.col("text"))
+    whole = F.col("record").getField(text)
+    lines = text_lines(whole)
     n_lines = F.size("lines").cast("long")
-    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    breaks = F.octet_length(whole) - F.octet_length(F.replace(whole, F.lit("\n"), F.lit("")))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("places"))
     kept = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
     return (
         rows.join(drops, ["id", "digest"], "left")
-        .select("record", "text", "places", F.when(F.col("places").isNotNull(), lines).alias("lines"))
+        .select("record", "places", F.when(F.col("places").isNotNull(), lines).alias("lines"))
         .select(
             "record",
-            F.when(F.col("places").isNull(), F.coalesce("text", F.lit(""))).otherwise(kept).alias("kept"),
+            F.when(F.col("places").isNull(), F.coalesce(whole, F.lit(""))).otherwise(kept).alias("kept"),
             F.when(F.col("places").isNull(), breaks + 1).otherwise(n_lines).alias("n_lines"),
-            F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("n_dropped"),
+            F.when(F.col("places").isNull(), 0).otherwise(F.size("places")).cast("long").alias("n_dropped"),
         )
         .withColumn("n_lines", F.coalesce("n_lines", F.lit(1)).cast("long"))
     )
