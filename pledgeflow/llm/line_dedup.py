@@ -166,8 +166,9 @@ def dedup_lines(df: DataFrame, text: str = "text", key: str = "doc_id", **settin
     breaks = F.octet_length(whole) - F.octet_length(F.replace(whole, F.lit("\n"), F.lit("")))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("places"))
     kept = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
+    # one plan for every size: both sides are sorted by shuffle even where the drops are few
     return (
-        rows.join(drops, ["id", "digest"], "left")
+        rows.join(drops.hint("merge"), ["id", "digest"], "left")
         .select("record", "places", F.when(F.col("places").isNotNull(), lines).alias("lines"))
         .select(
             "record",
