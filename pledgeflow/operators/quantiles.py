@@ -14,12 +14,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pledgeflow.session import materialise, sized
+from pledgeflow.session import materialise
 
 # buckets per factor of two: each spans 0.07 % of its value
 _RESOLUTION = 1024
 # rows of an interval that one task may rank, and cells that a larger one is cut into
 RANKED_ROWS, CELLS = 200_000, 1024
+# target intervals, a few for each group, that may be broadcast
+MAX_BROADCAST = 200_000
 
 
 def log_bucket(value: Column) -> Column:
@@ -69,17 +71,20 @@ def summarised(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def moments(summary: DataFrame, keys: list[str]) -> DataFrame:
     """Per group: n, mean, sum, min, max and the deviations, from the buckets' own moments."""
-    whole = summary.groupBy(*keys).agg(
-        F.sum("__n").alias("n"), F.sum("__sum").alias("sum"), F.min("__lo").alias("min"), F.max("__hi").alias("max")
+    group = Window.partitionBy(*keys)
+    off = F.col("__mean") - F.sum("__sum").over(group) / F.sum("__n").over(group)
+    # one shuffle: the sum below finds the buckets of a group where the window has put them
+    whole = summary.withColumn("__off", off).groupBy(*keys).agg(
+        F.sum("__n").alias("n"),
+        F.sum("__sum").alias("sum"),
+        F.min("__lo").alias("min"),
+        F.max("__hi").alias("max"),
+        F.sum(F.col("__n") * (F.col("__var") + F.col("__off") * F.col("__off"))).alias("__squares"),
     )
-    whole = whole.withColumn("mean", F.col("sum") / F.col("n"))
-    off = F.col("__mean") - F.col("mean")
-    spread = summary.join(whole.select(*keys, "mean"), keys).groupBy(*keys)
-    squares = spread.agg(F.sum(F.col("__n") * (F.col("__var") + off * off)).alias("__squares"))
-    return whole.join(squares, keys).select(
+    return whole.select(
         *keys,
         "n",
-        "mean",
+        (F.col("sum") / F.col("n")).alias("mean"),
         "sum",
         "min",
         "max",
@@ -88,9 +93,6 @@ def moments(summary: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-_TARGET = ["__lo", "__hi", "__n", "__total", "__base", "__wanted"]
-
-
 def _matched(rows: DataFrame, keys: list[str], targets: DataFrame, small: bool) -> DataFrame:
     """Distinct values with counts, next to the target interval they lie in."""
     if not small:  # many groups: reduce equal values map-side before they travel to the join
@@ -107,9 +109,15 @@ def _matched(rows: DataFrame, keys: list[str], targets: DataFrame, small: bool)
 
 def _refined(rows: DataFrame, keys: list[str], targets: DataFrame) -> tuple[DataFrame, bool]:
     """Cut crowded target intervals into cells until each is small or holds one value."""
-    targets, small = sized(targets)
     crowded = (F.col("__n") > RANKED_ROWS) & (F.col("__lo") < F.col("__hi"))
-    while targets.filter(crowded).limit(1).count():
+
+    def written(found: DataFrame) -> tuple[DataFrame, bool, bool]:
+        kept = materialise(found)
+        count, still = kept.agg(F.count(F.lit(1)), F.coalesce(F.bool_or(crowded), F.lit(False))).first()
+        return kept, count <= MAX_BROADCAST, still
+
+    targets, small, again = written(targets)
+    while again:
         share = (F.col("__v") - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
         cell = F.least(F.floor(share * CELLS), F.lit(CELLS - 1)).alias("__cell")
         found = _matched(rows, keys, targets.filter(crowded), small)
@@ -121,7 +129,7 @@ def _refined(rows: DataFrame, keys: list[str], targets: DataFrame) -> tuple[Data
         )
         finer = _locate(cells, [*keys, "__in"], "__cell", F.col("__wanted"))
         finer = finer.select(*keys, "__lo", "__hi", "__n", "__total", F.col("__below").alias("__base"), F.col("__ranks").alias("__wanted"))
-        targets, small = sized(targets.filter(~crowded).unionByName(finer))
+        targets, small, again = written(targets.filter(~crowded).unionByName(finer))
     return targets, small
 
 

@@ -49,8 +49,7 @@ def test_without_groups(spark):
 
 
 def test_large_target_table_falls_back_to_a_shuffle_join(spark, groups, monkeypatch):
-    real = quantiles.sized
-    monkeypatch.setattr(quantiles, "sized", lambda df: real(df, max_rows=0))
+    monkeypatch.setattr(quantiles, "MAX_BROADCAST", 0)
     got = {r.g: r.m for r in quantiles.group_quantiles(_frame(spark, groups), ["g"], "v", {"m": 0.5}).collect()}
     assert all(math.isclose(got[g], float(np.median(v)), rel_tol=1e-12, abs_tol=1e-18) for g, v in groups.items())
 
