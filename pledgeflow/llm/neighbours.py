@@ -152,6 +152,8 @@ def _pieces(classes: DataFrame, prefix: int, with_vectors: bool, queries: DataFr
     rows = classes.select("class", "size", "asks", *value, tree).select(*base, "class", "string", "asks", *value)
     asking = (queries if queries is not None else classes.filter("asks").withColumn("depth", F.lit(0)))
     asking = asking.select("class", "size", "depth", *value, tree).select(*base, "class", "string", "depth", *value)
+    if queries is not None:
+        rows = rows.join(asking.select("tree", "size", "subtree").distinct(), ["tree", "size", "subtree"], "left_semi")
     sizes = rows.groupBy("tree", "size", "subtree").agg(
         F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("row_blocks"),
         F.ceil(F.greatest(F.sum(F.col("asks").cast("int")), F.lit(1)) / BLOCK_QUERIES).cast("int").alias("query_blocks"),
@@ -228,6 +230,32 @@ def _search(classes: DataFrame, queries: DataFrame, prefix: int, k: int) -> Data
     return pieces.applyInArrow(search, "query long, class long, score double")
 
 
+def _ascended(classes: DataFrame, queries: DataFrame, prefix: int, k: int) -> DataFrame:
+    """(query, class, score): candidates of every query, k classes at least or all others of its vector length.
+
+    Queries that met fewer ascend further, to half the depth each time; at depth 0 one tree's root holds every row.
+    """
+    found = materialise(_search(classes, queries, prefix, k).distinct())
+    lengths = materialise(classes.groupBy("size").agg((F.count("*") - 1).alias("others")))
+    wanted = materialise(queries.join(lengths, "size").withColumn("wanted", F.least(F.lit(k), "others")))
+    level = LENGTH
+    while level:
+        met = found.groupBy(F.col("query").alias("class")).agg(F.count_distinct("class").alias("met"))
+        short = wanted.join(met, "class", "left").filter(F.coalesce("met", F.lit(0)) < F.col("wanted")).drop("met")
+        wanted = materialise(short.withColumn("depth", F.col("depth").cast("int")))
+        deepest = wanted.agg(F.max("depth")).first()[0]
+        if deepest is None:
+            break
+        level = min(level, deepest) // 2
+        wanted = wanted.withColumn("depth", F.least("depth", F.lit(level)))
+        prefix, rows, asked = min(prefix, level), classes, wanted
+        if not level:
+            rows, asked = (x.withColumn("strings", F.slice("strings", 1, 1)) for x in (rows, asked))
+        more = _search(rows, asked, prefix, k)
+        found = materialise(found.unionByName(more).distinct())
+    return found
+
+
 def nearest(
     df: DataFrame, asks: Column, vector: str = "embedding", key: str = "vec_id", k: int = 5, trees: int = TREES, target: float = TARGET
 ) -> DataFrame:
@@ -275,7 +303,7 @@ def nearest(
     deep = F.size(F.filter("counts", lambda n: n >= enough))
     queries = asking.join(counts.select("class", F.greatest(deep - 1, F.lit(0)).alias("depth")), "class")
     queries = queries.withColumn("depth", F.col("depth") + prefix)
-    found = materialise(_search(classes, queries, prefix, k).distinct())
+    found = _ascended(classes, queries, prefix, k)
     # copies of the query's own vector are its nearest; their score is computed like any other
     own_class = asking.select(F.col("class").alias("query"), "class", _self_cosine("vector").alias("score"))
     classes_ids = classes.select("class", "h1", "h2")

@@ -71,6 +71,20 @@ def test_blocks_change_nothing(spark, monkeypatch):
     assert sorted(map(tuple, neighbours.nearest(table, asks(), trees=4).collect())) == whole
 
 
+def test_every_query_gets_its_neighbours(spark):
+    """An outlier and a rare vector length in a table whose trees are cut at a prefix."""
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.standard_normal(8) * 0.1 + 1]) for i in range(9000)]
+    rows += [(9000, [-1.0 - 0.01 * i for i in range(8)])]
+    rows += [(9050, [1.0, 0.0, 0.0, 0.0]), (9051, [-1.0, 0.01, 0.0, 0.0])]
+    got = {}
+    for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), asks()).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    assert set(got) == set(range(0, 9051, 50))
+    assert {q for q, found in got.items() if len(found) != 5} == {9050}
+    assert got[9050] == [(1, 9051)]
+
+
 def test_empty_and_single(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert neighbours.nearest(empty, asks()).collect() == []
