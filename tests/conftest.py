@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pledgeflow.session import get_session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -25,12 +23,3 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
-
-
-def rows(df):
-    """Collected rows as sorted tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)
-
-
-def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,7 +1,7 @@
 """Interpolation against numpy."""
 
 import numpy as np
-from conftest import rows
+from helpers import rows
 
 from pledgeflow.operators import curves
 

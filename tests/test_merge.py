@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from pledgeflow import session

@@ -1,6 +1,6 @@
 """Running totals, row numbers and buckets, with a hot key and tiny blocks."""
 
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from pledgeflow.operators import ordering, topk

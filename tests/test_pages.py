@@ -1,7 +1,7 @@
 """The element scan on broken markup, and page jobs the tables cannot cover."""
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from pledgeflow.operators import extract as x

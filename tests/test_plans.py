@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import SF, plan
+from helpers import SF, plan
 from pyspark.sql import functions as F
 
 from pledgeflow.queries import all_queries

@@ -5,7 +5,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from pledgeflow.operators import quantiles

@@ -1,7 +1,7 @@
 """Every registered query against its SQL oracle on the smallest tables."""
 
 import pytest
-from conftest import SF
+from helpers import SF
 from oracle import compare, duck
 
 from pledgeflow.queries import all_oracles, all_queries
