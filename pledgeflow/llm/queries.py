@@ -9,7 +9,9 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pledgeflow.llm import byte_bpe, chat, line_dedup, neighbours, packing, quality, sharding, simhash, token_counts, url_filter
+from pledgeflow.llm import byte_bpe, chat, direct_codes, line_dedup, neighbours, packing, phrases, quality, sharding, simhash
+from pledgeflow.llm import token_counts, url_filter, vector_codes
+from pledgeflow.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -151,6 +153,52 @@ def linked_turns(conversations: DataFrame) -> DataFrame:
     return found.select("kept.conv_id", "kept.turn", "call_id", "place", "status", F.array_join("errors", "; ").alias("errors"), "line")
 
 
+@query(
+    "op11_phrase_tiles",
+    "documents",
+    f"""
+    with d as (select row_number() over () as row, coalesce(lang, 'und') as lang,
+        unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
+    p as (select row_number() over () as piece_id, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as words from d),
+    w as (select piece_id, lang, unnest(words) as w1, generate_subscripts(words, 1) as i from p),
+    o as (select lang, w1, lead(w1) over t as w2, lead(w1, 2) over t as w3 from w window t as (partition by piece_id order by i)),
+    totals as (select lang, count(*) as n from w group by lang),
+    f1 as (select lang, w1, count(*) as f from o group by all),
+    f2 as (select lang, w1, w2, count(*) as f from o where w2 is not null group by all),
+    f3 as (select lang, w1, w2, w3, count(*) as f from o where w3 is not null group by all having count(*) >= 10),
+    c2 as (select p.lang, p.w1 || ' ' || p.w2 as phrase, p.f as a, x.f as l, y.f as r, 1 as k
+        from f2 p join f1 x on x.lang = p.lang and x.w1 = p.w1 join f1 y on y.lang = p.lang and y.w1 = p.w2
+        where p.f >= 10 and p.f > 2 * coalesce((select max(t.f) from f3 t
+            where t.lang = p.lang and ((t.w1 = p.w1 and t.w2 = p.w2) or (t.w2 = p.w1 and t.w3 = p.w2))), 0)),
+    c3 as (select t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3 as phrase, t.f as a, x.f as l, y.f as r, 1 as k
+        from f3 t join f1 x on x.lang = t.lang and x.w1 = t.w1 join f2 y on y.lang = t.lang and y.w1 = t.w2 and y.w2 = t.w3
+        union all
+        select t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, x.f, y.f, 2
+        from f3 t join f2 x on x.lang = t.lang and x.w1 = t.w1 and x.w2 = t.w2 join f1 y on y.lang = t.lang and y.w1 = t.w3),
+    s as (select *, (1000000::hugeint * a * a // (l::hugeint * r))::bigint as score from (from c2 union all from c3)),
+    b as (select * from s qualify row_number() over (partition by lang, phrase order by score, k) = 1)
+    select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+    from b join totals using (lang) qualify rank <= 2000""",
+)
+def collocations(documents: DataFrame) -> DataFrame:
+    return phrases.collocations(documents)
+
+
+@query("op12_direct_codes", "documents")
+def token_files(documents: DataFrame) -> DataFrame:
+    path = work_path(documents.sparkSession, "token-files")
+    direct_codes.write_tokens(documents, path)
+    found = direct_codes.read_documents(documents.sparkSession, path)
+    return found.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+@query("op13_value_dictionaries", "embeddings")
+def vector_codes_of(embeddings: DataFrame) -> DataFrame:
+    coded, books = vector_codes.compress(embeddings, passed=("label",))
+    summed = vector_codes.with_label_error(coded, "label")
+    return summed.select("kept.vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

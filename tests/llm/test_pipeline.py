@@ -20,7 +20,7 @@ def test_oracle(spark, name):
 
 def test_all_are_registered():
     names = set(__spark_entry__.queries())
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
     assert set(queries.ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
