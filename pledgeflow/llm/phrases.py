@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pledgeflow.llm.text_batches import ship, text_bytes
+from pledgeflow.llm.text_batches import packed, ship, text_bytes, unpacked
 from pledgeflow.operators.ordering import running_total
 from pledgeflow.session import broadcast_if_small, materialise
 
@@ -70,7 +70,7 @@ def text_chunks(df: DataFrame, text: str, lang: str) -> DataFrame:
                 counts = np.bincount(codes, minlength=len(words) + 1)[1:]
                 if len(words):
                     lists = [pa.ListArray.from_arrays([0, len(words)], x) for x in (words, pa.array(counts, pa.int64()))]
-                    arrays = [pa.array([number], pa.int64()), pa.array([name]), pa.array([codes.tobytes()], pa.binary()), *lists]
+                    arrays = [pa.array([number], pa.int64()), pa.array([name]), pa.array([packed(codes)], pa.binary()), *lists]
                     yield pa.RecordBatch.from_arrays(arrays, names=names)
                 number += 1
 
@@ -124,7 +124,7 @@ def pair_counts(streams: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, codes, ids in zip(*(batch.column(c) for c in ("chunk", "codes", "ids")), strict=True):
-                codes, ids = np.frombuffer(codes.as_buffer(), np.int32), np.frombuffer(ids.as_buffer(), np.int64)
+                codes, ids = unpacked(codes, True), unpacked(ids, True)
                 at = _neighbours(codes)
                 if not len(at):
                     continue
@@ -143,7 +143,8 @@ def _stream(chunk: pa.Array, codes: np.ndarray, found: np.ndarray, ids: np.ndarr
     table = np.zeros(int(found.max(initial=0)) + 1, np.int32)
     table[found[order]] = np.arange(1, len(order) + 1)
     codes = np.where(codes < len(table), codes, 0)
-    arrays = [chunk, pa.array([table[codes].tobytes()], pa.binary()), pa.array([ids[order].astype(np.int64).tobytes()], pa.binary())]
+    cells = (table[codes], ids[order].astype(np.int64))
+    arrays = [chunk, *[pa.array([packed(x)], pa.binary()) for x in cells]]
     return pa.table(arrays, names=["chunk", "codes", "ids"])
 
 
@@ -162,7 +163,7 @@ def word_streams(chunks: DataFrame, words: DataFrame) -> DataFrame:
     def rewrite(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return _empty_stream()
-        codes = np.frombuffer(left.column("codes")[0].as_buffer(), np.int32)
+        codes = unpacked(left.column("codes")[0], True)
         found, ids = right.column("code").to_numpy(), right.column("id").to_numpy()
         return _stream(left.column("chunk").combine_chunks(), codes, found, ids)
 
@@ -175,8 +176,8 @@ def pair_streams(streams: DataFrame, known: DataFrame) -> DataFrame:
     def rewrite(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return _empty_stream()
-        codes = np.frombuffer(left.column("codes")[0].as_buffer(), np.int32)
-        ids = np.frombuffer(left.column("ids")[0].as_buffer(), np.int64)
+        codes = unpacked(left.column("codes")[0], True)
+        ids = unpacked(left.column("ids")[0], True)
         first, second = (np.searchsorted(ids, right.column(c).to_numpy()) for c in ("first", "second"))
         keys = first * len(ids) + second
         order = np.argsort(keys)
@@ -208,16 +209,16 @@ def frequent_phrases(df: DataFrame, text: str = "text", lang: str = "lang", min_
         if size == max_words:
             break
         streams = word_streams(chunks, level) if size == 1 else pair_streams(streams, known)
+        # counted anew where it is needed again: that costs less than keeping a row of every pair of a chunk
         counted = pair_counts(streams)
-        counted = materialise(counted) if size + 1 < max_words else counted
         pairs = counted.groupBy("first", "second").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
         left = level.select(F.col("id").alias("first"), "lang", F.col("phrase").alias("start"))
         right = level.select(F.col("id").alias("second"), F.substring_index("phrase", " ", -1).alias("last"))
         named = pairs.join(left, "first").join(right, "second").select("lang", F.concat_ws(" ", "start", "last").alias("phrase"), "n", "first", "second")
         level = materialise(_numbered(named) if size + 1 < max_words else named)
         if size + 1 < max_words:
-            known = counted.join(level.select("first", "second", "id"), ["first", "second"])
-            known = known.select(F.col("chunk").alias("of"), "first", "second", "id")
+            known = counted.select(F.col("chunk").alias("of"), "first", "second")
+            known = known.join(level.select("first", "second", "id"), ["first", "second"])
     return reduce(DataFrame.unionByName, found), totals
 
 

@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +50,21 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
         yield text.as_py() or b""
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Integers as their width, their number of bytes and compressed bytes."""
+    raw = values.tobytes()
+    head = values.itemsize.to_bytes(1, "little") + len(raw).to_bytes(8, "little")
+    return head + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+
+
+def unpacked(held: pa.BinaryScalar, signed: bool = False) -> np.ndarray:
+    """Integers of a cell that :func:`packed` made."""
+    raw = memoryview(held.as_buffer())
+    size = int.from_bytes(raw[1:9], "little")
+    plain = pa.Codec("zstd").decompress(raw[9:], decompressed_size=size) if size else b""
+    return np.frombuffer(plain, f"<{'i' if signed else 'u'}{raw[0]}")
+
+
 def map_texts(
     df: DataFrame,
     text: str,
