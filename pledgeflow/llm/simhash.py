@@ -4,13 +4,15 @@ Distinct fingerprints meet where they agree on enough blocks of bits for a link
 There, the Hamming distances of every fingerprint to a table of reference fingerprints are
 computed once; by the triangle inequality two fingerprints whose distances to any reference
 differ by more than the radius can't be linked, and only the survivors are verified. Large
-meeting groups are walked from member to member, so that links, not pairs, leave a task.
+meeting groups are walked from member to member, so that links, not pairs, leave a task; members of
+crowded ones meet anew under longer keys.
 Links become components by alternating star contractions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -29,6 +31,8 @@ SEED, BITS = 42, 64
 PIVOTS, SMALL_GROUP, HASHES_AT_ONCE = 16, 48, 1 << 16
 # fingerprints that may share a meeting key by chance before longer keys are taken
 CHANCE = 64
+# members of a key above which they meet anew under longer keys, and how often
+CROWDED, REFINEMENTS = 1 << 10, 3
 
 
 def fingerprint(raw: bytes, words: int = 4) -> bytes:
@@ -102,28 +106,52 @@ def links(prints: DataFrame, radius: int = 4, agree: int | None = None) -> DataF
     """(a, b): links that connect all of the distinct ``prints`` that are at most ``radius`` bits apart.
 
     Every linked pair is connected, directly or through others; a pair may come from several masks.
+    Keys with more than ``CROWDED`` members are left to a search among those members in which one
+    more block has to agree, which is as complete; the last search takes every key.
     """
-    agree = agree or _agreement(prints.count(), radius)
+    agree, found = agree or _agreement(prints.count(), radius), []
+    for last in (False,) * REFINEMENTS + (True,):
+        met = materialise(_met(prints, radius, agree, last))
+        found.append(met.filter("b is not null"))
+        prints, agree = materialise(met.filter("b is null").select(F.col("a").alias("print")).distinct()), agree + 1
+        if not prints.limit(1).count():
+            break
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def _met(prints: DataFrame, radius: int, agree: int, last: bool) -> DataFrame:
+    """Links (a, b) between prints that agree on ``agree`` blocks, and (a, null) for members of crowded keys."""
     masks = block_masks(radius, agree)
     keys = F.posexplode(F.array(*[F.col("print").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("mask", "key")
     met = prints.select("print", keys).repartition("mask", "key").sortWithinPartitions("mask", "key", "print")
     pivots = np.random.default_rng(SEED).integers(0, 1 << 63, PIVOTS, np.uint64) * np.uint64(2) + np.uint64(1)
 
+    def alone(values: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(values), pa.nulls(len(values), pa.int64())], names=["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        # complete groups are linked; what is held is the last, unfinished one, and no more of it than makes it crowded
+        held, crowded = np.zeros((3, 0), np.int64), None
         for batch in batches:
             mask, key, value = (batch.column(c).to_numpy() for c in ("mask", "key", "print"))
-            rows = np.stack([mask.astype(np.int64), key, value])
-            if held:
-                rows = np.concatenate([*held, rows], axis=1)
-            last = np.flatnonzero((rows[:2, 1:] != rows[:2, :-1]).any(axis=0))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            held = [rows[:, cut:]]
-            yield from _link_batches(rows[:, :cut], pivots, radius)
-        if held:
-            yield from _link_batches(held[0], pivots, radius)
-
-    return ship(met).mapInArrow(run, "a long, b long").distinct()
+            rows = np.concatenate([held, np.stack([mask.astype(np.int64), key, value])], axis=1)
+            if crowded is not None:
+                more = int(np.argmin(np.append((rows[0] == crowded[0]) & (rows[1] == crowded[1]), False)))
+                yield alone(rows[2, :more])
+                crowded, rows = crowded if more == rows.shape[1] else None, rows[:, more:]
+            new = np.flatnonzero(np.concatenate([[True], (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)])) if rows.shape[1] else np.zeros(0, np.int64)
+            sizes = np.diff(np.append(new, rows.shape[1]))
+            large = (sizes > CROWDED) & (not last)
+            yield alone(rows[2, np.repeat(large, sizes)])
+            if len(large) and large[-1]:
+                crowded = rows[0, -1], rows[1, -1]
+            stays = np.repeat(~large, sizes)
+            cut = int(new[-1]) if len(new) else 0
+            yield from _link_batches(rows[:, :cut][:, stays[:cut]], pivots, radius)
+            held = rows[:, cut:][:, stays[cut:]]
+        yield from _link_batches(held, pivots, radius)
+
+    return ship(met).mapInArrow(run, "a long, b long")
 
 
 def _link_batches(rows: np.ndarray, pivots: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:

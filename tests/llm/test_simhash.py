@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -75,8 +76,10 @@ def test_empty_table(no_documents):
     assert simhash.representatives(no_documents).collect() == []
 
 
-def test_dense_and_scattered_groups(spark):
-    """Balls of near fingerprints, chains through them, and random ones, for every key length."""
+@pytest.mark.parametrize("crowded", [2, 30, 1 << 10])
+def test_dense_and_scattered_groups(spark, monkeypatch, crowded):
+    """Balls of near fingerprints, chains through them, and random ones, for every key length and size of a crowd."""
+    monkeypatch.setattr(simhash, "CROWDED", crowded)
     rng = random.Random(7)
 
     def near(value, bits):
@@ -90,7 +93,7 @@ def test_dense_and_scattered_groups(spark):
     prints = sorted(prints | set(chain) | {rng.getrandbits(64) for _ in range(100)} | {0, 7, 1 << 63})
     frame = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "print long")
     want = brute_groups(prints)
-    for agree in (1, 2, 3):
+    for agree in (1, 2, 3) if crowded > 2 else (2,):
         found = simhash.components(simhash.links(frame, agree=agree)).collect()
         root = {r.node: r.root for r in found}
         assert len(root) == len(found)
@@ -99,6 +102,34 @@ def test_dense_and_scattered_groups(spark):
         assert len(pairs) == len(set(want)) == len(set(got))
 
 
+def test_a_crowded_key_is_spread(spark, monkeypatch):
+    """Members that agree on half of their bits are met under longer keys in many tasks, and none of their links is lost."""
+    rng = random.Random(11)
+    prints = {0xABCD1234 << 32 | rng.getrandbits(32) for _ in range(3000)}
+    prints |= {p ^ 1 << rng.randrange(32) for p in list(prints)[:200]}
+    prints = sorted(prints)
+    frame = spark.createDataFrame([(p - (1 << 64),) for p in prints], "print long")
+    first = simhash._met(frame, 4, 2, False)
+    left = first.filter("b is null").select("a").distinct().count()
+    assert left == len(prints) and first.filter("b is not null").count() < 40 * len(prints)
+    values = np.array(prints, np.uint64)
+    near = [np.flatnonzero(np.bitwise_count(values ^ v) <= 4) for v in values]
+    root = {r.node: r.root for r in simhash.components(simhash.links(frame, agree=2)).collect()}
+    signed = values.view(np.int64).tolist()
+    for v, others in zip(signed, near):
+        assert all(root.get(signed[o], signed[o]) == root.get(v, v) for o in others)
+    assert len(set(root.values())) == len({brute for brute in _roots(near)} - {i for i, o in enumerate(near) if len(o) == 1})
+
+
+def _roots(near):
+    root = list(range(len(near)))
+    changed = True
+    while changed:
+        new = [min(root[o] for o in others) for others in near]
+        changed, root = new != root, new
+    return root
+
+
 def test_masks_leave_no_link_out():
     rng = np.random.default_rng(3)
     for agree in (1, 2, 3, 4):
