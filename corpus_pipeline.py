@@ -1,4 +1,4 @@
-"""Corpus pipeline: quality rules, line dedup, near-dedup by shared shingles, best-fit packing.
+"""Corpus pipeline: quality rules, line dedup, SimHash near-dedup, best-fit packing.
 
 Each stage takes (spark, documents, sf_dir) and returns a DataFrame that is written as Parquet
 and read again as the next stage's documents.
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pledgeflow.llm import line_dedup, near_copies, packing, quality
+from pledgeflow.llm import line_dedup, packing, quality, simhash
 from pledgeflow.session import work_path
 
 # counting and whole-text stages have no SQL form: tests compare them with brute force
@@ -34,8 +34,8 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies: five-word shingles, similarity 0.8 or more."""
-    return near_copies.representatives(docs).select(docs.columns)
+    """The document with the smallest id of each group whose fingerprints of four-word shingles link at four bits or fewer."""
+    return simhash.representatives(docs, words=4, radius=4).select(docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
