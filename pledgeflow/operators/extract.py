@@ -79,17 +79,14 @@ def page_fields(elements: DataFrame, key: str, fields: Mapping[str, Column]) ->
 
 
 def section_fields(elements: DataFrame, key: str, section: str, fields: Mapping[str, Column]) -> DataFrame:
-    """One row per repeated section, with its 1-based position among the page's elements.
+    """One row per repeated section, with the position of its element in the page.
 
-    The section element itself belongs to its section, so its own attributes are fields too.
+    ``elements`` lists the section (``in_<section>``), so that every section has an array of its own and
+    a page of many sections costs no more than their elements. The section element itself belongs
+    to its section: its own attributes are fields too.
     """
-    sections = elements.select(key, "elements", F.explode(F.transform(of(section), lambda e: e["pos"])).alias("section_pos"))
-
-    def home(e: Column) -> Column:
-        return F.when(e["sel"] == section, e["pos"]).otherwise(F.try_element_at(e["within"], F.lit(section)))
-
-    inside = F.filter("elements", lambda e: home(e) == F.col("section_pos"))
-    rows = sections.select(key, "section_pos", inside.alias("elements"))
+    sections = elements.select(key, F.explode(f"in_{section}").alias("__s"))
+    rows = sections.select(key, F.col("__s.pos").alias("section_pos"), F.col("__s.elements").alias("elements"))
     return rows.select(key, "section_pos", *[value.alias(name) for name, value in fields.items()])
 
 
@@ -100,24 +97,21 @@ def each(elements: DataFrame, sel: str, *kept: str | Column, **values: Value) ->
 
 
 def table_rows(elements: DataFrame, key: str, table: str, header: str, row: str, cell: str) -> DataFrame:
-    """Body rows of tables as (key, row_pos, header array, cell array, valid).
+    """Body rows of tables as (key, row_pos, table_pos, header array, cell array, valid).
 
-    A row is valid when it is as wide as the header; empty cells count as ''.
+    ``elements`` lists the tables as sections, and in them the rows. A row is valid when it is as
+    wide as the header; empty cells count as ''.
     """
 
-    def texts(sel: str, scope: str, pos: Column) -> Column:
-        hits = F.filter("elements", lambda e: (e["sel"] == sel) & (F.try_element_at(e["within"], F.lit(scope)) == pos))
-        return F.transform(hits, lambda e: F.coalesce(own_text()(e), F.lit("")))
-
-    rows = elements.select(key, "elements", F.explode(of(row)).alias("__row"))
-    row_pos, table_pos = F.col("__row.pos"), F.try_element_at(F.col("__row.within"), F.lit(table))
-    found = rows.select(
-        key,
-        row_pos.alias("row_pos"),
-        table_pos.alias("table_pos"),
-        texts(header, table, table_pos).alias("headers"),
-        texts(cell, row, row_pos).alias("cells"),
+    def texts(found: Column, sel: str) -> Column:
+        return F.transform(F.filter(found, lambda e: e["sel"] == sel), lambda e: F.coalesce(own_text()(e), F.lit("")))
+
+    tables = elements.select(key, F.explode(f"in_{table}").alias("__t"))
+    headed = tables.select(
+        key, F.col("__t.pos").alias("table_pos"), texts(F.col("__t.elements"), header).alias("headers"), F.col(f"__t.in_{row}").alias("__rows")
     )
+    rows = headed.select(key, "table_pos", "headers", F.explode("__rows").alias("__r"))
+    found = rows.select(key, F.col("__r.pos").alias("row_pos"), "table_pos", "headers", texts(F.col("__r.elements"), cell).alias("cells"))
     return found.filter("size(headers) > 0 and size(cells) > 0").withColumn("valid", F.size("headers") == F.size("cells"))
 
 

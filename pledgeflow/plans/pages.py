@@ -50,7 +50,7 @@ def listed_locations(pages: DataFrame, key: str, html: str, schema: str) -> Data
 
 def proxies(pages: DataFrame, key: str, html: str) -> tuple[DataFrame, DataFrame]:
     """host:port of anonymous and elite proxies, and the rows not as wide as the header."""
-    rows = x.table_rows(elements(pages, key, html, specs.PROXIES), key, "table", "header", "row", "cell")
+    rows = x.table_rows(elements(pages, key, html, specs.PROXIES, {"table": ("row",)}), key, "table", "header", "row", "cell")
     cells = F.map_from_arrays("headers", "cells")
     typed = rows.filter("valid").select(key, cells.alias("c"))
     kept = typed.filter(F.col("c")["Anonymity"].isin("anonymous", "elite proxy"))
@@ -75,7 +75,7 @@ def fundraisers(pages: DataFrame, key: str, html: str, host: str) -> Extracted:
 
     A page whose team total differs from its own total belongs to the team and is left out.
     """
-    found = materialise(elements(pages, key, html, specs.FUNDRAISER))
+    found = materialise(elements(pages, key, html, specs.FUNDRAISER, ["member"]))
     team_text = F.nullif(
         F.trim(F.replace(first("team_title", own_text()), F.lit("The Team:"), F.lit(""))), F.lit("")
     )
@@ -402,7 +402,7 @@ def _title_only(name: str) -> Column:
 
 def comments(pages: DataFrame, key: str, html: str) -> DataFrame:
     """Comments of project pages; a deleted author is NULL."""
-    found = elements(pages, key, html, specs.COMMENTS)
+    found = elements(pages, key, html, specs.COMMENTS, ["comment"])
     author = F.replace(first("author", attr("href")), F.lit("/profile/"), F.lit(""))
     return x.section_fields(
         found,
@@ -425,7 +425,7 @@ def comments(pages: DataFrame, key: str, html: str) -> DataFrame:
 
 def community(pages: DataFrame, key: str, html: str) -> Extracted:
     """Community pages: new and repeat backers, or why there are none, and backers by place."""
-    found = materialise(elements(pages, key, html, specs.COMMUNITY))
+    found = materialise(elements(pages, key, html, specs.COMMUNITY, ["country", "city"]))
     notice = F.trim(first("notice", own_text()))
     error = (
         F.when(notice == specs.NO_BACKERS, "No backers")
@@ -466,7 +466,7 @@ def rewards(pages: DataFrame, key: str, html: str) -> DataFrame:
     """Reward levels of pages that are not purged and list as many as they declare."""
     declared = first("list", attr("data-reward-count")).try_cast("long")
     sound = ~x.exists("purged") & (declared == x.number_of("reward"))
-    found = elements(pages, key, html, specs.REWARDS).filter(sound)
+    found = elements(pages, key, html, specs.REWARDS, ["reward"]).filter(sound)
     limit = F.split_part(F.split_part(first("limit", own_text()), F.lit(" of"), F.lit(2)), F.lit(")"), F.lit(1))
 
     def filled(value: Column) -> Column:
@@ -492,7 +492,7 @@ def timeline(pages: DataFrame, key: str, html: str) -> DataFrame:
 
     Disputed projects are left out. An entry of unknown kind, or without a title, fails the job.
     """
-    found = elements(pages, key, html, specs.TIMELINE)
+    found = elements(pages, key, html, specs.TIMELINE, ["entry"])
     notices = x.listed("hidden_text", own_text())
     found = found.filter(~F.exists(notices, lambda t: F.contains(t, F.lit(specs.DISPUTED))))
     tokens = F.split(first("entry", attr("class")), " ")

@@ -8,14 +8,15 @@ is column work on that row, so a page's elements never leave the task that read
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from pledgeflow.session import spread
 
@@ -109,36 +110,52 @@ class _Elements(HTMLParser):
                     row["texts"].append(data)
 
 
-def elements(pages: DataFrame, key: str, html: str, selectors: Mapping[str, Selector]) -> DataFrame:
+def _sections(rows: list[dict], name: str, inner: Sequence[str]) -> list[dict]:
+    """Elements of each section ``name`` in document order, each with its nearest enclosing section.
+
+    A section's own element belongs to it. With ``inner``, its elements are grouped by those sections too.
+    """
+    held = {row["pos"]: [] for row in rows if row["sel"] == name}
+    for row in rows:
+        home = row["pos"] if row["sel"] == name else row["near"].get(name)
+        if home in held:
+            held[home].append(row)
+    return [{"pos": pos, "elements": found} | {f"in_{i}": _sections(found, i, ()) for i in inner} for pos, found in held.items()]
+
+
+def elements(
+    pages: DataFrame, key: str, html: str, selectors: Mapping[str, Selector], sections: Sequence[str] | Mapping[str, Sequence[str]] = ()
+) -> DataFrame:
     """(key, elements): one row per page that has an element some selector accepts.
 
     ``sel`` names an element's selector, ``pos`` counts elements in document order, ``texts`` holds
     the element's own text nodes and ``text`` all text below it; ``within`` gives the position of
     the nearest enclosing element of each selector, ``path`` those of all enclosing elements.
+
+    For every selector named in ``sections`` a column ``in_<name>`` lists its elements as sections: the
+    position, and the elements whose nearest enclosing section it is. A mapping may name
+    sections to be listed inside a section in the same way.
     """
     chosen = dict(selectors)
+    wanted = {name: tuple(inner) for name, inner in sections.items()} if isinstance(sections, Mapping) else dict.fromkeys(sections, ())
     kind = pages.schema[key].dataType
     element = (
         "sel: string, pos: int, attrs: map<string,string>, texts: array<string>,"
         " text: string, within: map<string,int>, path: array<int>"
     )
-    schema = f"`{key}` {kind.simpleString()}, elements array<struct<{element}>>"
-    text, number = pa.string(), pa.int32()
-    types = {
-        "sel": text,
-        "pos": number,
-        "attrs": pa.map_(text, text),
-        "texts": pa.list_(text),
-        "text": text,
-        "within": pa.map_(text, number),
-        "path": pa.list_(number),
-    }
-    listed = pa.list_(pa.struct(list(types.items())))
-    key_type = to_arrow_type(kind)
+    listed = f"array<struct<{element}>>"
+
+    def section(inner: Sequence[str]) -> str:
+        more = "".join(f", in_{i}: {section(())}" for i in inner)
+        return f"array<struct<pos: int, elements: {listed}{more}>>"
+
+    schema = f"`{key}` {kind.simpleString()}, elements {listed}"
+    schema += "".join(f", in_{name} {section(inner)}" for name, inner in wanted.items())
+    types = to_arrow_schema(_parse_datatype_string(schema))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, found = [], []
+            columns = [[] for _ in types]
             for page, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if source is None:
                     continue
@@ -146,14 +163,14 @@ def elements(pages: DataFrame, key: str, html: str, selectors: Mapping[str, Sele
                 parser.feed(source)
                 parser.close()
                 if parser.rows:
-                    keys.append(page)
                     # a row is open before those inside it, so rows come in document order
-                    found.append(
-                        [
-                            r | {"text": "".join(r["all"]), "attrs": list(r["attrs"].items()), "within": list(r["within"].items())}
-                            for r in parser.rows
-                        ]
-                    )
-            yield pa.RecordBatch.from_arrays([pa.array(keys, key_type), pa.array(found, listed)], [key, "elements"])
+                    found = [
+                        r | {"text": "".join(r["all"]), "attrs": list(r["attrs"].items()), "near": r["within"], "within": list(r["within"].items())}
+                        for r in parser.rows
+                    ]
+                    cells = [page, found, *[_sections(found, name, inner) for name, inner in wanted.items()]]
+                    for column, cell in zip(columns, cells, strict=True):
+                        column.append(cell)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, types, strict=True)], schema=types)
 
     return spread(pages.select(key, html), key).mapInArrow(scan, schema)

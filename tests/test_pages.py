@@ -1,5 +1,7 @@
 """The element scan on broken markup, and page jobs the tables cannot cover."""
 
+import time
+
 import pytest
 from helpers import plan, rows
 from pyspark.sql import functions as F
@@ -43,6 +45,31 @@ def test_many_sections_on_one_page(spark):
     assert got.filter("user_id = concat('u', id) and body = concat('b', id)").count() == 500
 
 
+def test_cost_of_sections_is_in_proportion(spark):
+    """Four times as many comments on a page take no more than about four times as long."""
+    item = '<li id="comment-{0}"><a class="author" href="/profile/u{0}">U{0}</a><p>b{0}</p><time datetime="2014-01-02T"></time></li>'
+    seconds = {}
+    for n in (1000, 1000, 4000):  # the first run compiles
+        html = '<li class="page"><ol class="comments">' + "".join(item.format(i) for i in range(n)) + "</ol></li>"
+        start = time.monotonic()
+        assert pages.comments(_pages(spark, html), "page", "html").filter("body = concat('b', id)").count() == n
+        seconds[n] = time.monotonic() - start
+    assert seconds[4000] < 6 * max(seconds[1000], 0.7)
+
+
+def test_nested_sections_and_tables(spark):
+    """An element belongs to the nearest section around it, also behind a section inside its own."""
+    html = "<ul><li id=a><i>1</i><ul><li id=b><i>2</i></li></ul><i>3</i></li></ul><i>4</i>"
+    found = elements(_pages(spark, html), "page", "html", {"li": Selector("li"), "i": Selector("i")}, ["li"])
+    got = x.section_fields(found, "page", "li", {"id": x.first("li", x.attr("id")), "texts": x.joined("i", x.own_text(), ",")})
+    assert sorted((r.id, r.texts) for r in got.collect()) == [("a", "1,3"), ("b", "2")]
+    html = "<table><tr><th>h</th></tr><tr><td>x<table><tr><th>k</th></tr><tr><td>y</td></tr></table></td></tr><tr><td>z</td></tr></table><tr><td>q</td></tr>"
+    chosen = {"table": Selector("table"), "th": Selector("th"), "tr": Selector("tr"), "td": Selector("td")}
+    tables = elements(_pages(spark, html), "page", "html", chosen, {"table": ["tr"]})
+    got = x.table_rows(tables, "page", "table", "th", "tr", "td").collect()
+    assert sorted((r.headers, r.cells, r.valid) for r in got) == [(["h"], ["x"], True), (["h"], ["z"], True), (["k"], ["y"], True)]
+
+
 def test_two_bio_locations_fail(spark):
     spot = '<p class="f5 bold mb0">x</p>'
     with pytest.raises(Exception, match="too many elements"):
