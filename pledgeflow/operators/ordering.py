@@ -1,8 +1,10 @@
 """Exact running totals, row numbers and buckets over sorted ranges.
 
-Rows are dealt to ranges of (group, order), so a group with very many rows spans several
-ranges and small groups share one. Sums per range and group give each range its start; rows
-are numbered inside their range only. One form serves every size, type and skew.
+Rows are written once with an identity. Their order columns alone are then dealt to ranges of
+(group, order, identity), so a group with very many rows, or with very many equal ones, spans
+several ranges and small groups share one. Sums per range and group give each range its start;
+rows are numbered inside their range only, and what is found joins the written rows by identity.
+One form serves every size, type and skew.
 """
 
 from __future__ import annotations
@@ -20,18 +22,30 @@ def _hashable(kind: T.DataType) -> bool:
     return not any(name in kind.simpleString() for name in ("map<", "variant"))
 
 
-def _ranges(df: DataFrame, order: Sequence[str], by: Sequence[str], **added: Column) -> DataFrame:
-    """``df`` with ``added`` columns, ``__tie`` and the number ``__part`` of its sorted range, written once.
+def _ranges(df: DataFrame, order: Sequence[str], by: Sequence[str], **added: Column) -> tuple[DataFrame, DataFrame]:
+    """``df`` written with an identity ``__row``, and its order columns with the number ``__part`` of their sorted range.
 
-    Rows equal in ``by`` and ``order`` are told apart by a hash of all their columns. NULLs sort first.
+    The second frame has ``by``, ``order`` and the ``added`` columns. Rows equal in ``by`` and ``order`` are told
+    apart by a hash of all their columns, equal rows by their identity. NULLs sort first.
     """
     tie = [F.col(f"`{f.name}`") for f in df.schema.fields if _hashable(f.dataType)]
-    rows = df.withColumns({**added, "__tie": F.xxhash64(*tie)})
-    return materialise(rows.repartitionByRange(*by, *order, "__tie").withColumn("__part", F.spark_partition_id()))
+    # written before the ranges: the identity must not change when a lost task is run again
+    written = materialise(df.withColumns({**added, "__tie": F.xxhash64(*tie), "__row": F.monotonically_increasing_id()}))
+    names = list(dict.fromkeys([*by, *order, *added, "__tie", "__row"]))
+    dealt = written.select(*names).repartitionByRange(*by, *order, "__tie", "__row")
+    return written, materialise(dealt.withColumn("__part", F.spark_partition_id()))
+
+
+def _with_result(written: DataFrame, found: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
+    """``columns`` of the written rows and ``out``, without a join where the order columns are all there is."""
+    shown = [f"`{c}`" for c in columns]
+    if set(columns) <= set(found.columns):
+        return found.select(*shown, out)
+    return written.select("__row", *shown).join(found.select("__row", out), "__row").select(*shown, out)
 
 
 def _inside(order: Sequence[str], by: Sequence[str]):
-    return Window.partitionBy(*by, "__part").orderBy(*order, "__tie")
+    return Window.partitionBy(*by, "__part").orderBy(*order, "__tie", "__row")
 
 
 def _with_start(rows: DataFrame, per_range: DataFrame, by: Sequence[str], start: Column, name: str) -> DataFrame:
@@ -54,26 +68,26 @@ def running_total(
     """Sum of ``weight`` over this row and all before it in ``order``, within ``by``.
 
     Without a weight this is the row number. Columns of ``order`` may be of any orderable type;
-    NULLs come first, ties follow a hash of the row, NULLs in ``by`` form a group of their own.
+    NULLs come first, ties follow a hash of the row, equal rows any order; NULLs in ``by`` form a group of their own.
     """
     value = F.lit(1).cast("long") if weight is None else F.coalesce(weight.cast("long"), F.lit(0))
-    rows = _ranges(df, order, by, __w=value)
+    written, rows = _ranges(df, order, by, __w=value)
     earlier = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     per_range = rows.groupBy(*by, "__part").agg(F.sum("__w").alias("__n"))
     started = _with_start(rows, per_range, by, F.sum("__n").over(earlier), "__start")
     within = F.sum("__w").over(_inside(order, by).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return started.withColumn(out, F.coalesce("__start", F.lit(0)) + within).select(*[f"`{c}`" for c in df.columns], out)
+    return _with_result(written, started.withColumn(out, F.coalesce("__start", F.lit(0)) + within), df.columns, out)
 
 
 def previous_value(df: DataFrame, value: str, order: Sequence[str], by: Sequence[str], out: str) -> DataFrame:
     """The last non-null ``value`` before each row, within ``by``; order as in :func:`running_total`."""
-    rows = _ranges(df, order, by)
-    at = F.when(F.col(value).isNotNull(), F.struct(*order, "__tie"))
-    per_range = rows.groupBy(*by, "__part").agg(F.max_by(value, at).alias("__last"))
+    written, rows = _ranges(df, order, by, __v=F.col(value))
+    at = F.when(F.col("__v").isNotNull(), F.struct(*order, "__tie", "__row"))
+    per_range = rows.groupBy(*by, "__part").agg(F.max_by("__v", at).alias("__last"))
     earlier = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     started = _with_start(rows, per_range, by, F.last("__last", ignorenulls=True).over(earlier), "__carry")
-    within = F.last(value, ignorenulls=True).over(_inside(order, by).rowsBetween(Window.unboundedPreceding, -1))
-    return started.withColumn(out, F.coalesce(within, F.col("__carry"))).select(*[f"`{c}`" for c in df.columns], out)
+    within = F.last("__v", ignorenulls=True).over(_inside(order, by).rowsBetween(Window.unboundedPreceding, -1))
+    return _with_result(written, started.withColumn(out, F.coalesce(within, F.col("__carry"))), df.columns, out)
 
 
 def round_robin(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -97,14 +111,14 @@ def fixed_chunks(df: DataFrame, key: str, size: int) -> DataFrame:
 
 
 def skip_first(df: DataFrame, key: str, n: int) -> DataFrame:
-    """All rows after the first n in the order of a unique key.
+    """All rows after the first n in the order of a unique key; rows without a key come last and always stay.
 
     Only the skipped keys are sorted; the rest is filtered by the last of them.
     """
     if n <= 0:
         return df
     last = df.filter(F.col(key).isNotNull()).select(key).orderBy(key).limit(n).agg(F.max(key)).scalar()
-    return df.filter(F.col(key) > last)
+    return df.filter(F.col(key).isNull() | (F.col(key) > last))
 
 
 def fold_runs(

@@ -110,6 +110,27 @@ def test_one_value_repeated_is_numbered_across_ranges(spark):
     assert got.select("row_number").distinct().count() == 2000
 
 
+def test_equal_rows_spread_over_ranges(spark):
+    """Rows equal in every column are no hot group: they span several ranges and are still numbered gaplessly."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        equal = spark.range(20_000).select(F.lit("same").alias("pos"), F.lit(1).alias("pad"))
+        _, ranges = ordering._ranges(equal, ["pos"], [], __w=F.lit(1))
+        sizes = [r["count"] for r in ranges.groupBy("__part").count().collect()]
+        assert len(sizes) > 2 and max(sizes) < 10_000
+        got = ordering.running_total(equal, ["pos"])
+        assert sorted(r.row_number for r in got.collect()) == list(range(1, 20_001))
+        parts = ordering.balanced_parts(equal, "pos", 3).groupBy("part").count()
+        assert rows(parts) == [(0, 6666), (1, 6667), (2, 6667)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_skip_first_keeps_rows_without_a_key(spark):
+    df = spark.range(10).select(F.when(F.col("id") < 7, F.col("id")).alias("id"))
+    assert [ordering.skip_first(df, "id", n).count() for n in (0, 2, 7, 9)] == [10, 8, 3, 3]
+
+
 def test_string_keys_in_every_bucket_form(spark):
     df = spark.range(50).select(F.format_string("k%03d", "id").alias("key"))
     assert [r.bucket for r in ordering.round_robin(df, "key", 3).orderBy("key").collect()] == [i % 3 for i in range(50)]
