@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pledgeflow.operators.buckets import BucketTable
 from pledgeflow.queries.registry import query
 from pledgeflow.schemas import layout
 from pledgeflow.session import work_path
@@ -36,10 +37,12 @@ def stream_upsert(t):
     base = t.orders.filter("o_orderpriority = '1-URGENT'").select(
         F.col("o_orderkey").alias("id"), F.lit("old").alias("state"), F.lit(0.0).alias("pledged")
     )
+    stored = BucketTable(f"{folder}/base", table, ["id"], 16)
+    stored.write(base)
     # the first batch is folded into the base, the others are merged on read
     deltas = landing.read_deltas(t.spark, f"{folder}/deltas", table)
-    base, last = landing.compacted(base, deltas.filter("batch = 0"), ["id"], f"{folder}/base-1")
-    return landing.merged(base, landing.read_deltas(t.spark, f"{folder}/deltas", table, last), ["id"])
+    last = landing.compacted(stored, deltas.filter("batch = 0"))
+    return landing.merged(stored.read(t.spark), landing.read_deltas(t.spark, f"{folder}/deltas", table, last), ["id"])
 
 
 @query(
@@ -56,7 +59,7 @@ def stream_snapshot(t):
     parts.write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(f"{folder}/landing")
     stream = landing.json_stream(t.spark, f"{folder}/landing", "projectid bigint, modified timestamp, status string", 1)
     landing.append_new_states(
-        stream, ["projectid", "modified"], [F.desc("status")], f"{folder}/out", f"{folder}/checkpoint"
+        stream, ["projectid", "modified"], ["status"], f"{folder}/out", f"{folder}/checkpoint"
     ).awaitTermination()
     stored = landing.read_deltas(t.spark, f"{folder}/out", layout("projectid bigint, modified timestamp, status string"))
     return stored.select("projectid", F.col("modified").cast("timestamp_ntz").alias("modified"), "status")
