@@ -126,10 +126,43 @@ def _literal(texts: pd.Series) -> pd.Series:
     return texts.map(lambda text: None if text is None else html.unescape(_unescaped(text)))
 
 
+# a run of four-digit escapes, a two-digit one, any other escape, text without one, a backslash at the end
+_TOKENS = r"(?:\\u[0-9A-Fa-f]{4})+|\\x[0-9A-Fa-f]{2}|\\[\s\S]|[^\\]+|\\"
+# left to Python: long, octal and named escapes, and halves of a surrogate pair without the other
+_RARE_ESCAPES = r"\\[UN0-7]|(?<!\\u[dD][89abAB][0-9A-Fa-f]{2})\\u[dD][c-fC-F]|\\u[dD][89abAB][0-9A-Fa-f]{2}(?!\\u[dD][c-fC-F])"
+# fixed values: entities decoded without Python, the ampersand last; all others that may be one are left to it
+_ENTITIES = {"&quot;": '"', "&lt;": "<", "&gt;": ">", "&#39;": "'", "&#x27;": "'", "&amp;": "&"}
+_RARE_ENTITIES = "&(?!(?:" + "|".join(e[1:-1] for e in _ENTITIES) + ");)[A-Za-z#]"
+
+
+def _decoded(text: Column) -> Column:
+    """Backslash escapes of up to four hex digits and of single letters, decoded in the JVM."""
+    letters = F.create_map(*[F.lit(x) for pair in _LETTERS.items() for x in pair], F.lit("\\"), F.lit("\\"))
+
+    def value(token: Column) -> Column:
+        wide = F.decode(F.unhex(F.replace(token, F.lit("\\u"), F.lit(""))), "UTF-16BE")
+        narrow = F.decode(F.unhex(F.substring(token, 3, 2)), "ISO-8859-1")
+        letter = F.coalesce(F.try_element_at(letters, F.substring(token, 2, 1)), token)
+        return (
+            F.when(~token.startswith("\\") | (F.char_length(token) == 1), token)
+            .when(token.startswith("\\u") & (F.char_length(token) > 2), wide)
+            .when(token.startswith("\\x") & (F.char_length(token) > 2), narrow)
+            .otherwise(letter)
+        )
+
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0)), value), "")
+
+
 def script_literal(text: Column) -> Column:
     """Decode the backslash escapes and HTML entities of a script string literal.
 
-    A text with neither is returned as it is; unknown escapes stay.
+    A text with neither is returned as it is; unknown escapes stay. Common escapes and entities are
+    decoded in the JVM; only a text with a rare one is handed to Python, which is never given the others.
     """
-    coded = F.contains(text, F.lit("\\")) | F.contains(text, F.lit("&"))
-    return F.when(coded, _literal(F.when(coded, text))).otherwise(text)
+    escaped, common = F.contains(text, F.lit("\\")), ~text.rlike(_RARE_ESCAPES)
+    plain = F.when(escaped & common, _decoded(text)).when(~escaped, text)
+    simple = plain.isNotNull() & ~plain.rlike(_RARE_ENTITIES)
+    out = plain
+    for entity, character in _ENTITIES.items():
+        out = F.replace(out, F.lit(entity), F.lit(character))
+    return F.when(simple, out).otherwise(_literal(F.when(~F.coalesce(simple, F.lit(False)), text)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,39 @@ def by_quarter(df: DataFrame, date: str, **aggregates: Column) -> DataFrame:
     return df.groupBy(quarter_label(F.col(date)).alias("quarter")).agg(*named)
 
 
+def daily_moments(df: DataFrame, date: str, measures: Mapping[str, Column], counts: Mapping[str, Column]) -> DataFrame:
+    """A row per day: its rows, those that meet each condition of ``counts``, and for each measure the number of
+    values, their sum, mean and sum of squared deviations, from which longer spans can be put together."""
+    found = [F.count(F.lit(1)).alias("n"), *[F.count_if(test).alias(name) for name, test in counts.items()]]
+    for name, value in measures.items():
+        number = value.cast("double")
+        deviation = F.var_pop(number) * F.count(number)
+        found += [F.count(value).alias(f"{name}_n"), F.sum(value).alias(f"{name}_sum"), F.avg(number).alias(f"{name}_mean"), deviation.alias(f"{name}_m2")]
+    return df.groupBy(F.to_date(date).alias("day")).agg(*found)
+
+
+def quarterly_moments(daily: DataFrame, measures: Sequence[str], counts: Sequence[str]) -> DataFrame:
+    """Quarters of :func:`daily_moments`: ``n``, the counts, and for each measure its sum, mean and population deviation.
+
+    Squared deviations of a quarter are those inside its days and those of the days' means.
+    """
+    days = daily.withColumn("quarter", quarter_label(F.col("day")))
+    sums = [F.sum(c).alias(c) for c in ("n", *counts)]
+    for m in measures:
+        sums += [F.sum(f"{m}_n").alias(f"{m}_n"), F.sum(f"{m}_sum").alias(f"{m}_sum")]
+        sums += [(F.sum(F.col(f"{m}_mean") * F.col(f"{m}_n")) / F.sum(f"{m}_n")).alias(f"{m}_mean")]
+    quarters = days.groupBy("quarter").agg(*sums)
+    centres = quarters.select("quarter", *[F.col(f"{m}_mean").alias(f"{m}_centre") for m in measures])
+    # a row per quarter: equal null quarters meet too
+    joined = days.join(centres.withColumnRenamed("quarter", "__q"), F.col("quarter").eqNullSafe(F.col("__q")))
+    spreads = []
+    for m in measures:
+        between = F.col(f"{m}_n") * F.pow(F.col(f"{m}_mean") - F.col(f"{m}_centre"), 2)
+        spreads.append(F.sqrt(F.sum(F.col(f"{m}_m2") + between) / F.sum(f"{m}_n")).alias(f"{m}_std"))
+    deviations = joined.groupBy("quarter").agg(*spreads).withColumnRenamed("quarter", "__q")
+    return quarters.join(deviations, F.col("quarter").eqNullSafe(F.col("__q"))).drop("__q")
+
+
 def simple_aggregates(df: DataFrame, columns: Sequence[str], function: str) -> DataFrame:
     """One allowed aggregate over several columns."""
     if function not in _SIMPLE:

@@ -85,19 +85,31 @@ def quarterly_report(
     rates: DataFrame,
     category: Column | None = None,
 ) -> dict[str, DataFrame]:
-    """The tables behind the quarterly charts, without the quarter still running."""
+    """The tables behind the quarterly charts, without the quarter still running.
+
+    The facts are read once, into a row per day with what all charts need (:func:`aggregates.daily_moments`);
+    the charts are rolled up from those rows.
+    """
     done = filters.finished_quarters(projects, date, as_of)
     if category is not None:
         done = done.filter(category)
-    split = reduce(lambda d, c: d.filter(F.col(c).isNotNull()), sums, done)
-    spread = {c: F.sum(c) for c in sums} | {f"{c}_std": F.stddev_pop(c) for c in sums}
-    usd = money.to_usd(done.filter(F.col(amount).isNotNull()), [amount], currency, rates, date)
+    usd = money.to_usd(done.withColumn("__usd", F.col(amount)), ["__usd"], currency, rates, date)
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in sums])
+    measures = {c: F.when(whole, F.col(c)) for c in sums} | {"__usd": F.col("__usd"), "__first": F.col(sums[0])}
+    counts = {"__split": whole, "__amounts": F.col(amount).isNotNull()}
+    daily = materialise(aggregates.daily_moments(usd, date, measures, counts))
+    quarters = aggregates.quarterly_moments(daily, list(measures), list(counts))
+    spread = {c: F.col(f"{c}_sum") for c in sums} | {f"{c}_std": F.col(f"{c}_std") for c in sums}
+
+    def named(rows: DataFrame, **columns: Column) -> DataFrame:
+        return rows.select("quarter", *[value.alias(name) for name, value in columns.items()])
+
     return {
-        "split": aggregates.by_quarter(split, date, **spread),
-        "amount": aggregates.by_quarter(usd, date, total=F.sum(amount), mean=F.avg(amount)),
-        "first_measure": aggregates.by_quarter(done, date, mean=F.avg(sums[0]), total=F.sum(sums[0])),
-        "projects": aggregates.by_quarter(done, date, count=F.count(F.lit(1))),
-        "daily": aggregates.count_per_day(done, date),
+        "split": named(quarters.filter("__split > 0"), **spread),
+        "amount": named(quarters.filter("__amounts > 0"), total=F.col("__usd_sum"), mean=F.col("__usd_mean")),
+        "first_measure": named(quarters, mean=F.col("__first_mean"), total=F.col("__first_sum")),
+        "projects": named(quarters, count=F.col("n")),
+        "daily": daily.select("day", "n").orderBy("day"),
     }
 
 

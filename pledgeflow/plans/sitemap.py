@@ -20,8 +20,14 @@ class SitemapResult(NamedTuple):
 
 
 def split_valid(scanned: DataFrame, host_pattern: str) -> tuple[DataFrame, DataFrame]:
-    """Well-formed pages of the host, and the distinct other entries."""
-    return merge.quarantine(scanned, safe_url(F.col("loc"), host_pattern))
+    """Well-formed pages of the host, and the distinct other entries.
+
+    The files are parsed once: entries are written by verdict, and each result reads its own folder.
+    """
+    verdict = F.coalesce(safe_url(F.col("loc"), host_pattern), F.lit(False))
+    written = materialise(scanned.withColumn("__valid", verdict), "__valid")
+    valid, rejected = merge.quarantine(written, F.col("__valid"))
+    return valid.drop("__valid"), rejected.drop("__valid")
 
 
 def rewrite_fundraisers(entries: DataFrame, root: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """Numbers, text, dates, URLs and nested data against plain Python."""
 
+import html
 import math
 from decimal import Context, Decimal
 
+import pandas as pd
 import pytest
 from helpers import rows
 from hypothesis import given, settings
@@ -109,6 +111,29 @@ def test_script_literal(spark):
     assert [r[0] for r in df.select(text.script_literal(F.col("s"))).collect()] == ['aé\n"\\x&AA', None]
 
 
+LITERALS = [
+    r"plain", r"a\u00e9\n\"q\" \\u0041 \x41\t\q\/", r"\ud83d\ude00!", r"\ud83d alone", r"x\ude00", r"\ud83d\ud83d\ude00", r"\101\7", r"\N{BULLET}",
+    r"\U0001f600", r"\u12", r"\x4", "end\\", "two\\\\", r"&amp;lt; &quot;&#39;&#x27; &amp;amp;", r"&eacute;&#233;", r"a & b &", r"AT&T", r"\u0026amp;", r"&#X41;",
+    r"\\N{BULLET}", "line\\\nnext", "", "\\", r"\u0041\u0042\x43", "\U0001f642\\n",
+]
+
+
+def test_common_literals_stay_in_the_jvm(spark, monkeypatch):
+    """All forms equal the Python decoding, and Python is handed nothing but the rare ones."""
+    df = spark.createDataFrame([(t,) for t in LITERALS], "s string")
+    want = [html.unescape(text._unescaped(t)) for t in LITERALS]
+    assert [r[0] for r in df.select(text.script_literal(F.col("s"))).collect()] == want
+
+    @F.pandas_udf("string")
+    def marked(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else "python")
+
+    monkeypatch.setattr(text, "_literal", marked)
+    got = {t: r[0] for t, r in zip(LITERALS, df.select(text.script_literal(F.col("s"))).collect())}
+    assert all(got[t] != "python" for t in (LITERALS[0], LITERALS[1], LITERALS[2], LITERALS[13], "end\\", r"\u0041\u0042\x43", r"a & b &"))
+    assert got[r"\N{BULLET}"] == got[r"&eacute;&#233;"] == got[r"\ud83d alone"] == "python"
+
+
 def test_redecode_drops_bad_bytes(spark):
     good, bad = "é€".encode().decode("latin1"), "é€".encode().decode("latin1") + "\xe9"
     df = spark.createDataFrame([(good,), (bad,)], "s string")

@@ -1,5 +1,6 @@
 """Physical plans and streaming restarts."""
 
+import datetime as dt
 import re
 
 from helpers import SF, plan
@@ -79,3 +80,43 @@ def test_landed_documents_are_parsed_once(spark):
     assert "from_json" in plan(docs)
     for table in loans.loan_tables(docs, F.current_timestamp(), landed=True).values():
         assert "from_json" not in plan(table)
+
+
+def test_sitemaps_are_parsed_once(spark, tmp_path):
+    """The valid and the rejected entries read what one scan of the files has written."""
+    from pledgeflow.plans import sitemap as plans
+    from pledgeflow.sources import sitemap
+
+    (tmp_path / "users").mkdir()
+    urls = "".join(f"<url><loc>{u}</loc></url>" for u in ("https://site.example/a", "https://site.example/b", "ftp://x", "ftp://x"))
+    (tmp_path / "users" / "m.xml").write_text(f"<urlset>{urls}</urlset>")
+    valid, rejected = plans.split_valid(sitemap.sitemap_urls(spark, str(tmp_path)), r"https://site\.example")
+    assert valid.count() == 2 and rejected.count() == 1
+    assert valid.columns == rejected.columns == ["loc", "category", "lastmod", "changefreq", "priority", "origin_file"]
+    for result in (valid, rejected):
+        assert all("/kept-" in f and not f.endswith(".xml") for f in result.inputFiles())
+
+
+def test_quarterly_report_reads_the_facts_once(spark):
+    """All five tables are rolled up from the written rows of a day."""
+    from pledgeflow.plans import reports
+
+    day = "timestamp_ntz'2024-01-01' + make_dt_interval(cast(id as int) % 400)"
+    facts = spark.range(3000).selectExpr(f"{day} as at", "if(id % 7 = 0, null, id * 0.5) as a", "if(id % 5 = 0, null, id + 1e6) as b", "'EUR' as cur")
+    rates = spark.createDataFrame([("EUR", dt.date(2023, 1, 1), 2.0)], "currency string, rate_date date, usd_rate double")
+    tables = reports.quarterly_report(facts, "at", "2030-01-01 00:00:00", ["a", "b"], "b", "cur", rates)
+    assert all("/kept-" in f for t in tables.values() for f in t.inputFiles())
+    rows = facts.collect()
+    quarter = lambda r: f"{r.at.year}-Q{(r.at.month - 1) // 3 + 1}"
+    both = [r for r in rows if r.a is not None and r.b is not None]
+    split = {r.quarter: r for r in tables["split"].collect()}
+    assert len(split) == len({quarter(r) for r in both})
+    values = {}
+    for r in both:
+        values.setdefault((r.at.year, (r.at.month - 1) // 3), []).append(r.b)
+    got = sorted((round(r.b, 3), round(r.b_std, 6)) for r in split.values())
+    mean = lambda v: sum(v) / len(v)
+    want = [(round(sum(v), 3), round(mean([(x - mean(v)) ** 2 for x in v]) ** 0.5, 6)) for v in values.values()]
+    assert got == sorted(want)
+    assert sum(r["count"] for r in tables["projects"].collect()) == 3000 == sum(r.n for r in tables["daily"].collect())
+    assert sum(r.total for r in tables["amount"].collect()) == 2 * sum(r.b for r in rows if r.b is not None)
