@@ -103,17 +103,23 @@ def topological_order(calls: DataFrame) -> DataFrame:
 
 
 def linked_calls(
-    calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping] = SCHEMAS, passed: Sequence[str] = ()
+    calls: DataFrame,
+    results: DataFrame,
+    schemas: Mapping[str, Mapping] = SCHEMAS,
+    passed: Sequence[str] = (),
+    others: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per call and per result without a call.
+    """One row per call, per result that is not a call's first answer, and per other message.
 
     ``calls`` has call_id, name, arguments (JSON text), after and the ``passed`` columns; ``results``
-    has call_id, content and the ``passed`` columns. Returns ``kept`` (struct of passed columns),
-    call_id, place, status, errors and line. ``status`` is ``linked``, ``unanswered`` (no result),
-    ``orphan`` (a result that answers no call), ``cycle`` or ``invalid``; ``line`` is the canonical JSON of
-    id, name, arguments, place and result, with arguments that don't parse kept as text.
-
-    Of several results of one call the least content is taken; calls that share an identifier
+    has call_id, content and the ``passed`` columns; ``others``, messages that neither call nor answer, role,
+    content and the ``passed`` columns. Returns ``kept`` (struct of passed columns), call_id, place, status,
+    errors and line. ``status`` is ``linked``, ``unanswered`` (no result), ``cycle`` or ``invalid`` for a call, ``orphan``
+    for a result that answers no call, ``repeated_result`` for a further one of a call, ``no_call`` for another
+    message. ``line`` is canonical JSON: of a call its id, name, arguments, place and result, with arguments
+    kept as text that aren't JSON (numbers beyond doubles, lone surrogates and too deep nesting included).
+
+    Of several results of one call the least content is taken, null last; calls that share an identifier
     get the same result and are noted in errors. Null identifiers meet nothing. Empty tables
     give no rows; equal rows give equal lines.
     """
@@ -121,21 +127,32 @@ def linked_calls(
     def kept(frame: DataFrame):
         return F.struct(F.lit(0).alias("_"), *[frame[c] for c in passed]).alias("kept")
 
-    answers = results.filter("call_id is not null").groupBy("call_id").agg(F.min("content").alias("content"), F.lit(True).alias("answered"))
+    def text(name: str, value=None):
+        return (F.lit(value) if isinstance(value, str | None) else value).cast("string").alias(name)
+
+    def rest(frame: DataFrame, kind: str, name=None) -> DataFrame:
+        return frame.select(
+            "kept", "call_id", text("name", name), text("arguments"), "content", F.lit(True).alias("answered"),
+            F.lit(None).cast("long").alias("place"), F.lit(0).cast("long").alias("times"), F.lit(kind).alias("kind"),
+        )
+
+    given = materialise(results.select(kept(results), "call_id", "content", F.monotonically_increasing_id().alias("row")))
+    answer = F.min(F.struct(F.col("content").isNull(), "content", "row"))
+    answers = given.filter("call_id is not null").groupBy("call_id").agg(answer.alias("a"))
+    answers = materialise(answers.select("call_id", F.col("a.content").alias("content"), F.col("a.row").alias("first"), F.lit(True).alias("answered")))
     times = calls.filter("call_id is not null").groupBy("call_id").agg(F.count("*").alias("times"))
     order = topological_order(calls)
     asked = calls.select(kept(calls), "call_id", "name", "arguments")
     joined = asked.join(answers, "call_id", "left").join(order.join(times, "call_id"), "call_id", "left")
     called = calls.select("call_id").distinct()
-    orphans = results.select(kept(results), "call_id", F.col("content")).join(called, "call_id", "left_anti")
+    orphans = given.join(called, "call_id", "left_anti")
+    further = given.join(called, "call_id", "left_semi").join(answers.select("call_id", "first"), "call_id").filter("row <> first")
     rows = joined.select(
-        "kept", "call_id", "name", "arguments", "content", F.coalesce("answered", F.lit(False)).alias("answered"), "place", "times", F.lit(True).alias("is_call")
-    ).unionByName(
-        orphans.select(
-            "kept", "call_id", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"), "content",
-            F.lit(True).alias("answered"), F.lit(None).cast("long").alias("place"), F.lit(0).cast("long").alias("times"), F.lit(False).alias("is_call"),
-        )
-    )
+        "kept", "call_id", "name", "arguments", "content", F.coalesce("answered", F.lit(False)).alias("answered"), "place", "times", F.lit("call").alias("kind")
+    ).unionByName(rest(orphans, "orphan")).unionByName(rest(further, "repeated_result"))
+    if others is not None:
+        spoken = others.select(kept(others), F.lit(None).cast("string").alias("call_id"), "role", "content")
+        rows = rows.unionByName(rest(spoken, "no_call", F.col("role")))
     rules = {name: dict(schema) for name, schema in schemas.items()}
     schema = T.StructType([rows.schema["kept"], rows.schema["call_id"], rows.schema["place"]])
     schema.add("status", T.StringType()).add("errors", T.ArrayType(T.StringType())).add("line", T.StringType())
@@ -151,13 +168,36 @@ def linked_calls(
     return ship(rows).mapInArrow(write, schema)
 
 
+def _finite(number: str) -> float:
+    value = float(number)
+    if not math.isfinite(value):
+        raise ValueError(number)
+    return value
+
+
+def _no_number(name: str) -> None:
+    raise ValueError(name)
+
+
+def _parsed(text: str | None) -> object:
+    """JSON by the letter of its standard, which can be written again; ValueError for all else."""
+    try:
+        value = json.loads(text or "null", parse_float=_finite, parse_constant=_no_number)
+        canonical(value).encode()
+    except RecursionError as deep:
+        raise ValueError("nested too deeply") from deep
+    return value
+
+
 def _line(row: Mapping, schemas: Mapping[str, Mapping]) -> tuple[str, list[str], str]:
-    """Status, errors and canonical JSON of one call or orphan."""
-    if not row["is_call"]:
-        return "orphan", [], canonical({"id": row["call_id"], "result": row["content"]})
+    """Status, errors and canonical JSON of one call, result or other message."""
+    if row["kind"] == "no_call":
+        return "no_call", [], canonical({"content": row["content"], "role": row["name"]})
+    if row["kind"] != "call":
+        return row["kind"], [], canonical({"id": row["call_id"], "result": row["content"]})
     errors = []
     try:
-        arguments = json.loads(row["arguments"] or "null")
+        arguments = _parsed(row["arguments"])
     except ValueError:
         arguments = row["arguments"]
         errors.append("$: not JSON")
@@ -172,11 +212,11 @@ def _line(row: Mapping, schemas: Mapping[str, Mapping]) -> tuple[str, list[str],
     return status, errors, canonical(line)
 
 
-def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Read chats as tool use: a user's turn calls ``reply``, an assistant's answers the turn before.
 
-    A call follows the user's turn two before. Other roles are left out, as they call nothing;
-    a null conversation or turn gives a null identifier.
+    Calls, results, and the turns of all other roles, null among them. A call follows the user's turn
+    two before; a null conversation or turn gives a null identifier.
     """
     def name(back: int):
         return F.concat(F.col("conv_id").cast("string"), F.lit(":"), (F.col("turn") - back).cast("string"))
@@ -187,4 +227,6 @@ def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         "conv_id", "turn", name(0).alias("call_id"), F.lit("reply").alias("name"), arguments.alias("arguments"), name(2).alias("after")
     )
     results = conversations.filter("role = 'assistant'").select("conv_id", "turn", name(1).alias("call_id"), F.col("text").alias("content"))
-    return calls, results
+    neither = ~F.col("role").eqNullSafe(F.lit("user")) & ~F.col("role").eqNullSafe(F.lit("assistant"))
+    others = conversations.filter(neither).select("conv_id", "turn", "role", F.col("text").alias("content"))
+    return calls, results, others

@@ -148,8 +148,8 @@ def nearest_vectors(embeddings: DataFrame) -> DataFrame:
 
 @query("op9_tool_call_linking", "conversations")
 def linked_turns(conversations: DataFrame) -> DataFrame:
-    calls, results = chat.turns_as_calls(conversations)
-    found = chat.linked_calls(calls, results, passed=("conv_id", "turn"))
+    calls, results, others = chat.turns_as_calls(conversations)
+    found = chat.linked_calls(calls, results, passed=("conv_id", "turn"), others=others)
     return found.select("kept.conv_id", "kept.turn", "call_id", "place", "status", F.array_join("errors", "; ").alias("errors"), "line")
 
 
