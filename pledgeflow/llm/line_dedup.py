@@ -44,7 +44,7 @@ def line_hashes(text: Column, min_chars: int) -> Column:
 class LineRuns:
     """Runs of (key, n, keeper), sorted by key, on levels below one shared folder.
 
-    ``n`` counts documents, ``keeper`` is the largest id holding the key. A key has a keeper
+    ``n`` counts documents: distinct ids, and every row without an id; ``keeper`` is the largest id holding the key. A key has a keeper
     in one run only; later batches add their counts with a null keeper.
     """
 
@@ -53,8 +53,12 @@ class LineRuns:
     levels: list[list[str]] = field(default_factory=list)
 
     def add(self, batch: DataFrame) -> None:
-        """Add one batch of (id, keys); its ids must not exceed those of earlier batches."""
-        counted = batch.select("id", F.explode(F.array_distinct("keys")).alias("key")).filter("key is not null")
+        """Add one batch of (id, again, keys); its ids must not exceed those of earlier batches.
+
+        Rows whose id comes more than once (``again``) are one document: their keys count once.
+        """
+        found = batch.select("id", "again", F.explode(F.array_distinct("keys")).alias("key")).filter("key is not null")
+        counted = found.filter("not again").unionByName(found.filter("again").distinct())
         counted = counted.groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("keeper"))
         seen = self._union(held_only=True)
         if seen is None:
@@ -127,6 +131,10 @@ def dropped_lines(
         line_hashes(F.col(text), min_chars).alias("keys"),
         batch.alias("batch"),
     ).filter(F.exists("keys", F.isnotnull))
+    # rows that share an id are one document; they are told apart from all others before lines are counted
+    again = df.filter(F.col(key).isNotNull()).groupBy(ident.alias("id")).agg(F.count("*").alias("n")).filter("n > 1")
+    again = broadcast_if_small(again.select("id", F.lit(True).alias("again")))
+    hashed = hashed.join(again, "id", "left").withColumn("again", F.coalesce("again", F.lit(False)))
     path = work_path(spark, "lines")
     hashed.write.partitionBy("batch").parquet(path)
     hashed = spark.read.schema(hashed.schema).parquet(path)
@@ -149,7 +157,8 @@ def dedup_lines(df: DataFrame, text: str = "text", key: str = "doc_id", **settin
     Returns ``record`` (a struct of all columns of ``df``), ``kept`` (the text that is left),
     ``n_lines`` and ``n_dropped``. A line's key is the line stripped of ASCII white space, A-Z
     lowered; keys of at least ``min_chars`` code points found in ``min_docs`` or more documents
-    count as repeated. Each row is a document; rows with the keeper's id all keep the line.
+    count as repeated. Rows that share an id are one document, a row without one is its own; rows
+    with the keeper's id all keep the line.
 
     A null or empty text is one empty line and stays empty; a null id sorts before all others;
     an empty table gives no rows; names cannot clash because the record stays a struct.

@@ -13,12 +13,12 @@ def brute(documents, min_chars=40, min_docs=5):
         return "".join(c.lower() if "A" <= c <= "Z" else c for c in stripped)
 
     holders = defaultdict(set)
-    for n, (_, text) in enumerate(documents):
+    rank = lambda n: float("-inf") if documents[n][0] is None else documents[n][0]
+    for n, (doc_id, text) in enumerate(documents):
         for line in (text or "").split("\n"):
             if len(key(line)) >= min_chars:
-                holders[key(line)].add(n)
-    rank = lambda n: float("-inf") if documents[n][0] is None else documents[n][0]
-    keeper = {k: max(map(rank, held)) for k, held in holders.items() if len(held) >= min_docs}
+                holders[key(line)].add((rank(n), n if doc_id is None else None))
+    keeper = {k: max(held)[0] for k, held in ((k, {(r, n or 0) for r, n in h}) for k, h in holders.items()) if len(holders[k]) >= min_docs}
     out = []
     for n, (_, text) in enumerate(documents):
         lines = (text or "").split("\n")
@@ -57,6 +57,16 @@ def test_all_ids_null(spark):
     assert shown(line_dedup.dedup_lines(docs).collect()) == expected(documents)
 
 
+def test_rows_that_share_an_id_are_one_document(spark):
+    """Five rows of two ids are two documents; five ids, some of them repeated, are five."""
+    line = "a line of forty code points or even more than that"
+    two = [(1, line), (1, line + "\nx"), (2, line), (2, line), (2, "y\n" + line)]
+    five = [(i % 5, f"{i}\n{line}") for i in range(8)]
+    for documents, dropped in ((two, 0), (five, 7)):
+        got = line_dedup.dedup_lines(spark.createDataFrame(documents, "doc_id long, text string")).collect()
+        assert shown(got) == expected(documents) and sum(r.n_dropped for r in got) == dropped
+
+
 def test_other_bounds(spark):
     documents = [(i, f"ab\n{i}\nAB \nabc") for i in range(4)]
     docs = spark.createDataFrame(documents, "doc_id long, text string")
@@ -72,7 +82,7 @@ def test_runs_are_compacted(spark):
     runs = line_dedup.LineRuns(spark, fan_out=2)
     for first in (40, 30, 20, 10):
         rows = [(first + i, ["k", f"k{first + i}", "k", None]) for i in range(3)]
-        runs.add(spark.createDataFrame(rows, "id long, keys array<string>"))
+        runs.add(spark.createDataFrame(rows, "id long, keys array<string>").selectExpr("*", "false as again"))
     assert [len(level) for level in runs.levels] == [0, 0, 1]
     totals = {r.key: (r.n, r.keeper) for r in runs.totals().collect()}
     assert totals["k"] == (12, 42) and totals["k11"] == (1, 11) and len(totals) == 13
