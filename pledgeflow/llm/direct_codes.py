@@ -30,8 +30,8 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 MAGIC = b"DACS"
 # magic, levels, task that wrote the segment, its number there, tokens, documents
 _HEADER = struct.Struct("<4sIQQQQ")
-# tokens of a segment (a longer document has one of its own), and tasks that write them at most
-SEGMENT_TOKENS, MOST_TASKS = 1 << 23, 20_000
+# tokens of a segment (a longer document has one of its own), text bytes of a task that writes them, and such tasks at most
+SEGMENT_TOKENS, TASK_BYTES, MOST_TASKS = 1 << 23, 1 << 25, 20_000
 _BLOCK = 512
 
 
@@ -125,26 +125,6 @@ class Segment:
         return self.tokens(np.arange(self.starts[i], self.starts[i + 1]))
 
 
-def encoded_documents(df: DataFrame, text: str, key: str, end_id: int, tokenizer: str) -> DataFrame:
-    """(key, row, n, ids) of every document, ``ids`` packed in two or four bytes each; written once."""
-    base = df.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    names = ["key", "row", "n", "ids"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, coder = TaskContext.get().partitionId() << 36, byte_tokenizer(tokenizer)
-        kind = "<u2" if max(coder.size, end_id + 1) <= 1 << 16 else "<u4"
-        end = np.array([end_id], kind).tobytes()
-        for batch in batches:
-            for part in by_bytes(batch):
-                packed = [ids.astype(kind).tobytes() + end for ids in coder.encode(part.column("text"))]
-                n = pa.array([len(p) // int(kind[2]) for p in packed], pa.int64())
-                numbers = pa.array(range(row, row + part.num_rows), pa.int64())
-                row += part.num_rows
-                yield pa.RecordBatch.from_arrays([part.column("key"), numbers, n, pa.array(packed, pa.binary())], names=names)
-
-    return materialise(ship(base).mapInArrow(run, "key long, row long, n long, ids binary"))
-
-
 def write_tokens(
     df: DataFrame,
     path: str,
@@ -161,14 +141,17 @@ def write_tokens(
     that share a key stay apart, an empty table gives no segment. ``tokenizer`` is a file
     that every executor can open.
     """
-    encoded = encoded_documents(df, text, key, end_id, tokenizer)
     spark = df.sparkSession
-    total = encoded.agg(F.sum("n")).first()[0] or 0
-    tasks = min(MOST_TASKS, max(-(-total // segment_tokens), spark.sparkContext.defaultParallelism))
-    ordered = encoded.repartitionByRange(tasks, "key", "row").sortWithinPartitions("key", "row")
+    base = df.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    size = base.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    tasks = min(MOST_TASKS, max(-(-size // TASK_BYTES), spark.sparkContext.defaultParallelism))
+    # texts are put in order before they are encoded: ranges are sampled from the keys without encoding twice
+    numbered = base.withColumn("row", F.monotonically_increasing_id())
+    ordered = numbered.repartitionByRange(tasks, "key", "row").sortWithinPartitions("key", "row").select("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, number = TaskContext.get().partitionId(), 0
+        task, number, coder = TaskContext.get().partitionId(), 0, byte_tokenizer(tokenizer)
+        end = np.array([end_id], np.uint32)
         held, keys, starts = [], [], [0]
 
         def segment() -> pa.RecordBatch:
@@ -176,15 +159,14 @@ def write_tokens(
             return pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["segment"])
 
         for batch in batches:
-            columns = (batch.column(c) for c in ("key", "n", "ids"))
-            for name, n, ids in zip(*columns, strict=True):
-                n, raw = n.as_py(), ids.as_buffer()
-                if held and starts[-1] + n > segment_tokens:
-                    yield segment()
-                    held, keys, starts, number = [], [], [0], number + 1
-                held.append(np.frombuffer(raw, f"<u{raw.size // n}").astype(np.uint32))
-                keys.append(name.as_py())
-                starts.append(starts[-1] + n)
+            for part in by_bytes(batch):
+                for name, ids in zip(part.column("key").to_pylist(), coder.encode(part.column("text")), strict=True):
+                    if held and starts[-1] + len(ids) + 1 > segment_tokens:
+                        yield segment()
+                        held, keys, starts, number = [], [], [0], number + 1
+                    held += [ids, end]
+                    keys.append(name)
+                    starts.append(starts[-1] + len(ids) + 1)
         if held:
             yield segment()
 
