@@ -3,8 +3,9 @@
 Pieces are dealt at random into groups that fit one task. A group starts from best fit
 decreasing and then exchanges pieces between underfull bins, one for one, two for one, one
 for two, or moves them, always from an emptier to a fuller bin, which raises the sum of
-squared fills until bins are empty. Bins that stay underfull are dealt anew with those of
-other groups, level by level, until one group is left.
+squared fills until bins are empty. Bins that stay underfull, the emptiest ones with up to half
+of a group's rows, are dealt anew with those of other groups, level by level, until one group is
+left; there the search ends when no bin can be emptied any more.
 """
 
 from __future__ import annotations
@@ -203,11 +204,6 @@ class _Pool:
             del self.bins[length]
             self.present ^= 1 << length
 
-    def longest(self, least: int, most: int) -> int:
-        """The longest length present within the bounds, or 0."""
-        found = (self.present & ((1 << (most + 1)) - 1)).bit_length() - 1
-        return found if found >= least else 0
-
 
 def best_fit(lengths: Sequence[int], size: int) -> list[list[int]]:
     """Best fit decreasing: every piece goes to the fullest bin that holds it. Bins of indexes."""
@@ -233,16 +229,20 @@ def best_fit(lengths: Sequence[int], size: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: Sequence[int], size: int, donors: int = 12) -> list[list[int]]:
+def local_search(bins: list[list[int]], lengths: Sequence[int], size: int, donors: int = 12, concentrate: bool = True) -> list[list[int]]:
     """Raise the sum of squared fills by exchanges between underfull bins until none helps.
 
     Bins are filled from the fullest down. A bin gives up none, one or two of its pieces for a
-    longer one, or one for two of an emptier bin's pieces, taking the exchange that fills it
-    most. Pairs to take are looked for in the ``donors`` emptiest bins.
+    longer one, or none or one for two of an emptier bin's pieces, taking the exchange that fills it
+    most. Pairs to take are looked for in the ``donors`` emptiest bins. Without ``concentrate`` the
+    search ends as soon as the bins are as few as their pieces allow; with it, the gaps that are
+    left come together in few bins, which another group's may then fill.
     """
     fill = {i: sum(lengths[x] for x in items) for i, items in enumerate(bins)}
     done = [items for i, items in enumerate(bins) if fill[i] == size]
     held = {i: list(items) for i, items in enumerate(bins) if fill[i] < size}
+    surplus = len(held) - -(-sum(fill[i] for i in held) // size)
+    pairs: dict[int, int] = {}
     while True:
         gained = False
         pool = _Pool()
@@ -251,76 +251,122 @@ def local_search(bins: list[list[int]], lengths: Sequence[int], size: int, donor
             for x in held[i]:
                 pool.add(lengths[x], i)
         while order:
+            if not surplus and not concentrate:
+                return done + list(held.values())
             taker = order.pop()
             if taker not in held:
                 continue
             for x in {lengths[x] for x in held[taker]}:
                 pool.discard(x, taker)
-            while fill[taker] < size and (swap := _best_swap(held, lengths, fill, pool, taker, size, order[:donors])):
+            while fill[taker] < size and (swap := _best_swap(held, lengths, fill, pool, pairs, taker, size, order[:donors])):
                 giver, given, taken = swap
                 for x in {lengths[x] for x in held[giver]}:
                     pool.discard(x, giver)
                 held[taker] = [x for x in held[taker] if x not in given] + list(taken)
                 held[giver] = [x for x in held[giver] if x not in taken] + list(given)
+                pairs.pop(taker, None)
+                pairs.pop(giver, None)
                 change = sum(lengths[x] for x in taken) - sum(lengths[x] for x in given)
                 fill[taker] += change
                 fill[giver] -= change
                 gained = True
+                order.remove(giver)
                 if held[giver]:
                     for x in held[giver]:
                         pool.add(lengths[x], giver)
-                    order.remove(giver)
                     insort(order, giver, key=lambda i: fill[i])
                 else:
                     del held[giver]
-                    order.remove(giver)
+                    surplus -= 1
+                    if not surplus and not concentrate:
+                        break
             if fill[taker] == size:
                 done.append(held.pop(taker))
         if not gained:
             return done + list(held.values())
 
 
-def _best_swap(held, lengths, fill, pool, taker, size, donors):
-    """(giver, pieces given up, pieces taken) that fills ``taker`` most, or None."""
-    own, gap = held[taker], size - fill[taker]
-    seen: dict[int, tuple[int, ...]] = {0: ()}
-    for i, x in enumerate(own):
-        seen.setdefault(lengths[x], (x,))
-        for y in own[i + 1 :]:
-            seen.setdefault(lengths[x] + lengths[y], (x, y))
-    best, found = 0, None
-    for out, given in seen.items():
-        if out + gap > size:
-            continue
-        length = pool.longest(out + best + 1, out + gap)
-        if length:
-            best, found = length - out, (given, length)
-            if best == gap:
-                break
-    if found:
-        given, length = found
-        giver = min(pool.bins[length], key=lambda i: (fill[i], i))
-        swap = giver, given, (next(x for x in held[giver] if lengths[x] == length),)
-    else:
-        swap = None
-    if best == gap:
-        return swap
-    for giver in donors:
-        if giver == taker or giver not in held:
-            continue
-        items = held[giver]
-        for i, x in enumerate(items):
-            for y in items[i + 1 :]:
-                pair = lengths[x] + lengths[y]
-                for out, given in seen.items():
-                    if len(given) < 2 and best < pair - out <= gap:
-                        best, swap = pair - out, (giver, given, (x, y))
-    return swap
-
-
-def pack_lengths(lengths: Sequence[int], size: int) -> list[list[int]]:
+def _sums(items: Sequence[int], lengths: Sequence[int]) -> tuple[int, int]:
+    """Lengths of single pieces and of pairs, as bits of two integers."""
+    singles = pairs = 0
+    for x in items:
+        pairs |= singles << lengths[x]
+        singles |= 1 << lengths[x]
+    return singles, pairs
+
+
+def _pieces(items: Sequence[int], lengths: Sequence[int], total: int, most: int) -> tuple[int, ...]:
+    """None, one or two of ``items`` (``most`` at most) of ``total`` length together."""
+    if not total:
+        return ()
+    by_length: dict[int, int] = {}
+    for x in items:
+        if lengths[x] == total:
+            return (x,)
+        if most > 1 and total - lengths[x] in by_length:
+            return by_length[total - lengths[x]], x
+        by_length[lengths[x]] = x
+    raise ValueError("no such pieces")
+
+
+def _best_swap(held, lengths, fill, pool, pairs, taker, size, donors):
+    """(giver, pieces given up, pieces taken) that fills ``taker`` most, or None.
+
+    Lengths are bits: a gain is possible where the lengths on offer, shifted down by it, meet one
+    that ``taker`` can give up.
+    """
+    own = held[taker]
+    singles, doubles = _sums(own, lengths)
+    few = singles | 1
+    given_up, offered = few | doubles, 0
+    donors = [d for d in donors if d in held]
+    for d in donors:
+        if d not in pairs:
+            pairs[d] = _sums(held[d], lengths)[1]
+        offered |= pairs[d]
+    gap = size - fill[taker]
+    gain, out = _best_gain(given_up, pool.present, gap)
+    more, low = _best_gain(few, offered, gap) if gain < gap and offered else (0, 0)
+    if more > gain:
+        giver = next(d for d in donors if pairs[d] >> (low + more) & 1)
+        return giver, _pieces(own, lengths, low, 1), _pair(held[giver], lengths, low + more)
+    if gain:
+        giver = min(pool.bins[out + gain], key=lambda i: (fill[i], i))
+        return giver, _pieces(own, lengths, out, 2), _pieces(held[giver], lengths, out + gain, 1)
+    return None
+
+
+def _best_gain(given_up: int, offered: int, gap: int) -> tuple[int, int]:
+    """The largest gain up to ``gap``, and the length given up for it; (0, 0) if there is none."""
+    if given_up.bit_count() >= gap:
+        for gain in range(gap, 0, -1):
+            if fitting := (offered >> gain) & given_up:
+                return gain, (fitting & -fitting).bit_length() - 1
+        return 0, 0
+    best = at = 0
+    while given_up and best < gap:
+        low = given_up & -given_up
+        given_up ^= low
+        out = low.bit_length() - 1
+        gain = (offered & ((1 << (out + gap + 1)) - 1)).bit_length() - 1 - out
+        if gain > best:
+            best, at = gain, out
+    return best, at
+
+
+def _pair(items: Sequence[int], lengths: Sequence[int], total: int) -> tuple[int, int]:
+    """Two of ``items`` of ``total`` length together."""
+    by_length: dict[int, int] = {}
+    for x in items:
+        if total - lengths[x] in by_length:
+            return by_length[total - lengths[x]], x
+        by_length[lengths[x]] = x
+    raise ValueError("no such pair")
+
+
+def pack_lengths(lengths: Sequence[int], size: int, concentrate: bool = False) -> list[list[int]]:
     """Bins of indexes into ``lengths``."""
-    return local_search(best_fit(lengths, size), lengths, size)
+    return local_search(best_fit(lengths, size), lengths, size, concentrate=concentrate)
 
 
 def pack(pieces: DataFrame, size: int = 2048, length: str = "length", group_rows: int = 60_000) -> DataFrame:
@@ -328,7 +374,8 @@ def pack(pieces: DataFrame, size: int = 2048, length: str = "length", group_rows
 
     Adds ``sequence_id`` and ``offset`` (gapless from 0) to the columns of ``pieces``; lengths lie
     between 1 and ``size``. Repeated rows are placed once each. Rows are dealt evenly into groups
-    of about ``group_rows`` whatever their values; only bins left underfull go on to the next level.
+    of about ``group_rows`` whatever their values; of the bins left underfull, the emptiest ones with up
+    to half of a group's rows go on to the next level, so that levels shrink whatever the lengths are.
     An empty table gives no rows.
     """
     rest = materialise(pieces.select(F.struct("*").alias("item"), F.col(length).cast("int").alias("length")))
@@ -337,35 +384,34 @@ def pack(pieces: DataFrame, size: int = 2048, length: str = "length", group_rows
     left, level, closed = rest.count(), 0, []
     while True:
         groups = max(1, -(-left // group_rows))
-        placed = materialise(rest.repartition(groups).mapInArrow(_pack_group(size, level), schema))
+        placed = materialise(rest.repartition(groups).mapInArrow(_pack_group(size, level, groups == 1), schema))
         if groups == 1:
             closed.append(placed)
             break
         closed.append(placed.filter("not open"))
         rest = placed.filter("open").select("item", "length")
-        before, left, level = left, rest.count(), level + 1
-        if left * 2 > before:  # hardly any full bins: regrouping can't help
-            closed.append(placed.filter("open"))
-            break
+        left, level = rest.count(), level + 1
     return reduce(DataFrame.unionByName, closed).select("item.*", "sequence_id", "offset")
 
 
-def _pack_group(size: int, level: int):
+def _pack_group(size: int, level: int, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
         if table is None or not table.num_rows:
             return
         lengths = table.column("length").to_pylist()
         first = level << 56 | TaskContext.get().partitionId() << 32
-        order, sequence, offset, is_open = [], [], [], []
-        for number, items in enumerate(pack_lengths(lengths, size)):
+        order, sequence, offset, is_open, sent = [], [], [], [], 0
+        bins = sorted(pack_lengths(lengths, size, not last), key=lambda items: sum(lengths[x] for x in items))
+        for number, items in enumerate(bins):
             at = 0
             for item in items:
                 order.append(item)
                 sequence.append(first + number)
                 offset.append(at)
                 at += lengths[item]
-            is_open.extend([at < size] * len(items))
+            sent += len(items)
+            is_open.extend([not last and at < size and 2 * sent <= len(lengths)] * len(items))
         out = table.take(pa.array(order, pa.int64())).combine_chunks()
         for name, values, kind in (
             ("sequence_id", sequence, pa.int64()),
