@@ -9,7 +9,7 @@ One form serves every size, type and skew.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,12 +36,12 @@ def _ranges(df: DataFrame, order: Sequence[str], by: Sequence[str], **added: Col
     return written, materialise(dealt.withColumn("__part", F.spark_partition_id()))
 
 
-def _with_result(written: DataFrame, found: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
-    """``columns`` of the written rows and ``out``, without a join where the order columns are all there is."""
-    shown = [f"`{c}`" for c in columns]
+def _with_result(written: DataFrame, found: DataFrame, columns: Sequence[str], out: Sequence[str]) -> DataFrame:
+    """``columns`` of the written rows and those of ``out``, without a join where the order columns are all there is."""
+    shown = [f"`{c}`" for c in columns if c not in out]
     if set(columns) <= set(found.columns):
-        return found.select(*shown, out)
-    return written.select("__row", *shown).join(found.select("__row", out), "__row").select(*shown, out)
+        return found.select(*shown, *out)
+    return written.select("__row", *shown).join(found.select("__row", *out), "__row").select(*shown, *out)
 
 
 def _inside(order: Sequence[str], by: Sequence[str]):
@@ -62,6 +62,20 @@ def _with_start(rows: DataFrame, per_range: DataFrame, by: Sequence[str], start:
     return rows.join(F.broadcast(carried), same, "left").drop("__at", *[f"__by_{c}" for c in by])
 
 
+def running_totals(df: DataFrame, order: Sequence[str], by: Sequence[str], weights: Mapping[str, Column]) -> DataFrame:
+    """Sums of several weights over this row and all before it, in one pass; order as in :func:`running_total`."""
+    names = {out: f"__w{i}" for i, out in enumerate(weights)}
+    written, rows = _ranges(df, order, by, **{names[o]: F.coalesce(w.cast("long"), F.lit(0)) for o, w in weights.items()})
+    earlier = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    per_range = rows.groupBy(*by, "__part").agg(*[F.sum(w).alias(f"__n{w}") for w in names.values()])
+    before = [F.sum(f"__n{w}").over(earlier) for w in names.values()]
+    start = F.when(before[0].isNotNull(), F.struct(*[total.alias(w) for total, w in zip(before, names.values(), strict=True)]))
+    started = _with_start(rows, per_range, by, start, "__start")
+    inside = _inside(order, by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = {o: F.coalesce(F.col("__start").getField(w), F.lit(0)) + F.sum(w).over(inside) for o, w in names.items()}
+    return _with_result(written, started.withColumns(found), df.columns, list(found))
+
+
 def running_total(
     df: DataFrame, order: Sequence[str], by: Sequence[str] = (), weight: Column | None = None, out: str = "row_number"
 ) -> DataFrame:
@@ -70,13 +84,7 @@ def running_total(
     Without a weight this is the row number. Columns of ``order`` may be of any orderable type;
     NULLs come first, ties follow a hash of the row, equal rows any order; NULLs in ``by`` form a group of their own.
     """
-    value = F.lit(1).cast("long") if weight is None else F.coalesce(weight.cast("long"), F.lit(0))
-    written, rows = _ranges(df, order, by, __w=value)
-    earlier = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    per_range = rows.groupBy(*by, "__part").agg(F.sum("__w").alias("__n"))
-    started = _with_start(rows, per_range, by, F.sum("__n").over(earlier), "__start")
-    within = F.sum("__w").over(_inside(order, by).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return _with_result(written, started.withColumn(out, F.coalesce("__start", F.lit(0)) + within), df.columns, out)
+    return running_totals(df, order, by, {out: F.lit(1) if weight is None else weight})
 
 
 def previous_value(df: DataFrame, value: str, order: Sequence[str], by: Sequence[str], out: str) -> DataFrame:
@@ -87,7 +95,7 @@ def previous_value(df: DataFrame, value: str, order: Sequence[str], by: Sequence
     earlier = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     started = _with_start(rows, per_range, by, F.last("__last", ignorenulls=True).over(earlier), "__carry")
     within = F.last("__v", ignorenulls=True).over(_inside(order, by).rowsBetween(Window.unboundedPreceding, -1))
-    return _with_result(written, started.withColumn(out, F.coalesce(within, F.col("__carry"))), df.columns, out)
+    return _with_result(written, started.withColumn(out, F.coalesce(within, F.col("__carry"))), df.columns, [out])
 
 
 def round_robin(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -121,7 +129,7 @@ def skip_first(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.filter(F.col(key).isNull() | (F.col(key) > last))
 
 
-def fold_runs(
+def fold_segments(
     df: DataFrame,
     by: str,
     order: Sequence[str],
@@ -129,29 +137,62 @@ def fold_runs(
     piece: Column,
     keep: Sequence[str] = (),
     separator: str = " > ",
+    size: int = 1000,
 ) -> DataFrame:
-    """Start a new run at each ``starts`` row and join the pieces of a run into a chain.
+    """Start a new run at each ``starts`` row and join the pieces of a run into segments of a chain.
 
-    ``keep`` columns come from a run's first row. Rows before the first start are not part of
-    any run. A run is the chain of one fetch (its redirects), and a chain is one cell: this is
-    for runs that a later start ends, not for logs of a single endless run.
+    (by, run, segment, first, keep, chain, pieces): a segment has at most ``size`` pieces, so a run of any
+    length is folded in bounded memory; ``first`` is the order of its first row and ``keep`` columns come from
+    that row. Segments of a run ascend, but need not begin at 0 or be full. Rows before the first
+    start are not part of any run.
     """
     marked = df.withColumns({"__opens": starts.cast("int"), "__piece": piece})
-    runs = running_total(marked, order, [by], F.col("__opens"), "run").filter("run > 0")
+    totals = {"run": F.col("__opens"), "__seen": F.col("__piece").isNotNull().cast("int")}
+    runs = running_totals(marked, order, [by], totals).filter("run > 0")
     item = F.struct(*order, F.col("__piece").alias("piece"))
+    place = F.struct(*order)
     return (
-        runs.groupBy(by, "run")
+        runs.groupBy(by, "run", F.floor((F.col("__seen") - 1) / size).alias("segment"))
         .agg(
-            F.min(order[0]).alias("started"),
-            *[F.min_by(c, F.struct(*order)).alias(c) for c in keep],
+            F.min(place).alias("first"),
+            *[F.min_by(c, place).alias(c) for c in keep],
             F.sort_array(F.collect_list(F.when(F.col("__piece").isNotNull(), item))).alias("__items"),
         )
         .select(
             by,
             "run",
-            "started",
+            "segment",
+            "first",
             *keep,
             F.array_join(F.transform("__items", lambda x: x["piece"]), separator).alias("chain"),
             F.size("__items").cast("long").alias("pieces"),
         )
     )
+
+
+def fold_runs(
+    df: DataFrame,
+    by: str,
+    order: Sequence[str],
+    starts: Column,
+    piece: Column,
+    keep: Sequence[str] = (),
+    separator: str = " > ",
+    size: int = 1000,
+) -> DataFrame:
+    """Runs of :func:`fold_segments` with their whole chain: the segments of a run joined on read.
+
+    A chain is one cell; a reader of runs that may not fit one takes the segments.
+    """
+    held = F.collect_list(F.when(F.col("pieces") > 0, F.struct("segment", "chain")))
+    return (
+        fold_segments(df, by, order, starts, piece, keep, separator, size)
+        .groupBy(by, "run")
+        .agg(
+            F.min(F.col("first").getField(order[0])).alias("started"),
+            *[F.min_by(c, "first").alias(c) for c in keep],
+            F.array_join(F.transform(F.sort_array(held), lambda x: x["chain"]), separator).alias("chain"),
+            F.sum("pieces").alias("pieces"),
+        )
+        .select(by, "run", "started", *keep, "chain", "pieces")
+    )

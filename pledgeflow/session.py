@@ -52,9 +52,15 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+_scopes: list[list[str]] = []
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/pledgeflow/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, removed at the end of a :func:`scratch` around it."""
+    path = f"{shared_dir(spark)}/pledgeflow/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -63,13 +69,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-_scopes: list[list[str]] = []
-
-
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Remove at the end what :func:`materialise` writes inside; results must be consumed by then."""
-    _scopes.append([])
+def scratch(spark: SparkSession, *paths: str) -> Iterator[None]:
+    """Remove at the end the work paths taken inside, those of :func:`materialise` too; results must be consumed by then.
+
+    ``paths`` are removed with them.
+    """
+    _scopes.append(list(paths))
     try:
         yield
     finally:
@@ -87,8 +93,6 @@ def materialise(df: DataFrame, *partition_by: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_path(spark, "kept")
-    if _scopes:
-        _scopes[-1].append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     kept = spark.read.schema(df.schema).parquet(path)
     return kept.select(*[f"`{c}`" for c in df.columns]) if partition_by else kept

@@ -71,6 +71,20 @@ def test_fold_runs_drops_rows_before_first_start(spark):
     ]
 
 
+def test_endless_run_is_folded_in_segments(spark):
+    """A run without a next start is cut into segments of bounded size, whose chains join to the whole."""
+    lines = spark.range(5000).select(F.lit("f").alias("file"), "id", F.when(F.col("id") % 3 > 0, F.concat(F.lit("p"), "id")).alias("what"))
+    lines = lines.unionByName(lines.filter("id < 40").withColumn("file", F.lit("g")))
+    opens = F.col("id").isin(0, 30)
+    segments = ordering.fold_segments(lines.filter("file = 'f' and id <> 30"), "file", ["id"], opens, F.col("what"), ["what"], size=100).collect()
+    assert max(r.pieces for r in segments) == 100 and sum(r.pieces for r in segments) == 3333
+    assert {(r.run, r.file) for r in segments} == {(1, "f")} and min(r.first.id for r in segments) == 0
+    got = {(r.file, r.run): r for r in ordering.fold_runs(lines, "file", ["id"], opens, F.col("what"), ["id"], size=7).collect()}
+    pieces = lambda ids: " > ".join(f"p{i}" for i in ids if i % 3)
+    want = {("f", 1): range(30), ("f", 2): range(30, 5000), ("g", 1): range(30), ("g", 2): range(30, 40)}
+    assert {k: (r.started, r.id, r.chain) for k, r in got.items()} == {k: (v[0], v[0], pieces(v)) for k, v in want.items()}
+
+
 def _brute(data, by, order, value=None):
     """Row numbers and last earlier values by position; NULLs first."""
     out, last, count = {}, {}, {}
