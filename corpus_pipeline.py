@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pledgeflow.llm import line_dedup, packing, quality, simhash
-from pledgeflow.session import work_path
+from pledgeflow.session import scratch, work_path
 
 # counting and whole-text stages have no SQL form: tests compare them with brute force
 ORACLE_SQL = None
@@ -53,11 +53,17 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what lies between them is written below the shared folder."""
+    """All stages over ``documents``; what lies between them is written below the shared folder.
+
+    What a stage wrote for itself is removed when it ends, its result when the next stage has read it.
+    """
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    path, schema = None, None
     for i, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        path = work_path(spark, f"stage-{i}")
-        out.write.parquet(path)
-        docs = spark.read.schema(out.schema).parquet(path)
+        target = work_path(spark, f"stage-{i}")
+        with scratch(spark, *([path] if path else [])):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(target)
+            path, schema = target, out.schema
+        docs = spark.read.schema(schema).parquet(path)
     return docs
