@@ -1,180 +1,169 @@
 """Exact grouped quantiles by selection instead of collecting a group's values.
 
-One pass counts values in log-spaced buckets (a monotone function of the value), combined
-map-side; its running counts name the interval that holds each wanted rank. An interval with
-many rows is cut into equal cells between its least and greatest value, again and again, until
-it is small or holds one value. Only rows of the last intervals are ranked, as distinct values
-with counts. No task ever holds a whole group.
+One scan sketches every group (KLL, combined map-side) and takes its moments. The sketch bounds
+each wanted rank by two values; a second scan counts what lies below and between them exactly and
+ranks the distinct values in between. Where bounds still hold too many rows for one task, a scan
+sketches them again, which leaves a share of them that does not depend on how values lie. Counts
+are exact in every scan, so a bound that missed its rank is seen and replaced. No task ever holds
+a whole group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pledgeflow.session import materialise
 
-# buckets per factor of two: each spans 0.07 % of its value
-_RESOLUTION = 1024
-# rows of an interval that one task may rank, and cells that a larger one is cut into
-RANKED_ROWS, CELLS = 200_000, 1024
-# target intervals, a few for each group, that may be broadcast
+# items a sketch keeps on its lowest level; groups up to this size are sketched exactly
+SKETCH_K = 4096
+# equal shares of a group at which its sketch is asked
+SHARES = 512
+# rows between two bounds that one task may rank
+RANKED_ROWS = 200_000
+# groups whose bounds may be broadcast
 MAX_BROADCAST = 200_000
 
 
-def log_bucket(value: Column) -> Column:
-    """Monotone in the value, over all doubles down to the smallest."""
-    size = F.abs(value)
-    # 1075 lifts the exponent of the smallest double above zero
-    magnitude = F.floor((F.log2(size) + 1075) * _RESOLUTION) + 1
-    return F.when(value < 0, -magnitude).when(size > 0, magnitude).otherwise(F.lit(0).cast("long"))
-
-
-def _locate(counts: DataFrame, keys: list[str], order: str, ranks: Column) -> DataFrame:
-    """Keep the rows of a counted order that cover a wanted rank; ``__below`` counts what precedes."""
-    window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("__n").over(window), F.lit(0)) + F.col("__base")
-    return (
-        counts.withColumn("__below", below)
-        .withColumn(
-            "__ranks",
-            F.filter(ranks, lambda r: (r >= F.col("__below")) & (r < F.col("__below") + F.col("__n"))),
-        )
-        .filter(F.size("__ranks") > 0)
-    )
+def _slack() -> float:
+    """Twice the rank error that a KLL sketch of this size keeps in 99 of 100 cases, as a share of the rows."""
+    return 2 * 2.296 / SKETCH_K**0.9021
+
+
+def _number(value: str | Column) -> Column:
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    return F.when(~F.isnan(v), v)
 
 
 def _rows_of(df: DataFrame, by: Sequence[str], value: str) -> tuple[DataFrame, list[str]]:
     """Group keys and the value as ``__v``, without NULL and NaN."""
     keys = list(by) or ["__all"]
     rows = df if by else df.withColumn("__all", F.lit(0))
-    rows = rows.select(*keys, F.col(value).cast("double").alias("__v"))
-    return rows.filter(F.col("__v").isNotNull() & ~F.isnan("__v")), keys
+    return rows.select(*keys, _number(value).alias("__v")).filter(F.col("__v").isNotNull()), keys
+
+
+def _first_look(v: Column) -> dict[str, Column]:
+    """What the first scan takes of a group: bounds and sketch for the ranks, and the moments."""
+    return {
+        "__n": F.count(v),
+        "__lo": F.min(v),
+        "__hi": F.max(v),
+        "__sketch": F.kll_sketch_agg_double(v, F.lit(SKETCH_K)),
+        "sum": F.sum(v),
+        "mean": F.avg(v),
+        "sd_pop": F.stddev_pop(v),
+        "sd_samp": F.stddev_samp(v),
+    }
 
 
 def summarised(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per bucket with count, bounds, sum and spread; moments and quantiles both start here."""
-    v = F.col("__v")
-    return materialise(
-        rows.groupBy(*keys, log_bucket(v).alias("__bucket")).agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.min(v).alias("__lo"),
-            F.max(v).alias("__hi"),
-            F.sum(v).alias("__sum"),
-            F.avg(v).alias("__mean"),
-            F.var_pop(v).alias("__var"),
-        )
-    )
+    """One row per group with count, bounds, moments and sketch."""
+    return materialise(rows.groupBy(*keys).agg(*[c.alias(name) for name, c in _first_look(F.col("__v")).items()]))
+
 
+def _wanted(total: Column, points: Sequence[float]) -> Column:
+    position = [F.lit(float(p)) * (total - 1) for p in points]
+    return F.array_distinct(F.array(*[f(x).cast("long") for x in position for f in (F.floor, F.ceil)]))
 
-def moments(summary: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group: n, mean, sum, min, max and the deviations, from the buckets' own moments."""
+
+def _located(parts: DataFrame, keys: list[str], points: Sequence[float]) -> DataFrame:
+    """The parts of each group, disjoint ranges of values, that hold a wanted rank."""
     group = Window.partitionBy(*keys)
-    off = F.col("__mean") - F.sum("__sum").over(group) / F.sum("__n").over(group)
-    # one shuffle: the sum below finds the buckets of a group where the window has put them
-    whole = summary.withColumn("__off", off).groupBy(*keys).agg(
-        F.sum("__n").alias("n"),
-        F.sum("__sum").alias("sum"),
-        F.min("__lo").alias("min"),
-        F.max("__hi").alias("max"),
-        F.sum(F.col("__n") * (F.col("__var") + F.col("__off") * F.col("__off"))).alias("__squares"),
+    before = group.orderBy("__lo").rowsBetween(Window.unboundedPreceding, -1)
+    placed = parts.withColumns(
+        {"__total": F.sum("__n").over(group), "__below": F.coalesce(F.sum("__n").over(before), F.lit(0))}
     )
-    return whole.select(
-        *keys,
-        "n",
-        (F.col("sum") / F.col("n")).alias("mean"),
-        "sum",
-        "min",
-        "max",
-        F.sqrt(F.col("__squares") / F.col("n")).alias("sd_pop"),
-        F.sqrt(F.try_divide(F.col("__squares"), F.col("n") - 1)).alias("sd_samp"),
+    held = F.filter(
+        _wanted(F.col("__total"), points),
+        lambda r: (r >= F.col("__below")) & (r < F.col("__below") + F.col("__n")),
     )
+    return placed.withColumn("__ranks", held).filter(F.size("__ranks") > 0)
 
 
-def _matched(rows: DataFrame, keys: list[str], targets: DataFrame, small: bool) -> DataFrame:
-    """Distinct values with counts, next to the target interval they lie in."""
-    if not small:  # many groups: reduce equal values map-side before they travel to the join
-        rows = rows.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__k"))
-    else:
-        rows = rows.withColumn("__k", F.lit(1).cast("long"))
-    inside = F.col("__v").between(F.col("__lo"), F.col("__hi"))
-    side = targets.drop("__n")
-    for key in keys:
-        side = side.withColumnRenamed(key, f"__key_{key}")
-        inside = inside & (F.col(key) == F.col(f"__key_{key}"))
-    return rows.join(F.broadcast(side) if small else side, inside).drop(*[f"__key_{key}" for key in keys])
-
-
-def _refined(rows: DataFrame, keys: list[str], targets: DataFrame) -> tuple[DataFrame, bool]:
-    """Cut crowded target intervals into cells until each is small or holds one value."""
-    crowded = (F.col("__n") > RANKED_ROWS) & (F.col("__lo") < F.col("__hi"))
-
-    def written(found: DataFrame) -> tuple[DataFrame, bool, bool]:
-        kept = materialise(found)
-        count, still = kept.agg(F.count(F.lit(1)), F.coalesce(F.bool_or(crowded), F.lit(False))).first()
-        return kept, count <= MAX_BROADCAST, still
-
-    targets, small, again = written(targets)
-    while again:
-        share = (F.col("__v") - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
-        cell = F.least(F.floor(share * CELLS), F.lit(CELLS - 1)).alias("__cell")
-        found = _matched(rows, keys, targets.filter(crowded), small)
-        cells = found.groupBy(*keys, F.col("__lo").alias("__in"), cell).agg(
-            F.sum("__k").alias("__n"),
-            F.min("__v").alias("__lo"),
-            F.max("__v").alias("__hi"),
-            *[F.first(c).alias(c) for c in ("__total", "__base", "__wanted")],
-        )
-        finer = _locate(cells, [*keys, "__in"], "__cell", F.col("__wanted"))
-        finer = finer.select(*keys, "__lo", "__hi", "__n", "__total", F.col("__below").alias("__base"), F.col("__ranks").alias("__wanted"))
-        targets, small, again = written(targets.filter(~crowded).unionByName(finer))
-    return targets, small
+def _cuts(located: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group the bounds of its wanted ranks, ``__cuts``: ascending, overlapping ones joined."""
+    share = F.lit(SHARES) / F.col("__n")
+    slack = F.when(F.col("__n") > SKETCH_K, F.lit(SHARES * _slack())).otherwise(F.lit(0.0))
+    # a sketch answers fixed shares only
+    asked = F.expr("array(" + ", ".join(f"{i / SHARES}D" for i in range(SHARES + 1)) + ")")
 
+    def bound(place: Column) -> Column:
+        return F.get("__grid", F.least(F.lit(SHARES), F.greatest(F.lit(0), place)).cast("int"))
 
-def group_quantiles(
-    df: DataFrame,
-    by: Sequence[str],
-    value: str,
-    quantiles: Mapping[str, float],
-    floors: Mapping[str, float] | None = None,
-) -> DataFrame:
-    """Per group: row count ``n``, interpolated quantiles, and for ``floors`` the largest
-    value at or below the quantile. NULL and NaN are left out.
+    def bounds(rank: Column) -> Column:
+        middle = (rank - F.col("__below") + 0.5) * share
+        return F.struct(bound(F.floor(middle - slack)).alias("lo"), bound(F.ceil(middle + slack)).alias("hi"))
 
-    Order statistics follow position ``p * (n - 1)``, interpolated linearly.
+    one = F.array(F.struct(F.col("__lo").alias("lo"), F.col("__hi").alias("hi")))
+    known = (F.col("__lo") == F.col("__hi")) | F.col("__sketch").isNull()
+    grids = located.withColumn("__grid", F.when(~known, F.kll_sketch_get_quantile_double("__sketch", asked)))
+    found = grids.select(*keys, F.when(known, one).otherwise(F.transform("__ranks", bounds)).alias("cut"))
+    cuts = found.groupBy(*keys).agg(F.array_sort(F.flatten(F.collect_list("cut"))).alias("__cuts"))
+
+    def joined(done: Column, cut: Column) -> Column:
+        last = F.element_at(done, -1)
+        wider = F.struct(last["lo"].alias("lo"), F.greatest(last["hi"], cut["hi"]).alias("hi"))
+        # the first cut meets itself
+        apart = F.concat(done, F.array(cut))
+        return F.when(last["hi"] < cut["lo"], apart).otherwise(F.concat(F.slice(done, 1, F.size(done) - 1), F.array(wider)))
+
+    return cuts.withColumn("__cuts", F.aggregate("__cuts", F.slice("__cuts", 1, 1), joined))
+
+
+def _counted(rows: DataFrame, keys: list[str], cuts: DataFrame, small: bool, ranked: bool) -> DataFrame:
+    """Scan the rows: exact counts of the parts into which the cuts split each group.
+
+    Parts are the gaps around the cuts and, inside, every distinct value (``ranked``) or the two
+    ends and what is between them, sketched again.
     """
-    rows, keys = _rows_of(df, by, value)
-    result = _selected(rows, keys, summarised(rows, keys), quantiles, floors or {})
-    return result if by else result.drop("__all")
+    v = F.col("__v")
+    if ranked and not small:  # many groups: reduce equal values map-side before they travel to the join
+        rows = rows.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__k"))
+    else:
+        rows = rows.withColumn("__k", F.lit(1).cast("long"))
+    side = cuts.select(*[F.col(k).alias(f"__key_{k}") for k in keys], "__cuts")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])
+    passed = F.size(F.filter("__cuts", lambda c: c["hi"] < v))
+    at = rows.join(F.broadcast(side) if small else side, same).select(
+        *keys, "__v", "__k", passed.alias("__passed"), F.get("__cuts", passed).alias("__cut")
+    )
+    lo, hi = F.col("__cut.lo"), F.col("__cut.hi")
+    part = F.when(lo.isNull() | (v < lo), 0).when(v == lo, 1).when(v == hi, 3).otherwise(2)
+    cell = F.when(part > 0, v) if ranked else part
+    sketch = F.lit(None).cast("binary") if ranked else F.kll_sketch_agg_double("__v", F.lit(SKETCH_K))
+    counts = at.groupBy(*keys, "__passed", cell.alias("__cell")).agg(
+        F.sum("__k").alias("__n"), F.min(v).alias("__lo"), F.max(v).alias("__hi"), sketch.alias("__sketch")
+    )
+    return materialise(counts.drop("__passed", "__cell"))
 
 
 def _selected(
     rows: DataFrame, keys: list[str], summary: DataFrame, quantiles: Mapping[str, float], floors: Mapping[str, float]
 ) -> DataFrame:
-    total = F.sum("__n").over(Window.partitionBy(*keys))
-    histogram = summary.select(*keys, "__bucket", "__n", "__lo", "__hi")
-    histogram = histogram.withColumns({"__total": total, "__base": F.lit(0).cast("long")})
     points = sorted({*quantiles.values(), *floors.values()})
+    parts = summary.filter(F.col("__n") > 0).select(*keys, "__n", "__lo", "__hi", "__sketch")
+    open_ = F.col("__lo") < F.col("__hi")
+    between = F.when(F.col("__n") > SKETCH_K, 2 * (_slack() + 1 / SHARES) * F.col("__n")).otherwise(0)
+    while True:
+        located = _located(parts, keys, points)
+        left, crowded, groups = located.agg(
+            F.coalesce(F.bool_or(open_), F.lit(False)),
+            # a part that was not to hold a rank has no sketch yet
+            F.coalesce(F.bool_or(open_ & (F.col("__sketch").isNull() | (between > RANKED_ROWS))), F.lit(False)),
+            F.count(F.lit(1)),
+        ).first()
+        if not left:
+            break
+        parts = _counted(rows, keys, _cuts(located, keys), groups <= MAX_BROADCAST, ranked=not crowded)
+    hits = located.select(*keys, "__total", F.col("__lo").alias("__v"), F.explode("__ranks").alias("__rank"))
 
     def position(p: float) -> Column:
         return F.lit(float(p)) * (F.col("__total") - 1)
 
-    wanted = F.array_distinct(
-        F.array(*[f(position(p)).cast("long") for p in points for f in (F.floor, F.ceil)])
-    )
-    targets = _locate(histogram, keys, "__bucket", wanted).select(
-        *keys, "__lo", "__hi", "__n", "__total", F.col("__below").alias("__base"), F.col("__ranks").alias("__wanted")
-    )
-    targets, small = _refined(rows, keys, targets)
-    candidates = _matched(rows, keys, targets, small).groupBy(*keys, "__lo", "__v").agg(
-        F.sum("__k").alias("__n"), *[F.first(c).alias(c) for c in ("__total", "__base", "__wanted")]
-    )
-    hits = _locate(candidates, [*keys, "__lo"], "__v", F.col("__wanted")).select(
-        *keys, "__total", "__v", F.explode("__ranks").alias("__rank")
-    )
-
     def at(p: float, side) -> Column:
         return F.max(F.when(F.col("__rank") == side(position(p)).cast("long"), F.col("__v")))
 
@@ -190,6 +179,23 @@ def _selected(
     )
 
 
+def group_quantiles(
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    quantiles: Mapping[str, float],
+    floors: Mapping[str, float] | None = None,
+) -> DataFrame:
+    """Per group: row count ``n``, interpolated quantiles, and for ``floors`` the largest
+    value at or below the quantile. NULL and NaN are left out; NULL keys are a group.
+
+    Order statistics follow position ``p * (n - 1)``, interpolated linearly.
+    """
+    rows, keys = _rows_of(df, by, value)
+    result = _selected(rows, keys, summarised(rows, keys), quantiles, floors or {})
+    return result if by else result.drop("__all")
+
+
 def middle_rows_median(df: DataFrame, value: str) -> DataFrame:
     """Median of one column as the mean of the rows numbered ⌊(n+1)/2⌋ and ⌊(n+2)/2⌋."""
     return group_quantiles(df, [], value, {"median_val": 0.5}).select("median_val")
@@ -203,15 +209,18 @@ def unpivoted(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataF
 
 
 def _described(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Moments and median of each column, over non-null values, from one summary."""
-    long = unpivoted(df, [], columns)
-    rows, keys = _rows_of(long, ["variable"], "value")
-    summary = summarised(rows, keys)
+    """Moments and median of each column, over non-null values; a column without values keeps its row."""
+    names = list(dict.fromkeys(columns))
+    looks = [F.struct(*[c.alias(k) for k, c in _first_look(_number(f"`{name}`")).items()]) for name in names]
+    # the first scan needs no row per column: all columns are looked at in one aggregate
+    whole = df.agg(F.array(*[F.struct(F.lit(n).alias("variable"), x.alias("look")) for n, x in zip(names, looks)]).alias("all"))
+    summary = materialise(whole.select(F.inline("all")).select("variable", "look.*"))
+    rows, keys = _rows_of(unpivoted(df, [], names), ["variable"], "value")
     medians = _selected(rows, keys, summary, {"median": 0.5}, {}).select("variable", "median")
-    named = df.sparkSession.createDataFrame([(c,) for c in dict.fromkeys(columns)], "variable string")
-    # a column without values keeps its row
-    found = named.join(moments(summary, keys).join(medians, "variable"), "variable", "left")
-    return found.withColumn("n", F.coalesce("n", F.lit(0)))
+    moments = summary.select(
+        "variable", F.col("__n").alias("n"), "mean", "sum", F.col("__lo").alias("min"), F.col("__hi").alias("max"), "sd_pop", "sd_samp"
+    )
+    return moments.join(medians, "variable", "left")
 
 
 def column_stats(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFrame:
@@ -235,4 +244,6 @@ def box_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     spots = _selected(
         rows, keys, summary, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, {"whisker_low": 0.0, "whisker_high": 0.9}
     )
-    return spots.join(moments(summary, keys).select(*keys, "mean"), keys)
+    means = summary.select(*[F.col(k).alias(f"__key_{k}") for k in keys], "mean")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])
+    return spots.join(means, same).drop(*[f"__key_{k}" for k in keys])

@@ -76,8 +76,9 @@ def test_describe_uses_sample_and_stats_population_deviation(spark):
 
 
 def test_crowded_intervals_are_cut(spark, monkeypatch):
-    """Many distinct values in one bucket: tiny ones, and ones within 0.07 percent."""
+    """Bounds that hold too many rows are sketched again: values near each other, steep ones and ties."""
     monkeypatch.setattr(quantiles, "RANKED_ROWS", 50)
+    monkeypatch.setattr(quantiles, "SKETCH_K", 200)
     groups = {
         "tiny": [i * 1e-9 for i in range(2000)],
         "near": [1000 + i * 1e-4 for i in range(2000)],
@@ -99,3 +100,50 @@ def test_column_without_values_keeps_its_row(spark):
     df = spark.createDataFrame([(1.0, None)], "v double, w double")
     got = {r.variable: (r.n, r.mean, r.median) for r in quantiles.column_stats(df, ["v", "w"]).collect()}
     assert got == {"v": (1, 1.0, 1.0), "w": (0, None, None)}
+
+
+def _scans(monkeypatch):
+    """Record how often the rows are scanned after the first look."""
+    calls, counted = [], quantiles._counted
+    monkeypatch.setattr(quantiles, "_counted", lambda *a, **k: calls.append(k["ranked"]) or counted(*a, **k))
+    return calls
+
+
+def test_two_scans_of_the_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "rows")
+    spark.range(200_000).select((F.col("id") % 7).alias("g"), F.rand(3).alias("v"), F.rand(4).alias("w")).write.parquet(path)
+    df = spark.read.parquet(path)
+    for make in (
+        lambda: quantiles.describe_wide(df, ["v", "w"]),
+        lambda: quantiles.box_stats(df, ["g"], "v"),
+        lambda: quantiles.group_quantiles(df, ["g"], "w", {"m": 0.5}),
+    ):
+        calls = _scans(monkeypatch)
+        result = make()
+        assert calls == [True]  # one look for the sketches, one ranking scan
+        assert path not in plan(result)
+        monkeypatch.undo()
+
+
+def test_missed_bounds_are_found_again(spark, monkeypatch):
+    """Bounds too narrow for the sketch's error miss most ranks; exact counts see it."""
+    monkeypatch.setattr(quantiles, "SKETCH_K", 20)
+    monkeypatch.setattr(quantiles, "_slack", lambda: 0.0)
+    calls = _scans(monkeypatch)
+    rng = random.Random(5)
+    groups = {g: [rng.gauss(0, 1) for _ in range(3000)] for g in "abc"}
+    probs = {"p10": 0.1, "p50": 0.5, "p95": 0.95}
+    for r in quantiles.group_quantiles(_frame(spark, groups), ["g"], "v", probs).collect():
+        for name, p in probs.items():
+            assert math.isclose(r[name], float(np.percentile(groups[r.g], p * 100)), rel_tol=1e-12)
+    assert len(calls) > 1
+
+
+def test_null_keys_are_a_group_and_infinities_are_values(spark):
+    inf = math.inf
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", -inf), ("a", 2.0), ("a", inf)], "g string, v double")
+    assert rows(quantiles.group_quantiles(df, ["g"], "v", {"m": 0.5})) == [("a", 3, 2.0), (None, 2, 2.0)]
+    assert {(r.g, r.q50) for r in quantiles.box_stats(df.filter("abs(v) < 9"), ["g"], "v").collect()} == {(None, 2.0), ("a", 2.0)}
+    empty = df.filter("false")
+    assert rows(quantiles.group_quantiles(empty, ["g"], "v", {"m": 0.5})) == []
+    assert [(r.n, r.median) for r in quantiles.column_stats(empty, ["v"]).collect()] == [(0, None)]
