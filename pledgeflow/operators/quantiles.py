@@ -125,13 +125,20 @@ def _counted(rows: DataFrame, keys: list[str], cuts: DataFrame, small: bool, ran
         rows = rows.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__k"))
     else:
         rows = rows.withColumn("__k", F.lit(1).cast("long"))
-    side = cuts.select(*[F.col(k).alias(f"__key_{k}") for k in keys], "__cuts")
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])
-    passed = F.size(F.filter("__cuts", lambda c: c["hi"] < v))
-    at = rows.join(F.broadcast(side) if small else side, same).select(
-        *keys, "__v", "__k", passed.alias("__passed"), F.get("__cuts", passed).alias("__cut")
+    # every value lies in one range: a cut with the gap below it, or the gap above them all
+    above = F.struct(F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"))
+    ranges = cuts.select(*keys, "__cuts", F.posexplode(F.concat("__cuts", F.array(above))).alias("__passed", "__cut"))
+    side = ranges.select(
+        *[F.col(k).alias(f"__key_{k}") for k in keys],
+        "__passed",
+        F.get("__cuts", F.col("__passed") - 1)["hi"].alias("__after"),
+        F.col("__cut.lo").alias("__from"),
+        F.col("__cut.hi").alias("__to"),
     )
-    lo, hi = F.col("__cut.lo"), F.col("__cut.hi")
+    lo, hi, after = F.col("__from"), F.col("__to"), F.col("__after")
+    inside = (after.isNull() | (v > after)) & (hi.isNull() | (v <= hi))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])
+    at = rows.join(F.broadcast(side) if small else side, same & inside)
     part = F.when(lo.isNull() | (v < lo), 0).when(v == lo, 1).when(v == hi, 3).otherwise(2)
     cell = F.when(part > 0, v) if ranked else part
     sketch = F.lit(None).cast("binary") if ranked else F.kll_sketch_agg_double("__v", F.lit(SKETCH_K))
