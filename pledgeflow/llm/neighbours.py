@@ -276,12 +276,13 @@ def nearest(
     by_value = Window.partitionBy("h1", "h2").orderBy("id")
     members = rows.select("id", "h1", "h2").withColumn("place", F.row_number().over(by_value)).filter(F.col("place") <= k + 1)
     classes = rows.groupBy("h1", "h2").agg(F.max("asks").alias("asks"), F.first("vector").alias("vector"))
+    # a name no two classes share, fixed by the write below
     classes = classes.select(
-        F.xxhash64("h1", "h2").alias("class"), "h1", "h2", "asks", F.size("vector").alias("size"), "vector"
+        F.monotonically_increasing_id().alias("class"), "h1", "h2", "asks", F.size("vector").alias("size"), "vector"
     )
     classes = materialise(_hashed(classes, trees))
     asking = classes.filter("asks")
-    sample = asking.orderBy(F.xxhash64("class")).limit(SAMPLE).select("class", "size", "vector", "strings").collect()
+    sample = asking.orderBy(F.xxhash64("h1", "h2")).limit(SAMPLE).select("class", "size", "vector", "strings").collect()
     total = classes.count()
     true = _true_neighbours(classes, sample, k).select("query", "strings").collect() if sample else []
     if not true:
