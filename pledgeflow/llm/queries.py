@@ -44,7 +44,7 @@ def packed(documents: DataFrame) -> DataFrame:
 
 @query("op2_external_shuffle", "documents")
 def shuffled(documents: DataFrame) -> DataFrame:
-    placed = sharding.shuffled_shards(documents, row_id=F.col("_metadata.row_index"))
+    placed = sharding.shuffled_shards(documents, row_id=sharding.file_row())
     text = F.col("record.text")
     return placed.select(
         "record.doc_id",

@@ -22,6 +22,11 @@ def byte_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
 
 
+def file_row() -> Column:
+    """Identity of a scanned row: row numbers start again in every file."""
+    return F.xxhash64("_metadata.file_path", "_metadata.row_index")
+
+
 def shuffled_shards(
     df: DataFrame,
     text: str = "text",
@@ -40,7 +45,7 @@ def shuffled_shards(
 
     Null keys and texts are hashed like any value; an empty table gives no rows; with fewer
     rows than shards some shards are empty. Rows equal in key and text are kept apart by
-    ``row_id`` (for a file scan ``_metadata.row_index``); without it all copies of one row
+    ``row_id`` (``file_row()`` for a file scan); without it all copies of one row
     share a bucket. A record larger than ``bucket_bytes`` makes its bucket as large as itself.
     """
     spark = df.sparkSession

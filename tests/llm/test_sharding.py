@@ -1,7 +1,7 @@
 """The external shuffle: one place per row, shards one row apart, seeded and not in key order."""
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
@@ -58,3 +58,14 @@ def test_fewer_rows_than_shards_and_none(odd, no_documents):
 def test_no_python_in_the_plan(spark, odd):
     placed = sharding.shuffled_shards(odd, row_id=F.col("doc_id"))
     assert "Python" not in placed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equal_rows_in_many_files_spread(spark, tmp_path):
+    path = str(tmp_path / "documents.parquet")
+    spark.range(400).select(F.lit(7).alias("doc_id"), F.lit("same text").alias("text")).repartition(8).write.parquet(path)
+    docs = spark.read.parquet(path)
+    assert docs.select(sharding.file_row()).distinct().count() == 400
+    rows = queries.QUERIES["op2_external_shuffle"](spark, str(tmp_path)).collect()
+    places = Counter(r.shard for r in rows)
+    assert len(rows) == 400 and set(places.values()) == {25}
+    assert len({(r.shard, r.slot) for r in rows}) == 400
