@@ -28,6 +28,8 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 8, 20, 30
 # forest: trees and statistics per tree (together the bound of the sample), and its seed
 TREES, SAMPLE, SEED = 100, 256, 11
+# what a word in a repeated window and a duplicate line take from the variety of words
+REPEAT_WEIGHT, DUP_LINE_WEIGHT = 0.05, 1.0
 # share of good labelled documents that the threshold may lose, and bins of the score's histogram
 MAX_LOSS, SCORE_BINS = 0.002, 10_000
 _ODD = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(WINDOW)], np.uint64)
@@ -93,12 +95,19 @@ def base_failed() -> Column:
 
 
 def features() -> list[Column]:
-    """Statistics the forest splits on: symbols per word, word length, share of distinct words."""
+    """Statistics the forest splits on: symbols per word, word length, variety of words.
+
+    Variety is the log of distinct words over the log of all words, which hardly falls with the
+    length of clean text as their plain ratio does, less what the rules count as repetition:
+    words in repeated windows and duplicate lines, per word. Both are zero in most texts, so as
+    features of their own every text with a repeated line, good ones too, would be isolated.
+    """
     words = F.greatest(F.col("n_words"), F.lit(1))
+    variety = F.log(F.greatest(F.col("n_distinct_words"), F.lit(1))) / F.log(F.greatest(F.col("n_words"), F.lit(3)))
     return [
         F.log1p(20 * F.col("n_symbols") / words),
         F.log(F.greatest(F.col("word_chars"), F.lit(1)) / words),
-        F.col("n_distinct_words") / words,
+        variety - REPEAT_WEIGHT * F.col("n_repeat_words") / words - DUP_LINE_WEIGHT * F.col("n_dup_lines") / words,
     ]
 
 
@@ -133,28 +142,31 @@ def grow_tree(values: np.ndarray, seed: int, depth_limit: int) -> list[tuple[int
 
 
 def grow_forest(statistics: DataFrame, trees: int = TREES, sample: int = SAMPLE) -> list[np.ndarray]:
-    """Trees grown as tasks on about ``sample`` distinct statistics each, chosen by hash.
+    """Trees grown as tasks on ``sample`` distinct statistics each: those first by the tree's own hash.
 
-    Whole groups of equal statistics count once, so copies don't make junk look usual.
+    Whole groups of equal statistics count once, so copies don't make junk look usual. A bound
+    on the hash, twice as high as needed on average, thins a large table before the ranking.
     """
     point = F.array(*features()).alias("point")
     distinct = materialise(statistics.select(point).distinct())
-    share = min(1.0, trees * sample / max(distinct.count(), 1))
-    chosen = F.pmod(F.xxhash64("point"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
-    # a small table gives every tree all of it
-    every, one = F.sequence(F.lit(0), F.lit(trees - 1)), F.array(F.pmod(F.xxhash64("point", F.lit(SEED)), F.lit(trees)).cast("int"))
-    dealt = distinct.filter(chosen).select(F.explode(every if share == 1.0 else one).alias("tree"), "point")
+    bound = F.lit(int(min(1.0, 2 * sample / max(distinct.count(), 1)) * (1 << 62)))
+
+    def place(tree: Column) -> Column:
+        return F.shiftrightunsigned(F.xxhash64("point", tree + F.lit(SEED)), 2)
+
+    numbers = F.sequence(F.lit(0), F.lit(trees - 1))
+    dealt = distinct.select(F.explode(F.filter(numbers, lambda tree: place(tree) <= bound)).alias("tree"), "point")
 
     def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        points = np.array(sorted(map(tuple, rows["point"])))
-        rng = np.random.default_rng([SEED, int(key[0])])
-        points = points[rng.permutation(len(points))[:sample]]
+        ranked = sorted(zip(rows["place"], map(tuple, rows["point"]), strict=True))
+        points = np.array([point for _, point in ranked[:sample]])
         nodes = grow_tree(points, SEED + int(key[0]), max(1, math.ceil(math.log2(max(sample, 2)))) + 2)
         frame = pd.DataFrame(nodes, columns=["feature", "split", "left", "right", "path"])
         return frame.assign(tree=int(key[0]), node=range(len(nodes)), rows=len(points))
 
     fields = "feature int, split double, left int, right int, path double, tree int, node int, rows int"
-    grown = ship(dealt).groupBy("tree").applyInPandas(grow, fields).toPandas().sort_values(["tree", "node"])
+    placed = dealt.withColumn("place", place(F.col("tree")))
+    grown = ship(placed).groupBy("tree").applyInPandas(grow, fields).toPandas().sort_values(["tree", "node"])
     return [g.drop(columns=["tree", "node"]).to_numpy(float) for _, g in grown.groupby("tree")]
 
 

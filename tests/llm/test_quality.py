@@ -81,6 +81,44 @@ def test_forest_isolates_outliers():
     assert quality.isolation(usual, []).max() == 0
 
 
+def statistics(spark, rows):
+    return spark.createDataFrame([tuple(map(int, r)) for r in rows], ", ".join(f"{c} long" for c in quality.COUNTS))
+
+
+def clean(rng, n):
+    """Counts of clean texts of 30 to 30,000 words, whose distinct words grow as a power of their length."""
+    words = np.exp(rng.uniform(np.log(30), np.log(30_000), n)).round()
+    distinct = words ** rng.uniform(0.93, 0.97, n)
+    none = np.zeros(n)
+    return np.c_[words, words * rng.uniform(4.5, 5.5, n), none, none, none, distinct]
+
+
+def test_every_tree_takes_its_own_sample_at_every_size(spark):
+    rng = np.random.default_rng(1)
+    for n in (200, 300, 5000):
+        table = statistics(spark, clean(rng, n))
+        points = table.select(*quality.features()).distinct().count()
+        forest = quality.grow_forest(table.unionAll(table), trees=8, sample=128)
+        assert [int(tree[0, 5]) for tree in forest] == [min(points, 128)] * 8
+        assert len({tuple(tree[0, :2]) for tree in forest}) == 8
+        again = quality.grow_forest(table.repartition(3), trees=8, sample=128)
+        assert all(np.array_equal(a, b) for a, b in zip(forest, again, strict=True))
+
+
+def test_repetition_counts_and_length_does_not(spark):
+    rng = np.random.default_rng(2)
+    usual = statistics(spark, clean(rng, 3000))
+    forest = quality.grow_forest(usual)
+    score = lambda rows: np.array([r.score for r in quality.scored(statistics(spark, rows), forest).collect()])
+    plain = score(clean(rng, 500))
+    bound = np.quantile(plain, 0.99)
+    words, characters, distinct = 400, 2000, 400**0.95
+    assert score([(w, 5 * w, 0, 0, 0, w**0.95) for w in (50, 400, 20_000)]).max() < bound
+    few_words, many_lines = (words, characters, 0, 0, 0, 40), (words, characters, 0, 60, 0, distinct)
+    repeats, some = (words, characters, 0, 25, 110, distinct), (words, characters, 0, 0, 40, distinct)
+    assert score([few_words, many_lines, repeats]).min() > bound > score([some])[0]
+
+
 def test_mean_path():
     assert [quality.mean_path(n) for n in (0, 1, 2)] == [0, 0, 1]
     assert math.isclose(quality.mean_path(256), 10.2448, rel_tol=1e-3)
