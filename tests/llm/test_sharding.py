@@ -69,3 +69,27 @@ def test_equal_rows_in_many_files_spread(spark, tmp_path):
     places = Counter(r.shard for r in rows)
     assert len(rows) == 400 and set(places.values()) == {25}
     assert len({(r.shard, r.slot) for r in rows}) == 400
+
+
+def test_few_partitions_hold_runs_of_buckets(spark, odd, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    by_hash = spark.conf.get("spark.sql.execution.useObjectHashAggregateExec")
+    path = str(tmp_path / "shards")
+    rows = sharding.shuffled_shards(docs, bucket_bytes=2_000, partitions=3, path=path).collect()
+    tasks = {file.name.split("-")[1] for file in (tmp_path / "shards").glob("shard=*/*.parquet")}
+    assert tasks == {"00000", "00001", "00002"}
+    assert spark.conf.get("spark.sql.execution.useObjectHashAggregateExec") == by_hash
+    assert sorted(r.record.doc_id for r in rows) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    assert sharding.shuffled_shards(odd, bucket_bytes=100, partitions=2).count() == odd.count()
+
+
+def test_groups_are_laid_out_in_order(spark, odd):
+    with sharding.groups_in_order(spark):
+        grouped = odd.sortWithinPartitions("lang").groupBy("lang").agg(F.collect_list("text"))
+        plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" in plan and "ObjectHashAggregate" not in plan
