@@ -53,10 +53,32 @@ def test_stages(spark, tmp_path):
     assert key(same) == key(packed)
 
 
-def test_stages_on_odd_documents(spark, odd):
+def test_stages_on_odd_documents(spark, odd, tmp_path):
     docs = odd.select("doc_id", "text", "lang", "source", "n_chars")
-    for _, stage in corpus_pipeline.STAGES[:3]:
-        for table in (docs, docs.limit(0)):
-            out = stage(spark, table, SF)
-            assert out.columns == docs.columns and out.schema["text"].dataType == docs.schema["text"].dataType
-            assert out.count() <= table.count()
+    # good labels only: nothing but the fixed rules may reject
+    spark.createDataFrame([(i, 1, 0) for i in (3, 6, 7, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = docs.collect()
+
+    def passes(text):
+        n = brute_counts(text or "")
+        return n[0] >= 20 and 100 * n[4] <= 30 * n[0]
+
+    lines = brute_lines([(r.doc_id, r.text) for r in rows])
+    groups = brute_groups([brute_print(r.text) for r in rows])
+    members = [[r.doc_id for r, g in zip(rows, groups) if g == group and r.doc_id is not None] for group in set(groups)]
+    expected = [
+        [tuple(r) for r in rows if passes(r.text)],
+        [(r.doc_id, k, r.lang, r.source, len(k)) if dropped else tuple(r) for r, (k, _, dropped) in zip(rows, lines)],
+        [min(ids) if ids else None for ids in members],
+    ]
+    assert 0 < len(expected[0]) < len(rows) and any(dropped for _, _, dropped in lines) and len(members) < len(rows)
+    for (name, stage), want in zip(corpus_pipeline.STAGES[:3], expected):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.schema["text"].dataType == docs.schema["text"].dataType
+        got = out.collect()
+        if name == "simhash near-dedup":
+            assert set(got) <= set(rows)
+            assert sorted(map(repr, (r.doc_id for r in got))) == sorted(map(repr, want))
+        else:
+            assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+        assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []
