@@ -2,12 +2,15 @@
 
 import time
 
+import pyarrow as pa
 import pytest
 from helpers import plan, rows
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from pledgeflow.operators import extract as x
 from pledgeflow.plans import page_specs, pages
+from pledgeflow.sources import html
 from pledgeflow.sources.html import Selector, elements
 
 
@@ -30,6 +33,31 @@ def test_scripts_comments_and_entities(spark):
     assert got == [("s", "if (a<b) '<p>no</p>'", {}), ("p", "1 & 2", {"title": "<t>"})]
 
 
+def test_plain_markup_needs_no_tolerant_parser(monkeypatch):
+    """One pattern reads plain markup, and reads it as HTMLParser does; the rest is left to HTMLParser."""
+    plain = (
+        '<!DOCTYPE html><!-- <p> --><div class="a b" id=x><P title="&lt;t&gt;">1 &amp; 2<br/><img src=\'q\'>3</p>'
+        "<ul><li>a<li>b <b>c</b></ul></i><x-y hidden/>z</div><script>if (a<b) '&amp;'</script><style></style>w"
+    )
+    selectors = {"any": Selector(), "p": Selector("p"), "b": Selector("b", inside="li"), "li": Selector("li"), "sub": Selector("ul", child_of="div"), "div": Selector("div", cls_has="b")}
+
+    def read(source):
+        page = html._Page(html._Choice(selectors))
+        page.read(source)
+        return [(r.sel, r.pos, r.attrs, r.texts, page.pieces[r.first : r.last], r.within, r.path) for r in page.rows]
+
+    tolerant = []
+    feed = html.HTMLParser.feed
+    monkeypatch.setattr(html.HTMLParser, "feed", lambda self, source: (tolerant.append(source), feed(self, source)))
+    got = read(plain)
+    assert tolerant == [] and len(got) == 17
+    for odd in ("<a href=x/>", "1 < 2", "<p", "<!-- a-b -->", "<![CDATA[x]]>", "<script>'</p>'</script>"):
+        read(odd)
+        assert tolerant.pop() == odd
+    monkeypatch.setattr(html, "_TOKEN", html.re.compile(r"()()()()()()()()(<)"))
+    assert read(plain) == got and tolerant == [plain]
+
+
 def test_page_elements_are_not_shuffled(spark):
     """Between the tokeniser and the fields or sections of a page there is no exchange."""
     big = _pages(spark, "<p>x</p>").repartition(2)
@@ -70,6 +98,15 @@ def test_nested_sections_and_tables(spark):
     assert sorted((r.headers, r.cells, r.valid) for r in got) == [(["h"], ["x"], True), (["h"], ["z"], True), (["k"], ["y"], True)]
 
 
+def test_batches_of_elements_are_bounded(spark):
+    """However many pages come in one batch, their elements go on in batches of a bounded number."""
+    source = "<p>x</p>" * 10
+    batch = pa.record_batch({"page": pa.array(range(2000)), "html": pa.array([source] * 1999 + [None])})
+    types = to_arrow_schema(elements(_pages(spark, source), "page", "html", {"p": Selector("p")}).schema)
+    sizes = [b.num_rows for b in html._scan(iter([batch, batch]), {"p": Selector("p")}, types, {})]
+    assert sum(sizes) == 2 * 1999 and max(sizes) <= html._ELEMENTS / 10
+
+
 def test_two_bio_locations_fail(spark):
     spot = '<p class="f5 bold mb0">x</p>'
     with pytest.raises(Exception, match="too many elements"):
