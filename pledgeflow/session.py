@@ -114,14 +114,21 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     return F.broadcast(kept) if small else kept
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+# bytes of stored input that make one task of CPU-heavy work
+_SHARE = 4 << 20
+
+
+def spread(df: DataFrame, *key: str) -> DataFrame:
     """Use every core for CPU-heavy work on an input too small to be split by the scan.
 
-    Inputs of at least one full split per core (by the optimizer's size estimate) are
-    returned as they are: large tables are never shuffled for this.
+    Measured by the files that are read, not by the optimizer's estimate, which multiplies the sides of a
+    join and counts a built text like any other. There are more parts than cores as the input grows, so
+    that a part stays small. Inputs of at least one full split per core are returned as they are: large
+    tables are never shuffled for this.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, key) if size < split * cores else df
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return df.repartition(max(cores, -(-size // _SHARE)), *key) if size < split * cores else df

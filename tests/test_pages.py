@@ -8,8 +8,10 @@ from helpers import plan, rows
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from pledgeflow import session
 from pledgeflow.operators import extract as x
 from pledgeflow.plans import page_specs, pages
+from pledgeflow.session import spread
 from pledgeflow.sources import html
 from pledgeflow.sources.html import Selector, elements
 
@@ -107,6 +109,26 @@ def test_batches_of_elements_are_bounded(spark):
     assert sum(sizes) == 2 * 1999 and max(sizes) <= html._ELEMENTS / 10
 
 
+def test_pages_from_a_join_use_every_core(spark, tmp_path):
+    """The optimizer takes a join for the product of its sides; few files are dealt out all the same, equal keys too."""
+    for name in ("a", "b"):
+        made = spark.range(20_000).select((F.col("id") % 5000).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias(name))
+        made.coalesce(1).write.parquet(str(tmp_path / name))
+    a, b = (spark.read.parquet(str(tmp_path / name)) for name in ("a", "b"))
+    made = a.join(b, "k").select(F.lit(None).cast("long").alias("page"), F.concat(F.lit("<p>"), "a", "b").alias("html"))
+    dealt = spread(made, "page", "html")
+    assert "RepartitionByExpression" in dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert dealt.select(F.spark_partition_id()).distinct().count() >= spark.sparkContext.defaultParallelism
+    found = elements(made, "page", "html", {"p": Selector("p")})
+    assert "RepartitionByExpression" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_parts_grow_with_the_input(spark, tmp_path, monkeypatch):
+    spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h")).write.parquet(str(tmp_path / "t"))
+    monkeypatch.setattr(session, "_SHARE", 1 << 14)
+    assert spread(spark.read.parquet(str(tmp_path / "t")), "id").rdd.getNumPartitions() > 20
+
+
 def test_two_bio_locations_fail(spark):
     spot = '<p class="f5 bold mb0">x</p>'
     with pytest.raises(Exception, match="too many elements"):
