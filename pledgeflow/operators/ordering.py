@@ -10,6 +10,8 @@ One form serves every size, type and skew.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -87,8 +89,31 @@ def running_total(
     return running_totals(df, order, by, {out: F.lit(1) if weight is None else weight})
 
 
-def previous_value(df: DataFrame, value: str, order: Sequence[str], by: Sequence[str], out: str) -> DataFrame:
-    """The last non-null ``value`` before each row, within ``by``; order as in :func:`running_total`."""
+def _with_earlier(rows: DataFrame, per_part: DataFrame, by: Sequence[str], parts: Sequence[str], start: Column, name: str) -> DataFrame:
+    """Join to each row what the earlier of the given parts of its group hand on, NULL if nothing."""
+    names = [*by, *parts]
+    carried = per_part.select(*[F.col(c).alias(f"__by_{c}") for c in names], start.alias(name)).filter(F.col(name).isNotNull())
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__by_{c}")) for c in names])
+    return rows.join(F.broadcast(carried), same, "left").drop(*[f"__by_{c}" for c in names])
+
+
+def previous_value(
+    df: DataFrame, value: str, order: Sequence[str], by: Sequence[str], out: str, parts: Sequence[str] = ()
+) -> DataFrame:
+    """The last non-null ``value`` before each row, within ``by``; order as in :func:`running_total`.
+
+    ``parts`` names columns that already cut each group into stretches of the order, ascending with it and of a
+    bounded number of rows, as those of a stored file; ``order`` must then be unique within a part, and no rows
+    are dealt or written.
+    """
+    if parts:
+        at = F.when(F.col(value).isNotNull(), F.struct(*order))
+        per_part = df.groupBy(*by, *parts).agg(F.max_by(value, at).alias("__last"))
+        earlier = Window.partitionBy(*by).orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1)
+        started = _with_earlier(df, per_part, by, parts, F.last("__last", ignorenulls=True).over(earlier), "__carry")
+        inside = Window.partitionBy(*by, *parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        found = F.coalesce(F.last(value, ignorenulls=True).over(inside), F.col("__carry"))
+        return started.withColumn(out, found).drop("__carry")
     written, rows = _ranges(df, order, by, __v=F.col(value))
     at = F.when(F.col("__v").isNotNull(), F.struct(*order, "__tie", "__row"))
     per_range = rows.groupBy(*by, "__part").agg(F.max_by("__v", at).alias("__last"))
@@ -129,6 +154,52 @@ def skip_first(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.filter(F.col(key).isNull() | (F.col(key) > last))
 
 
+def _folded(rows: DataFrame, by: Sequence[str], order: Sequence[str], keep: Sequence[str], separator: str) -> DataFrame:
+    """One row per group: its first place, the kept columns of that row, its pieces joined and counted."""
+    item = F.struct(*order, F.col("__piece").alias("piece"))
+    place = F.struct(*order)
+    return (
+        rows.groupBy(*by)
+        .agg(
+            F.min(place).alias("first"),
+            *[F.min_by(c, place).alias(c) for c in keep],
+            F.sort_array(F.collect_list(F.when(F.col("__piece").isNotNull(), item))).alias("__items"),
+        )
+        .select(
+            *by,
+            "first",
+            *keep,
+            F.array_join(F.transform("__items", lambda x: x["piece"]), separator).alias("chain"),
+            F.size("__items").cast("long").alias("pieces"),
+        )
+    )
+
+
+def _part_segments(
+    df: DataFrame,
+    by: str,
+    order: Sequence[str],
+    starts: Column,
+    piece: Column,
+    keep: Sequence[str],
+    separator: str,
+    size: int,
+    parts: Sequence[str],
+) -> DataFrame:
+    """The segments of :func:`fold_segments`, a segment ending with its part too."""
+    inside = Window.partitionBy(by, *parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = df.withColumns({"__opens": F.coalesce(starts.cast("long"), F.lit(0)), "__piece": piece})
+    seen = F.sum(F.col("__piece").isNotNull().cast("long")).over(inside)
+    counted = marked.withColumns({"__run": F.sum("__opens").over(inside), "segment": F.floor((seen - 1) / size)})
+    # one row per run or part of one: from here on little is left to move
+    local = materialise(_folded(counted, [by, *parts, "__run", "segment"], order, keep, separator))
+    earlier = Window.partitionBy(by).orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1)
+    per_part = local.groupBy(by, *parts).agg(F.max("__run").alias("__runs"))
+    started = _with_earlier(local, per_part, [by], parts, F.sum("__runs").over(earlier), "__start")
+    run = F.coalesce(F.col("__start"), F.lit(0)) + F.col("__run")
+    return started.withColumn("run", run).filter("run > 0").select(by, "run", "first", *keep, "chain", "pieces")
+
+
 def fold_segments(
     df: DataFrame,
     by: str,
@@ -149,25 +220,8 @@ def fold_segments(
     marked = df.withColumns({"__opens": starts.cast("int"), "__piece": piece})
     totals = {"run": F.col("__opens"), "__seen": F.col("__piece").isNotNull().cast("int")}
     runs = running_totals(marked, order, [by], totals).filter("run > 0")
-    item = F.struct(*order, F.col("__piece").alias("piece"))
-    place = F.struct(*order)
-    return (
-        runs.groupBy(by, "run", F.floor((F.col("__seen") - 1) / size).alias("segment"))
-        .agg(
-            F.min(place).alias("first"),
-            *[F.min_by(c, place).alias(c) for c in keep],
-            F.sort_array(F.collect_list(F.when(F.col("__piece").isNotNull(), item))).alias("__items"),
-        )
-        .select(
-            by,
-            "run",
-            "segment",
-            "first",
-            *keep,
-            F.array_join(F.transform("__items", lambda x: x["piece"]), separator).alias("chain"),
-            F.size("__items").cast("long").alias("pieces"),
-        )
-    )
+    segment = F.floor((F.col("__seen") - 1) / size)
+    return _folded(runs.withColumn("segment", segment), [by, "run", "segment"], order, keep, separator)
 
 
 def fold_runs(
@@ -179,15 +233,20 @@ def fold_runs(
     keep: Sequence[str] = (),
     separator: str = " > ",
     size: int = 1000,
+    parts: Sequence[str] = (),
 ) -> DataFrame:
     """Runs of :func:`fold_segments` with their whole chain: the segments of a run joined on read.
 
-    A chain is one cell; a reader of runs that may not fit one takes the segments.
+    A chain is one cell; a reader of runs that may not fit one takes the segments. With ``parts``, as in
+    :func:`previous_value`, rows are folded inside their part, and only the segments are numbered and joined.
     """
-    held = F.collect_list(F.when(F.col("pieces") > 0, F.struct("segment", "chain")))
+    if parts:
+        segments = _part_segments(df, by, order, starts, piece, keep, separator, size, parts)
+    else:
+        segments = fold_segments(df, by, order, starts, piece, keep, separator, size)
+    held = F.collect_list(F.when(F.col("pieces") > 0, F.struct("first", "chain")))
     return (
-        fold_segments(df, by, order, starts, piece, keep, separator, size)
-        .groupBy(by, "run")
+        segments.groupBy(by, "run")
         .agg(
             F.min(F.col("first").getField(order[0])).alias("started"),
             *[F.min_by(c, "first").alias(c) for c in keep],

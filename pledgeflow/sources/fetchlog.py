@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pledgeflow.operators.ordering import fold_runs, previous_value
+from pledgeflow.session import materialise
 
 _ORDER = ["block", "line_id"]
+# lines of a block that are folded together
+_STRETCH = 100_000
 
 
 def fetch_log(lines: DataFrame) -> DataFrame:
@@ -30,21 +33,31 @@ def fetch_log(lines: DataFrame) -> DataFrame:
         .when(F.col("kind") == "follow", F.get(words, F.lit(1)))
         .when(F.col("kind") == "response", F.substring_index(line, "response... ", -1))
     )
+    opens = F.col("kind") == "open"
     marked = lines.withColumn("kind", kind).filter("kind is not null")
-    steps = marked.withColumn("step", F.when(F.col("kind") != "response", F.col("kind")))
-    rows = previous_value(steps, "step", _ORDER, ["file"], "before").withColumns(
-        {
-            "url": F.element_at(words, -1),
-            "fetched_at": F.replace(F.array_join(F.slice(words, 1, 2), " "), F.lit("--"), F.lit("")),
-        }
+    # written once, so that line ids stay as they are; lines of a block come in the order of their ids
+    steps = materialise(
+        marked.select(
+            "file",
+            *_ORDER,
+            F.floor(F.col("line_id") / _STRETCH).alias("stretch"),
+            "kind",
+            F.when(F.col("kind") != "response", F.col("kind")).alias("step"),
+            piece.alias("piece"),
+            F.when(opens, F.element_at(words, -1)).alias("url"),
+            F.when(opens, F.replace(F.array_join(F.slice(words, 1, 2), " "), F.lit("--"), F.lit(""))).alias("fetched_at"),
+        )
     )
+    parts = ["block", "stretch"]
+    rows = previous_value(steps, "step", _ORDER, ["file"], "before", parts)
     return fold_runs(
         rows,
         "file",
         _ORDER,
-        (F.col("kind") == "open") & ~F.col("before").eqNullSafe("follow"),
-        piece,
+        opens & ~F.col("before").eqNullSafe("follow"),
+        F.col("piece"),
         keep=["url", "fetched_at"],
+        parts=parts,
     ).drop("started")
 
 

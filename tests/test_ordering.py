@@ -3,7 +3,9 @@
 from helpers import plan, rows
 from pyspark.sql import functions as F
 
+from pledgeflow import session
 from pledgeflow.operators import ordering, topk
+from pledgeflow.sources import fetchlog
 
 # 300 rows, a third of them under one key
 
@@ -170,3 +172,51 @@ def test_seeded_shuffle_is_a_repeatable_permutation(spark):
     assert sorted(orders[0]) == sorted(orders[2]) == list(range(500))
     rises = sum(a < b for a, b in zip(orders[0], orders[0][1:]))
     assert 200 < rises < 300
+
+
+def test_runs_folded_inside_parts_are_the_same(spark):
+    """Runs of many parts, parts without a start, groups whose first rows belong to no run, an unnamed group."""
+    made = spark.range(600).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"),
+        F.col("id").alias("at"),
+        F.floor(F.col("id") / 40).alias("part"),
+        F.when(F.col("id") * 7 % 13 < 3, "open").when(F.col("id") * 5 % 17 < 3, "follow").alias("step"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("p"), "id")).alias("piece"),
+    )
+    parts, found = ["part"], []
+    for given in ([], parts):
+        rows = ordering.previous_value(made, "step", ["at"], ["g"], "before", given)
+        starts = (F.col("step") == "open") & ~F.col("before").eqNullSafe("follow")
+        runs = ordering.fold_runs(rows, "g", ["at"], starts, F.col("piece"), ["step", "before"], size=3, parts=given)
+        found.append(sorted(map(repr, runs.collect())))
+    assert found[0] == found[1] and len(found[0]) > 20
+
+
+def test_fetch_log_across_stretches(spark, monkeypatch):
+    """A chain goes on over the edges of stretches, and lines are neither sorted into ranges nor moved whole."""
+    monkeypatch.setattr(fetchlog, "_STRETCH", 2)
+    response = "awaiting response... "
+    text = [
+        response + "lost", "--2024-01-01 10:00:00--  http://a", response + "301", "Location: b [following]", "x", "y", "z",
+        "--2024-01-01 10:00:01--  b", response + "200", "--2024-01-01 10:00:02--  http://c", "--2024-01-01 10:00:03--  http://d",
+        response + "302", "Location: d [following]", "20 redirections exceeded.",
+    ]
+    lines = spark.createDataFrame([("f", 0, i, line) for i, line in enumerate(text)], "file string, block long, line_id long, line string")
+    got = fetchlog.fetch_log(lines)
+    assert "rangepartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(got.select("run", "url", "fetched_at", "chain", "pieces").collect()) == [
+        (1, "http://a", "2024-01-01 10:00:00", "301 > b > 200", 3),
+        (2, "http://c", "2024-01-01 10:00:02", "", 0),
+        (3, "http://d", "2024-01-01 10:00:03", "302 > d > Redirections Exceeded", 3),
+    ]
+
+
+def test_fetch_log_writes_less_than_its_lines(spark, monkeypatch):
+    """What is kept between the steps is far less than the lines, which are kept once and without their prose."""
+    kept = []
+    for module in (ordering, fetchlog):
+        if hasattr(module, "materialise"):
+            monkeypatch.setattr(module, "materialise", lambda df: kept.append(df.columns) or session.materialise(df))
+    lines = spark.createDataFrame([("f", 0, 0, "--2024-01-01 10:00:00--  http://a")], "file string, block long, line_id long, line string")
+    assert fetchlog.fetch_log(lines).count() == 1
+    assert len(kept) == 2 and not any("line" in columns for columns in kept)
